@@ -49,11 +49,17 @@ def comment_matches(body: Column, subreddit: Column, keyword) -> Column:
     return keyword_match(body, keyword) | keyword_match(subreddit, keyword)
 
 
-def keyword_terms(keyword: Column) -> Column:
-    """Per keyword word: the word, its runs, and whether it is one plain run."""
-    return F.transform(
-        F.array_distinct(split_words(F.lower(keyword))),
-        lambda w: F.struct(w.alias("word"), runs(w).alias("runs"), w.rlike(_PLAIN).alias("plain")),
+def keyword_words(keyword: Column) -> Column:
+    return F.array_distinct(split_words(F.lower(keyword)))
+
+
+def keyword_pattern(keyword: Column) -> Column:
+    """For a keyword with punctuation: a pattern that looks for each word. NULL when all are plain."""
+    words = split_words(F.lower(keyword))
+    look = F.transform(words, lambda w: F.concat(F.lit(r"(?=.*\b\Q"), w, F.lit(r"\E\b)")))
+    return F.when(
+        F.exists(words, lambda w: ~w.rlike(_PLAIN)),
+        F.concat(F.lit("(?Us)^"), F.array_join(look, "")),
     )
 
 
@@ -66,11 +72,10 @@ def keyword_anchor(keyword: Column) -> Column:
     return F.when(keyword != "", F.coalesce(longest["run"], F.lit("")))
 
 
-def terms_found(text: Column, text_runs: Column, terms: Column) -> Column:
-    """All keyword terms occur in the text; plain words by set lookup, others by pattern."""
-    return (text != "") & F.forall(
-        terms,
-        lambda t: F.when(t["plain"], F.array_contains(text_runs, t["word"])).otherwise(
-            whole_word(normalize_phrase(text), t["word"])
-        ),
-    )
+def words_found(text: Column, text_runs: Column, words: Column, pattern: Column) -> Column:
+    """All keyword words occur in the text: plain ones by set lookup, others by pattern.
+
+    Written without lambdas, so that Spark compiles it into the join that uses it.
+    """
+    plain = F.size(F.array_except(words, text_runs)) == 0
+    return (text != "") & F.when(pattern.isNull(), plain).otherwise(F.rlike(F.lower(text), pattern))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chatterlens import schemas as S
 from chatterlens.functions.labels import epoch_to_iso
-from chatterlens.functions.matching import keyword_anchor, keyword_terms, runs, terms_found
+from chatterlens.functions.matching import keyword_anchor, keyword_pattern, keyword_words, runs, words_found
 from chatterlens.operators.joins import sized_join
 from chatterlens.operators.sequence import neighbours
 
@@ -34,7 +34,8 @@ def keyword_matches(
     wanted = keywords.select(
         "keyword",
         keyword_anchor(F.col("keyword")).alias("_run"),
-        keyword_terms(F.col("keyword")).alias("_terms"),
+        keyword_words(F.col("keyword")).alias("_words"),
+        keyword_pattern(F.col("keyword")).alias("_pattern"),
     )
     text = F.coalesce(F.col(body), F.lit(""))
     forum = F.coalesce(F.col(subreddit), F.lit(""))
@@ -42,8 +43,9 @@ def keyword_matches(
     every_run = F.array_append(F.array_union("_body_runs", "_forum_runs"), F.lit(""))
     by_run = prepared.withColumn("_run", F.explode(every_run))
     pairs = sized_join(by_run, wanted, ["_run"])
-    found = terms_found(text, F.col("_body_runs"), F.col("_terms")) | terms_found(
-        forum, F.col("_forum_runs"), F.col("_terms")
+    needed = F.col("_words"), F.col("_pattern")
+    found = words_found(text, F.col("_body_runs"), *needed) | words_found(
+        forum, F.col("_forum_runs"), *needed
     )
     return pairs.filter(found).select(*comments.columns, "keyword")
 

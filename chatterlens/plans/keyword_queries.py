@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from chatterlens.functions.text import clean_text
 from chatterlens.operators import keywords as K
 from chatterlens.operators import sequence as Q
 from chatterlens.operators import validate as V
@@ -32,10 +33,12 @@ def arrival_order():
 
 
 def windows(spark, sf_dir, n=N):
-    valid = V.valid_comments(D.cleaned(spark, sf_dir)).select(
-        "id", "created_utc", "subreddit", "score", "cleaned_body", "label"
+    """Valid comments cut into windows. The text is cleaned after the rows are numbered, once."""
+    valid = V.valid_comments(D.comments(spark, sf_dir)).select(
+        "id", "created_utc", "subreddit", "score", "body", "label"
     )
-    return Q.count_windows(valid, n, arrival_order())
+    numbered = Q.count_windows(valid, n, arrival_order())
+    return numbered.withColumn("cleaned_body", clean_text(F.col("body"))).drop("body")
 
 
 def matches(spark, sf_dir):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from chatterlens.functions.text import clean_text
 from chatterlens.functions.wordlists import SLANG
+from chatterlens.sources.files import spread
 
 COMMENT_COLUMNS = {
     "id": "CAST(doc_id AS STRING)",
@@ -45,7 +46,7 @@ REQUEST_ROWS = [
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
