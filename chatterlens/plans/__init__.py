@@ -4,6 +4,8 @@ from chatterlens.plans import (  # noqa: F401  (importing a module registers its
     text_queries,
     validate_queries,
     keyword_queries,
+    session_queries,
+    analytics_queries,
 )
 from chatterlens.plans.registry import ORACLES, QUERIES
 
