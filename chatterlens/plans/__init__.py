@@ -6,6 +6,7 @@ from chatterlens.plans import (  # noqa: F401  (importing a module registers its
     keyword_queries,
     session_queries,
     analytics_queries,
+    sentiment_queries,
 )
 from chatterlens.plans.registry import ORACLES, QUERIES
 
