@@ -15,11 +15,9 @@ DISPLAY = "MM/dd/yyyy, HH:mm:ss"
 
 
 def _choose(key: Column, pairs: Mapping) -> Column:
-    chosen = None
-    for match, value in pairs.items():
-        branch = F.when if chosen is None else chosen.when
-        chosen = branch(key == match, F.lit(value))
-    return chosen
+    """The value for ``key`` or NULL. The key is written once, however costly it is."""
+    entries = F.create_map(*[F.lit(part) for pair in pairs.items() for part in pair])
+    return F.try_element_at(entries, key)
 
 
 def encode_label(label: Column) -> Column:

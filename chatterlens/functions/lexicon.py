@@ -263,8 +263,9 @@ def lexicon_compound(text: Column, lexicon: Mapping[str, float] = LEXICON) -> Co
 
 
 def threshold_label(score: Column, threshold: float = S.LABEL_THRESHOLD) -> Column:
-    return (
-        F.when(score >= threshold, F.lit("positive"))
-        .when(score <= -threshold, F.lit("negative"))
-        .otherwise(F.lit("neutral"))
+    return let(
+        score,
+        lambda s: F.when(s >= threshold, F.lit("positive"))
+        .when(s <= -threshold, F.lit("negative"))
+        .otherwise(F.lit("neutral")),
     )

@@ -7,6 +7,7 @@ from chatterlens.plans import (  # noqa: F401  (importing a module registers its
     session_queries,
     analytics_queries,
     sentiment_queries,
+    feature_queries,
 )
 from chatterlens.plans.registry import ORACLES, QUERIES
 
