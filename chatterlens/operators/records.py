@@ -19,12 +19,11 @@ def with_default(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(DEFAULTS[name])).alias(name)
 
 
-def cleaned_record(
-    comments: DataFrame, slang: Mapping[str, str] = SLANG, emoji: Mapping[str, str] = EMOJI
-) -> DataFrame:
-    """Raw comment to cleaned comment; the original body is kept beside the clean one."""
+def cleaned_fields(
+    slang: Mapping[str, str] = SLANG, emoji: Mapping[str, str] = EMOJI
+) -> list[Column]:
     body = F.coalesce(F.col("body"), F.lit(""))
-    return comments.select(
+    return [
         with_default("id"),
         with_default("created_utc"),
         with_default("subreddit"),
@@ -32,7 +31,14 @@ def cleaned_record(
         body.alias("body"),
         clean_text(body, slang, emoji).alias("cleaned_body"),
         original_length(body).alias("original_length"),
-    )
+    ]
+
+
+def cleaned_record(
+    comments: DataFrame, slang: Mapping[str, str] = SLANG, emoji: Mapping[str, str] = EMOJI
+) -> DataFrame:
+    """Raw comment to cleaned comment; the original body is kept beside the clean one."""
+    return comments.select(*cleaned_fields(slang, emoji))
 
 
 def cleaned_errors(lines: DataFrame) -> DataFrame:

@@ -48,10 +48,9 @@ def parse_json_lines(
     columns = []
     for field in schema.fields:
         text = F.col("_record")[field.name]
-        if isinstance(field.dataType, T.StringType):
-            columns.append(text.alias(field.name))
-        else:
-            columns.append(_whole_number(text).try_cast(field.dataType).alias(field.name))
+        if isinstance(field.dataType, (T.LongType, T.IntegerType)):
+            text = _whole_number(text)
+        columns.append(text.try_cast(field.dataType).alias(field.name))
     return parsed.select(
         *lines.columns,
         is_json(F.col(value)).alias("is_json"),

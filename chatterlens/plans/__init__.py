@@ -8,6 +8,7 @@ from chatterlens.plans import (  # noqa: F401  (importing a module registers its
     analytics_queries,
     sentiment_queries,
     feature_queries,
+    stream_queries,
 )
 from chatterlens.plans.registry import ORACLES, QUERIES
 

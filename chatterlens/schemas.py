@@ -42,3 +42,4 @@ KEYWORD_REQUEST = _struct("user_id:s keyword1:s keyword2:s request_time:s")
 KEYWORD_RESPONSE = _struct(
     "user_id:s keyword1:s value1:d total1:l keyword2:s value2:d total2:l timestamp:s"
 )
+SESSION_EVENT = _struct("seq:l user_id:s action:s keyword1:s keyword2:s event_utc:l")

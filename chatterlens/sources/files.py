@@ -47,16 +47,19 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = S.RAW_COMM
     return spark.read.schema(schema).json(path)
 
 
+# Quotes are doubled and outer spaces kept, so bodies may hold quotes, commas and newlines.
+CSV = {
+    "header": True, "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; quotes are doubled, so bodies may hold quotes and newlines."""
-    df.write.option("header", True).option("quote", '"').option("escape", '"').option(
-        "quoteAll", True
-    ).option("emptyValue", '""').csv(path)
+    df.write.options(**CSV, quoteAll=True, emptyValue='""').csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = S.ARCHIVE_LABELED) -> DataFrame:
-    reader = spark.read.schema(schema).option("header", True).option("multiLine", True)
-    return reader.option("quote", '"').option("escape", '"').option("nullValue", None).csv(path)
+    return spark.read.schema(schema).options(**CSV, multiLine=True).csv(path)
 
 
 def write_text_lines(df: DataFrame, path: str, column: str = "cleaned_body") -> None:
