@@ -153,3 +153,19 @@ def replay_schedule(batches: DataFrame, speed: float = S.REPLAY_SPEED) -> DataFr
     delayed = compared.withColumn("delay_seconds", F.greatest(F.coalesce(gap, F.lit(0.0)), F.lit(0.0)))
     due = running_sums(delayed, [], "batch_no", {"due_seconds": F.col("delay_seconds")})
     return due.drop("previous_utc")
+
+
+def paced_replay(
+    indexed: DataFrame, speed: float = S.REPLAY_SPEED, interval_seconds: int = 1, index: str = "seq"
+) -> DataFrame:
+    """When each row is due at ``speed`` times real time, and the trigger that delivers it.
+
+    Written in ``slice_no`` order and read back a few files per trigger, the rows arrive
+    at about the pace they were made.
+    """
+    compared = neighbours(indexed, [], index, {"_previous": "created_utc"})
+    gap = F.greatest(F.coalesce(F.col("created_utc") - F.col("_previous"), F.lit(0)), F.lit(0))
+    due = running_sums(compared, [], index, {"due_seconds": gap / F.lit(float(speed))})
+    return due.drop("_previous").withColumn(
+        "slice_no", F.floor(F.col("due_seconds") / F.lit(interval_seconds))
+    )

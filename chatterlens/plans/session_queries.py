@@ -149,3 +149,12 @@ def _same_second(spark, sf_dir):
 def _replay(spark, sf_dir):
     schedule = Q.replay_schedule(_batches(spark, sf_dir), speed=4.0)
     return schedule.withColumn("due_seconds", F.round("due_seconds", 6))
+
+
+@query("paced_replay", f"""{_INDEXED.split(", marked AS", 1)[0].split("marked AS", 1)[0].rstrip().rstrip(",")}
+    SELECT seq, created_utc, round((created_utc - min(created_utc) OVER ()) / 4.0, 6) AS due_seconds,
+      CAST(floor((created_utc - min(created_utc) OVER ()) / 4.0 / 60) AS BIGINT) AS slice_no FROM indexed""")
+def _paced(spark, sf_dir):
+    comments = D.comments(spark, sf_dir).select("id", "created_utc")
+    paced = Q.paced_replay(Q.with_global_index(comments, KQ.arrival_order()), speed=4.0, interval_seconds=60)
+    return paced.select("seq", "created_utc", F.round("due_seconds", 6).alias("due_seconds"), "slice_no")

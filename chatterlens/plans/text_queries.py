@@ -6,7 +6,9 @@ from chatterlens import schemas as S
 from chatterlens.functions import labels as L
 from chatterlens.functions import matching as M
 from chatterlens.functions import text as X
-from chatterlens.functions.wordlists import EMOJI
+from chatterlens.functions.sql import register_sql_functions
+from chatterlens.functions.wordlists import EMOJI, SLANG
+from chatterlens.operators.joins import sized_join
 from chatterlens.plans import tables as D
 from chatterlens.plans.registry import query
 
@@ -148,3 +150,21 @@ def _json_record(spark, sf_dir):
     """Records written as JSON text and read back, field by field."""
     lines = D.comments(spark, sf_dir).select(F.to_json(F.struct(*S.REQUIRED_FIELDS)).alias("value"))
     return lines.select(F.from_json("value", S.RAW_COMMENT).alias("r")).select("r.*")
+
+
+@query("sql_functions", f"""WITH {D.CLEANED_CTE} SELECT id, cleaned_body,
+    {_duck_match('body', 'good  LOVE')} AS is_match, {_ISO} AS iso FROM cleaned""")
+def _sql_functions(spark, sf_dir):
+    register_sql_functions(spark)
+    D.comments(spark, sf_dir).createOrReplaceTempView("chatterlens_comments")
+    return spark.sql("""SELECT id, clean_text(body) AS cleaned_body, keyword_match(body, 'good  LOVE') AS is_match,
+        epoch_to_iso(created_utc) AS iso FROM chatterlens_comments""")
+
+
+@query("slang_lookup", f"""{_WITH}, words AS (SELECT lower(unnest({D.duck_words('body')})) AS word FROM comments)
+    SELECT word, map_extract_value({D.duck_map(SLANG)}, word) AS expansion, count(*) AS n FROM words GROUP BY ALL""")
+def _slang_lookup(spark, sf_dir):
+    """Every word with its expansion, if any: the dictionary as a table, joined after counting the words."""
+    slang = spark.createDataFrame(list(SLANG.items()), "word string, expansion string")
+    words = D.comments(spark, sf_dir).select(F.explode(X.split_words(F.lower("body"))).alias("word"))
+    return sized_join(words.groupBy("word").agg(F.count("*").alias("n")), slang, ["word"], "left")
