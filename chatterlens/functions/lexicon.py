@@ -104,112 +104,121 @@ def lexicon_base(text: Column, lexicon: Mapping[str, float] = LEXICON) -> Column
     return let(_total(valences), normalized)
 
 
-def _annotated(words: Column, lexicon: Mapping[str, float]) -> Column:
-    def annotate(word: Column) -> Column:
-        low = F.lower(word)
-        return F.struct(
-            low.alias("low"),
-            ((F.upper(word) == word) & (low != word)).alias("up"),
-            dictionary_lookup(low, lexicon, "double").alias("lex"),
-            dictionary_lookup(low, BOOSTERS, "double").alias("boost"),
-            (low.isin(*NEGATIONS) | F.contains(low, F.lit("n't"))).alias("neg"),
-        )
+def _is_upper(word: Column) -> Column:
+    return (F.upper(word) == word) & (F.lower(word) != word)
 
-    return F.transform(words, annotate)
 
+class _Context:
+    """The words around one lexicon word, as expressions that are evaluated only where used."""
 
-def _emphasis(valence: Column, amount) -> Column:
-    return F.when(valence > 0, F.lit(amount)).otherwise(F.lit(-amount))
+    def __init__(self, words: Column, lows: Column, at: Column, lexicon: Mapping[str, float]):
+        self.words, self.lows, self.at, self.lexicon = words, lows, at, lexicon
+
+    def low(self, k: int = 0) -> Column:
+        """The lower-case word ``k`` places on; NULL beyond the text."""
+        return F.get(self.lows, self.at + F.lit(k))
+
+    def is_word(self, k: int, *choices: str) -> Column:
+        return F.coalesce(self.low(k).isin(*choices), F.lit(False))
 
+    def in_lexicon(self, k: int) -> Column:
+        return F.coalesce(self.low(k).isin(*self.lexicon), F.lit(False))
 
-def _phrase(tokens: Column, at: Column, first: int, last: int) -> Column:
-    """Words ``first``..``last`` relative to position ``at``; NULL beyond the text."""
-    parts = [F.get(tokens, at + F.lit(k))["low"] for k in range(first, last + 1)]
-    joined = parts[0]
-    for part in parts[1:]:
-        joined = F.concat(joined, F.lit(" "), part)
-    return F.when(at + F.lit(first) >= 0, joined)
+    def valence(self) -> Column:
+        return dictionary_lookup(self.low(), self.lexicon, "double")
 
+    def booster(self, k: int) -> Column:
+        return dictionary_lookup(self.low(k), BOOSTERS, "double")
 
-def _boosted(valence: Column, before: Column, distance: int, shouting: Column) -> Column:
-    strength = F.when(valence < 0, -before["boost"]).otherwise(before["boost"])
-    loud = F.when(before["up"] & shouting, _emphasis(valence, CAPS)).otherwise(F.lit(0.0))
-    return valence + F.coalesce((strength + loud) * F.lit(DAMPED[distance]), F.lit(0.0))
+    def negates(self, k: int) -> Column:
+        word = self.low(k)
+        return F.coalesce(word.isin(*NEGATIONS) | F.contains(word, F.lit("n't")), F.lit(False))
 
+    def shouted(self, k: int) -> Column:
+        """The word is in capitals and the text as a whole is not."""
+        calm = F.exists(self.words, lambda w: ~_is_upper(w))
+        return F.coalesce(_is_upper(F.get(self.words, self.at + F.lit(k))), F.lit(False)) & calm
 
-def _negated(valence: Column, tokens: Column, at: Column, distance: int) -> Column:
-    def low(k: int) -> Column:
-        return F.get(tokens, at - F.lit(k))["low"]
+    def phrase(self, first: int, last: int) -> Column:
+        """The words at ``first``..``last``; NULL when they run out of the text."""
+        parts = [self.low(first)]
+        for k in range(first + 1, last + 1):
+            parts += [F.lit(" "), self.low(k)]
+        return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+
+def _emphasis(valence: Column, amount) -> Column:
+    return F.when(valence > 0, F.lit(amount)).otherwise(F.lit(-amount))
 
-    flipped = F.when(F.get(tokens, at - F.lit(distance))["neg"], valence * F.lit(NEGATED)).otherwise(valence)
+
+def _boosted(valence: Column, near: _Context, distance: int) -> Column:
+    strength = near.booster(-distance)
+    signed = F.when(valence < 0, -strength).otherwise(strength)
+    loud = F.when(near.shouted(-distance), _emphasis(valence, CAPS)).otherwise(F.lit(0.0))
+    return F.when(
+        near.low(-distance).isin(*BOOSTERS), valence + (signed + loud) * F.lit(DAMPED[distance])
+    ).otherwise(valence)
+
+
+def _negated(valence: Column, near: _Context, distance: int) -> Column:
+    flipped = F.when(near.negates(-distance), valence * F.lit(NEGATED)).otherwise(valence)
     if distance == 1:
         return flipped
-    nearer = [low(k) for k in range(distance - 1, 0, -1)]
     so, doubt = F.lit(False), F.lit(False)
-    for word in nearer:
-        so, doubt = so | word.isin("so", "this"), doubt | (word == "doubt")
+    for k in range(1, distance):
+        so, doubt = so | near.is_word(-k, "so", "this"), doubt | near.is_word(-k, "doubt")
     return (
-        F.when((low(distance) == "never") & so, valence * F.lit(NEVER_SO))
-        .when((low(distance) == "without") & doubt, valence)
+        F.when(near.is_word(-distance, "never") & so, valence * F.lit(NEVER_SO))
+        .when(near.is_word(-distance, "without") & doubt, valence)
         .otherwise(flipped)
     )
 
 
-def _idiom(valence: Column, tokens: Column, at: Column) -> Column:
-    """A set phrase around the word replaces its valence; a booster phrase before it adds to it."""
-    spans = [(-1, 0), (-2, 0), (-2, -1), (-3, -1), (-3, -2)]
-    looking_back = [dictionary_lookup(_phrase(tokens, at, *s), IDIOMS, "double") for s in spans]
-    looking_ahead = [dictionary_lookup(_phrase(tokens, at, *s), IDIOMS, "double") for s in [(0, 2), (0, 1)]]
-    replaced = F.coalesce(*looking_ahead, *looking_back, valence)
+def _idiom(valence: Column, near: _Context) -> Column:
+    """A set phrase around the word replaces its valence; a booster phrase before it lowers it."""
+    spans = [(0, 2), (0, 1), (-1, 0), (-2, 0), (-2, -1), (-3, -1), (-3, -2)]
+    replaced = F.coalesce(*[dictionary_lookup(near.phrase(*s), IDIOMS, "double") for s in spans], valence)
     lowered = F.lit(0.0)
     for span in [(-3, -1), (-3, -2), (-2, -1)]:
-        hit = _phrase(tokens, at, *span).isin(*BOOSTER_PHRASES)
+        hit = near.phrase(*span).isin(*BOOSTER_PHRASES)
         lowered = lowered + F.when(hit, F.lit(-BOOST)).otherwise(F.lit(0.0))
     return replaced + lowered
 
 
-def _least(valence: Column, tokens: Column, at: Column) -> Column:
-    before, earlier = F.get(tokens, at - F.lit(1)), F.get(tokens, at - F.lit(2))
-    softened = F.coalesce(earlier["low"].isin("at", "very"), F.lit(False))
-    is_least = (before["low"] == "least") & before["lex"].isNull() & ~softened
-    return F.when(is_least, valence * F.lit(NEGATED)).otherwise(valence)
+def _least(valence: Column, near: _Context) -> Column:
+    least = near.is_word(-1, "least") & ~near.in_lexicon(-1) & ~near.is_word(-2, "at", "very")
+    return F.when(least, valence * F.lit(NEGATED)).otherwise(valence)
 
 
-def _valence_at(tokens: Column, at: Column, shouting: Column) -> Column:
-    """Valence of the lexicon word at one position, after its context."""
-    word = F.get(tokens, at)
-    one, two, three = (F.get(tokens, at - F.lit(k)) for k in (1, 2, 3))
+def _valence_in_context(near: _Context) -> Column:
+    """Valence of the lexicon word at one position, after the words around it."""
     no_before = (
-        F.coalesce(one["low"] == "no", F.lit(False))
-        | F.coalesce(two["low"] == "no", F.lit(False))
-        | F.coalesce((three["low"] == "no") & one["low"].isin("or", "nor"), F.lit(False))
+        near.is_word(-1, "no") | near.is_word(-2, "no") | (near.is_word(-3, "no") & near.is_word(-1, "or", "nor"))
     )
-    follower = F.get(tokens, at + F.lit(1))
     own = (
-        F.when(no_before, word["lex"] * F.lit(NEGATED))
-        .when((word["low"] == "no") & follower["lex"].isNotNull(), F.lit(0.0))
-        .otherwise(word["lex"])
+        F.when(no_before, near.valence() * F.lit(NEGATED))
+        .when(near.is_word(0, "no") & near.in_lexicon(1), F.lit(0.0))
+        .otherwise(near.valence())
     )
 
     def look_back(distance: int, valence: Column) -> Column:
         if distance > 3:
-            return _least(valence, tokens, at)
-        before = F.get(tokens, at - F.lit(distance))
+            return _least(valence, near)
 
-        def in_context(boosted: Column) -> Column:
-            turned = _negated(boosted, tokens, at, distance)
-            return let(turned, lambda v: _idiom(v, tokens, at)) if distance == 3 else turned
+        def after_boost(boosted: Column) -> Column:
+            turned = _negated(boosted, near, distance)
+            return let(turned, lambda v: _idiom(v, near)) if distance == 3 else turned
 
-        applies = (at >= distance) & before["lex"].isNull()
-        changed = let(_boosted(valence, before, distance, shouting), in_context)
+        applies = (near.at >= distance) & ~near.in_lexicon(-distance)
+        changed = let(_boosted(valence, near, distance), after_boost)
         return let(F.when(applies, changed).otherwise(valence), lambda v: look_back(distance + 1, v))
 
     def from_caps(valence: Column) -> Column:
-        shouted = F.when(word["up"] & shouting, valence + _emphasis(valence, CAPS)).otherwise(valence)
-        return let(shouted, lambda v: look_back(1, v))
+        loud = F.when(near.shouted(0), valence + _emphasis(valence, CAPS)).otherwise(valence)
+        return let(loud, lambda v: look_back(1, v))
 
-    kind_of = (word["low"] == "kind") & F.coalesce(follower["low"] == "of", F.lit(False))
-    return F.when(word["boost"].isNotNull() | kind_of, F.lit(0.0)).otherwise(let(own, from_caps))
+    is_booster = near.low().isin(*BOOSTERS) | (near.is_word(0, "kind") & near.is_word(1, "of"))
+    return F.when(is_booster, F.lit(0.0)).otherwise(let(own, from_caps))
 
 
 def _occurrences(text: Column, mark: str) -> Column:
@@ -228,38 +237,41 @@ def _punctuation(text: Column) -> Column:
 
 
 def lexicon_compound(text: Column, lexicon: Mapping[str, float] = LEXICON) -> Column:
-    """The full rule set: boosters, shouting, negation, set phrases, ``but`` and punctuation."""
+    """The full rule set: boosters, shouting, negation, set phrases, ``but`` and punctuation.
+
+    All words are only lower-cased and looked up; the rules run on the few that hit.
+    """
     text = F.coalesce(text, F.lit(""))
 
-    def over(tokens: Column) -> Column:
-        shouting = F.exists(tokens, lambda t: t["up"]) & F.exists(tokens, lambda t: ~t["up"])
-        but_at = F.array_position(tokens["low"], "but").cast("int") - 1
-        context = F.struct(tokens.alias("tokens"), shouting.alias("shouting"), but_at.alias("but_at"))
-        return let(context, with_context)
-
-    def with_context(known: Column) -> Column:
-        tokens, but_at = known["tokens"], known["but_at"]
-        places = F.filter(
-            F.sequence(F.lit(0), F.greatest(F.size(tokens) - 1, F.lit(0))),
-            lambda i: F.get(tokens, i)["lex"].isNotNull(),
-        )
+    def with_lows(known: Column) -> Column:
+        words, lows, but_at = known["words"], known["lows"], known["but_at"]
 
-        def weighed(i: Column) -> Column:
+        def weighed(at: Column) -> Column:
             weight = (
-                F.when((but_at < 0) | (i == but_at), F.lit(1.0))
-                .when(i < but_at, F.lit(BUT_BEFORE))
+                F.when((but_at < 0) | (at == but_at), F.lit(1.0))
+                .when(at < but_at, F.lit(BUT_BEFORE))
                 .otherwise(F.lit(BUT_AFTER))
             )
-            return _valence_at(tokens, i, known["shouting"]) * weight
+            return _valence_in_context(_Context(words, lows, at, lexicon)) * weight
+
+        hits = F.filter(
+            F.transform(lows, lambda w, i: F.when(w.isin(*lexicon), i)), lambda i: i.isNotNull()
+        )
+        return _total(F.transform(hits, weighed))
+
+    def from_lows(pair: Column) -> Column:
+        but_at = F.array_position(pair["lows"], "but").cast("int") - 1
+        return let(F.struct(pair["words"].alias("words"), pair["lows"].alias("lows"), but_at.alias("but_at")), with_lows)
 
-        return _total(F.transform(places, weighed))
+    def from_words(words: Column) -> Column:
+        lows = F.transform(words, F.lower)
+        return let(F.struct(words.alias("words"), lows.alias("lows")), from_lows)
 
     def emphasised(total: Column) -> Column:
         mark = F.signum(total) * _punctuation(text)
         return let(total + mark, lambda s: F.round(normalized(s), 4))
 
-    total = let(_annotated(sentiment_words(text), lexicon), over)
-    return let(total, emphasised)
+    return let(let(sentiment_words(text), from_words), emphasised)
 
 
 def threshold_label(score: Column, threshold: float = S.LABEL_THRESHOLD) -> Column:

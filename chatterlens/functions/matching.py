@@ -75,7 +75,11 @@ def keyword_anchor(keyword: Column) -> Column:
 def words_found(text: Column, text_runs: Column, words: Column, pattern: Column) -> Column:
     """All keyword words occur in the text: plain ones by set lookup, others by pattern.
 
-    Written without lambdas, so that Spark compiles it into the join that uses it.
+    Written without lambdas, so that Spark compiles it into the join that uses it, and
+    as one CASE, so that no part of it is split off and run on every text before the join.
     """
-    plain = F.size(F.array_except(words, text_runs)) == 0
-    return (text != "") & F.when(pattern.isNull(), plain).otherwise(F.rlike(F.lower(text), pattern))
+    return (
+        F.when(text == "", F.lit(False))
+        .when(pattern.isNull(), F.size(F.array_except(words, text_runs)) == 0)
+        .otherwise(F.rlike(F.lower(text), pattern))
+    )

@@ -70,7 +70,7 @@ def term_counts(found: Column) -> Column:
             F.array().cast("array<struct<term:string,tf:bigint>>")
         )
 
-    return let(F.array_sort(found), count_runs)
+    return let(F.sort_array(found), count_runs)
 
 
 def term_stats(documents: DataFrame, text: str = "cleaned_body") -> DataFrame:

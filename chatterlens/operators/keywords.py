@@ -11,6 +11,7 @@ from chatterlens.functions.labels import epoch_to_iso
 from chatterlens.functions.matching import keyword_anchor, keyword_pattern, keyword_words, runs, words_found
 from chatterlens.operators.joins import sized_join
 from chatterlens.operators.sequence import neighbours
+from chatterlens.session import durable
 
 COUNTS = ["positive", "negative", "neutral", "other", "total"]
 
@@ -190,6 +191,9 @@ def keyword_response(
     )
     whole = keyword_label_counts(matches, ["window_no", "keyword"]).drop("negative", "other")
     if reset_on_request:
+        # Read twice below, by the whole windows and by the partial ones.
+        matches = durable(matches)
+        whole = keyword_label_counts(matches, ["window_no", "keyword"]).drop("negative", "other")
         partial = F.col("from_seq") > F.col("window_no") * F.lit(n)
         counted = (
             slots.filter(~partial)

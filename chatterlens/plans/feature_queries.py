@@ -45,7 +45,7 @@ def _vocabulary(spark, sf_dir):
 
 
 def _vectors(spark, sf_dir, sublinear=False):
-    texts = _texts(spark, sf_dir)
+    texts = durable(_texts(spark, sf_dir))  # read by the fit and by the transform
     return E.Vectorizer.fit(texts, MIN_DF, MAX_FEATURES, sublinear).transform(texts)
 
 
@@ -207,7 +207,7 @@ _BAYES = f"""{_VOCABULARY}, {_tfidf_cte()}, sums AS (SELECT label, idx, sum(weig
 @query("train_naive_bayes", _BAYES)
 def _bayes(spark, sf_dir):
     """Sums of two halves of the data, merged, give the model of the whole."""
-    texts = D.cleaned(spark, sf_dir).select("id", "cleaned_body", "label")
+    texts = durable(D.cleaned(spark, sf_dir).select("id", "cleaned_body", "label"))
     vectors = E.Vectorizer.fit(texts, MIN_DF, MAX_FEATURES).transform(texts)
     rows = M.with_class(vectors)
     half = F.pmod(F.crc32(F.col("id").cast("binary")), F.lit(2))
