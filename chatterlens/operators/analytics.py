@@ -134,10 +134,16 @@ def first_n_lines(lines: DataFrame, n: int, order: list) -> DataFrame:
     return first_rows(lines, n, order)
 
 
-def bernoulli_sample(df: DataFrame, share: float, key: str = "id", seed: int = 42) -> DataFrame:
-    """Keep each row with probability ``share``; the choice depends on the key and seed only."""
+def bernoulli_sample(
+    df: DataFrame, share: float, key: str = "id", seed: int = 42, at_most: int | None = None
+) -> DataFrame:
+    """Keep each row with probability ``share``; the choice depends on the key and seed only.
+
+    ``at_most`` bounds the size of the sample.
+    """
     draw = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(1_000_000))
-    return df.filter(draw < int(share * 1_000_000))
+    sampled = df.filter(draw < int(share * 1_000_000))
+    return sampled if at_most is None else sampled.limit(at_most)
 
 
 def concat_chunks(chunks: list[DataFrame]) -> DataFrame:

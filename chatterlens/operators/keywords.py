@@ -10,7 +10,7 @@ from chatterlens import schemas as S
 from chatterlens.functions.labels import epoch_to_iso
 from chatterlens.functions.matching import keyword_anchor, keyword_pattern, keyword_words, runs, words_found
 from chatterlens.operators.joins import sized_join
-from chatterlens.operators.sequence import neighbours
+from chatterlens.operators.sequence import neighbours, whole_part
 from chatterlens.session import durable
 
 COUNTS = ["positive", "negative", "neutral", "other", "total"]
@@ -122,7 +122,7 @@ def requests_by_window(
     within a window rules that window from its own position on, and all later
     windows in full until a newer one comes.
     """
-    starts_in = F.floor(F.col("req_seq") / F.lit(n))
+    starts_in = whole_part("req_seq", n)
     newest = F.max(F.struct("req_seq", "keyword1", "keyword2"))
     versions = (
         requests.withColumn("_starts", starts_in)
@@ -140,29 +140,31 @@ def requests_by_window(
     return spread.select("window_no", "user_id", "keyword1", "keyword2", from_seq.alias("from_seq"))
 
 
-def _counts_from(matches: DataFrame, slots: DataFrame, n: int) -> DataFrame:
+def _counts_from(matches: DataFrame, slots: DataFrame) -> DataFrame:
     """Counts of the matches at or after ``from_seq``, for slots that start inside a window.
 
-    Matches and slots of one (window, keyword) are read backwards together, so a
-    slot finds its counts as a running sum; no match is paired with any slot.
+    Matches and starting points of one (window, keyword) are read backwards together,
+    so that a start finds its counts as a running sum and no match is paired with any
+    slot. Users who start at the same comment share a starting point, so a group never
+    holds more than two rows per comment of its window.
     """
-    one = [F.col("label").eqNullSafe(name).cast("bigint").alias(name) for name in S.LABELS]
+    key = ["window_no", "keyword", "from_seq"]
+    one = [F.col("label").eqNullSafe(name).cast("bigint").alias(name) for name in ("positive", "neutral")]
     events = matches.select(
-        "window_no", "keyword", F.col("seq").alias("at"), F.lit(None).cast("string").alias("user_id"),
-        F.lit(0).alias("slot"), *one, F.lit(1).cast("bigint").alias("total"),
+        "window_no", "keyword", F.col("seq").alias("from_seq"), *one, F.lit(1).cast("bigint").alias("total")
     )
-    none = [F.lit(0).cast("bigint").alias(name) for name in [*S.LABELS, "total"]]
-    marks = slots.select("window_no", "keyword", F.col("from_seq").alias("at"), "user_id", "slot", *none)
+    none = [F.lit(0).cast("bigint").alias(name) for name in ("positive", "neutral", "total")]
+    starts = slots.select(*key).distinct().select(*key, *none)
     backwards = (
         W.partitionBy("window_no", "keyword")
-        .orderBy(F.col("at").desc(), F.col("total").desc())
+        .orderBy(F.col("from_seq").desc(), F.col("total").desc())
         .rowsBetween(W.unboundedPreceding, 0)
     )
     names = ["positive", "neutral", "total"]
-    summed = events.unionByName(marks).withColumns({f"_{c}": F.sum(c).over(backwards) for c in names})
-    return summed.filter("slot > 0").select(
-        "window_no", "user_id", "slot", *[F.col(f"_{c}").alias(c) for c in names]
-    )
+    both = events.withColumn("_is_start", F.lit(False)).unionByName(starts.withColumn("_is_start", F.lit(True)))
+    summed = both.withColumns({f"_{c}": F.sum(c).over(backwards) for c in names})
+    reached = summed.filter("_is_start").select(*key, *[F.col(f"_{c}").alias(c) for c in names])
+    return slots.join(reached, key)
 
 
 def keyword_response(
@@ -183,27 +185,25 @@ def keyword_response(
     sides = F.array(
         *[F.struct(F.lit(i).alias("slot"), F.col(f"keyword{i}").alias("keyword")) for i in (1, 2)]
     )
-    slots = active.withColumn("_side", F.explode(sides)).select(
-        "window_no", "user_id", "from_seq", "_side.*"
-    )
+    ask = ["window_no", "user_id", "keyword1", "keyword2"]
+    slots = active.withColumn("_side", F.explode(sides)).select(*ask, "from_seq", "_side.*")
     matches = keyword_matches(windows, distinct_keywords(requests)).select(
         "window_no", "seq", "label", "keyword"
     )
+    if reset_on_request:
+        matches = durable(matches)  # read by the whole windows and by the partial ones
     whole = keyword_label_counts(matches, ["window_no", "keyword"]).drop("negative", "other")
     if reset_on_request:
-        # Read twice below, by the whole windows and by the partial ones.
-        matches = durable(matches)
-        whole = keyword_label_counts(matches, ["window_no", "keyword"]).drop("negative", "other")
         partial = F.col("from_seq") > F.col("window_no") * F.lit(n)
         counted = (
             slots.filter(~partial)
             .join(whole, ["window_no", "keyword"], "left")
-            .select("window_no", "user_id", "slot", "positive", "neutral", "total")
-            .unionByName(_counts_from(matches, slots.filter(partial), n))
+            .drop("keyword", "from_seq")
+            .unionByName(_counts_from(matches, slots.filter(partial)).drop("keyword", "from_seq"))
         )
     else:
         counted = slots.join(whole, ["window_no", "keyword"], "left")
-    by_user = counted.groupBy("window_no", "user_id").agg(
+    by_user = counted.groupBy(*ask).agg(
         *[
             F.coalesce(F.max(F.when(F.col("slot") == i, F.col(c))), F.lit(0)).alias(f"{c}{i}")
             for i in (1, 2)
@@ -211,7 +211,7 @@ def keyword_response(
         ]
     )
     ends = window_first_last_time(windows).select("window_no", "last_utc")
-    complete = active.join(by_user, ["window_no", "user_id"]).join(ends, "window_no")
+    complete = by_user.join(ends, "window_no")
 
     def value(i: int) -> Column:
         return positivity_score(F.col(f"positive{i}"), F.col(f"neutral{i}"), F.col(f"total{i}"))

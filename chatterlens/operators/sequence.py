@@ -20,6 +20,11 @@ COMMENT_ORDER = ["created_utc", "id"]
 GROUP_WIDTH = 1 << 17
 
 
+def whole_part(column: str, n: int) -> Column:
+    """Integer division, exact for any row number."""
+    return F.expr(f"`{column}` div {n}L")
+
+
 def index_and_count(df: DataFrame, order: list, index: str = "seq") -> tuple[DataFrame, int]:
     """Number all rows 0..n-1 by ``order``, which must be a total order; also return n.
 
@@ -54,14 +59,14 @@ def count_windows(
     Adds ``seq`` and ``window_no``.
     """
     indexed, total = index_and_count(df, order or COMMENT_ORDER)
-    windows = indexed.withColumn("window_no", F.floor(F.col("seq") / F.lit(n)))
+    windows = indexed.withColumn("window_no", whole_part("seq", n))
     return windows.filter(F.col("seq") < total // n * n)
 
 
 def row_chunks(df: DataFrame, order: list, size: int = S.CHUNK_ROWS) -> DataFrame:
     """Chunk numbers from 1, ``size`` rows each, in input order."""
     indexed = with_global_index(df, order, "row_no")
-    return indexed.withColumn("chunk_id", F.floor(F.col("row_no") / F.lit(size)) + 1)
+    return indexed.withColumn("chunk_id", whole_part("row_no", size) + 1)
 
 
 def first_rows(df: DataFrame, n: int, order: list) -> DataFrame:
@@ -77,16 +82,14 @@ def first_rows(df: DataFrame, n: int, order: list) -> DataFrame:
     return with_global_index(df, order, "_row").filter(F.col("_row") < n).drop("_row")
 
 
-def _grouped(df: DataFrame, order: str, width: int) -> DataFrame:
-    return df.withColumn("_group", F.floor(F.col(order) / F.lit(width)))
-
+def _grouped(df: DataFrame, keys: list[str], order: str, width: int) -> tuple[DataFrame, list[str]]:
+    """Cut the rows of each key into groups by ``order``; also return the columns that name a group.
 
-def _join_groups(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    on = [*keys, "_group"]
-    keyed = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in on]
-    joined = df.alias("l").join(groups.alias("r"), keyed, "left")
-    extra = [c for c in groups.columns if c not in on]
-    return joined.select("l.*", *[F.col(f"r.{c}") for c in extra])
+    The keys are held in one struct, in which NULL equals NULL, so that the window
+    and the join below can share one shuffle.
+    """
+    grouped = df.withColumn("_group", whole_part(order, width))
+    return (grouped.withColumn("_key", F.struct(*keys)), ["_key", "_group"]) if keys else (grouped, ["_group"])
 
 
 def running_sums(
@@ -94,18 +97,17 @@ def running_sums(
 ) -> DataFrame:
     """Add running sums by an integer ``order`` that is unique within ``keys``."""
     values = df.withColumns({f"_v_{name}": value for name, value in sums.items()})
-    grouped = _grouped(values, order, width)
-    totals = grouped.groupBy(*keys, "_group").agg(*[F.sum(f"_v_{s}").alias(f"_t_{s}") for s in sums])
-    before = W.partitionBy(*keys).orderBy("_group").rowsBetween(W.unboundedPreceding, -1)
-    bases = totals.select(
-        *keys, "_group", *[F.sum(f"_t_{s}").over(before).alias(f"_b_{s}") for s in sums]
-    )
-    inside = W.partitionBy(*keys, "_group").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    joined = _join_groups(grouped, bases, keys)
+    grouped, names = _grouped(values, keys, order, width)
+    totals = grouped.groupBy(*names).agg(*[F.sum(f"_v_{s}").alias(f"_t_{s}") for s in sums])
+    before = W.partitionBy(*names[:-1]).orderBy("_group").rowsBetween(W.unboundedPreceding, -1)
+    bases = totals.select(*names, *[F.sum(f"_t_{s}").over(before).alias(f"_b_{s}") for s in sums])
+    inside = W.partitionBy(*names).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    summed = grouped.withColumns({f"_o_{s}": F.sum(f"_v_{s}").over(inside) for s in sums})
+    joined = summed.join(bases, names, "left")
     added = {}
-    for name in sums:
-        base, own = F.col(f"_b_{name}"), F.sum(f"_v_{name}").over(inside)
-        added[name] = F.when(base.isNull(), own).when(own.isNull(), base).otherwise(base + own)
+    for s in sums:
+        base, own = F.col(f"_b_{s}"), F.col(f"_o_{s}")
+        added[s] = F.when(base.isNull(), own).when(own.isNull(), base).otherwise(base + own)
     return joined.withColumns(added).select(*df.columns, *sums)
 
 
@@ -125,13 +127,13 @@ def neighbours(
     pick = F.max_by if step < 0 else F.min_by
     shift = F.lag if step < 0 else F.lead
     neighbour = F.struct(*[F.col(source).alias(name) for name, source in values.items()])
-    grouped = _grouped(df, order, width)
-    edges = grouped.groupBy(*keys, "_group").agg(pick(neighbour, order).alias("_edge"))
-    across = W.partitionBy(*keys).orderBy("_group")
-    bases = edges.select(*keys, "_group", shift("_edge").over(across).alias("_outer"))
-    inside = W.partitionBy(*keys, "_group").orderBy(order)
-    joined = _join_groups(grouped, bases, keys)
-    found = joined.withColumn("_near", F.coalesce(shift(neighbour).over(inside), F.col("_outer")))
+    grouped, names = _grouped(df, keys, order, width)
+    edges = grouped.groupBy(*names).agg(pick(neighbour, order).alias("_edge"))
+    across = W.partitionBy(*names[:-1]).orderBy("_group")
+    bases = edges.select(*names, shift("_edge").over(across).alias("_outer"))
+    inside = W.partitionBy(*names).orderBy(order)
+    shifted = grouped.withColumn("_inner", shift(neighbour).over(inside))
+    found = shifted.join(bases, names, "left").withColumn("_near", F.coalesce("_inner", "_outer"))
     return found.select(*df.columns, *[F.col(f"_near.{name}").alias(name) for name in values])
 
 

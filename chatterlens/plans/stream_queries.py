@@ -21,7 +21,7 @@ from chatterlens.plans import validate_queries as VQ
 from chatterlens.plans.registry import query
 from chatterlens.session import durable, staging_path
 from chatterlens.sources import files
-from chatterlens.sources.models import ModelStore
+from chatterlens.sources.models import ModelStore, ReloadingModel
 from chatterlens.sources.results import ResultTable
 from chatterlens.sources.streams import Topic
 from chatterlens.streaming import jobs
@@ -230,3 +230,37 @@ def _chain(spark, sf_dir):
     _finish(jobs.label_stream(spark, Topic(cleaned), Topic(labeled), store, f"{state}/check_label", available_now=True))
     _finish(keyword_stream(spark, Topic(labeled), job, f"{state}/check_keywords", available_now=True))
     return job.responses.read().select("window_no", "user_id", "keyword1", "keyword2")
+
+
+@query("request_state", f"""WITH {D.COMMENTS_CTE}, asked AS (SELECT author AS user_id, subreddit AS keyword1, label AS keyword2,
+      CAST(id AS BIGINT) AS n, created_utc > (SELECT (min(created_utc) + max(created_utc)) // 2 FROM comments) AS late FROM comments)
+    SELECT user_id, max_by(keyword1, n) AS keyword1, max_by(keyword2, n) AS keyword2 FROM asked GROUP BY user_id""")
+def _request_state(spark, sf_dir):
+    """Requests in two batches, the earlier half first; each is folded into the state."""
+    asked, state = _folder(spark, "requests"), _folder(spark, "state")
+    made = D.comments(spark, sf_dir).selectExpr(
+        "author AS user_id", "subreddit AS keyword1", "label AS keyword2", "lpad(id, 20, '0') AS request_time", "created_utc"
+    )
+    border = made.agg(F.floor((F.min("created_utc") + F.max("created_utc")) / 2)).first()[0]
+    job = KeywordWindows(spark, state, KQ.N)
+    for half in (F.col("created_utc") <= border, F.col("created_utc") > border):
+        R.json_values(made.filter(half).drop("created_utc")).write.mode("append").text(asked)
+        _finish(request_stream(spark, Topic(asked), job, f"{state}/check", available_now=True))
+    return job.requests.read_batch(1).select("user_id", "keyword1", "keyword2")
+
+
+@query("model_store", "SELECT 1 AS first_version, 2 AS second_version, count(*) AS labeled FROM documents")
+def _model_store(spark, sf_dir):
+    """A published model is picked up by a reader, and replaced by the next one."""
+    vectorizer, rows = FQ.labeled_vectors(spark, sf_dir)
+    store = ModelStore(spark, _folder(spark, "models"))
+    reader = ReloadingModel(store, interval=0)
+    versions = []
+    for _ in range(2):
+        store.publish(vectorizer, M.train_naive_bayes(rows))
+        versions.append(reader.get().version)
+    model = reader.get()
+    labeled = M.predict_label(rows.select("id", "cleaned_body"), model.vectorizer, model.classifier)
+    return labeled.agg(F.count("*").alias("labeled")).select(
+        F.lit(versions[0]).alias("first_version"), F.lit(versions[1]).alias("second_version"), "labeled"
+    )

@@ -26,6 +26,12 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     )
 
 
+def _checkpoint_dir(spark: SparkSession) -> str | None:
+    """The folder the context was given by code instead of by configuration."""
+    chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return chosen.get() if chosen.isDefined() else None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the session names it.
 
@@ -35,6 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if named:
         return named
+    chosen = _checkpoint_dir(spark)
+    if chosen:
+        return chosen
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     fallback = tempfile.mkdtemp(prefix="chatterlens-")
@@ -48,9 +57,8 @@ def durable(df: DataFrame) -> DataFrame:
     The partitions and their row order are kept, and survive the loss of any
     executor, so later passes over the frame all see the same rows.
     """
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+    if _checkpoint_dir(df.sparkSession) is None:
+        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

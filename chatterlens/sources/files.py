@@ -12,13 +12,13 @@ from chatterlens import schemas as S
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core work when the input has fewer splits than there are cores.
+    """Deal out an input whose few splits would leave most of the cores idle.
 
-    A table of many files or row groups is left alone; only a single big file, or
-    one that cannot be split, is dealt out over the cluster.
+    A table of many files or row groups is left alone, as a shuffle of it would cost
+    more than it gains; only a lone big file, or one that cannot be split, is moved.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
 
 
 def read_dump(spark: SparkSession, path: str) -> DataFrame:

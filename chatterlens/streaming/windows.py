@@ -18,7 +18,7 @@ from chatterlens.functions.labels import epoch_to_iso
 from chatterlens.operators import keywords as K
 from chatterlens.operators import validate as V
 from chatterlens.operators.records import json_values
-from chatterlens.operators.sequence import COMMENT_ORDER, index_and_count
+from chatterlens.operators.sequence import COMMENT_ORDER, index_and_count, whole_part
 from chatterlens.sources.results import BatchTable
 from chatterlens.sources.streams import Topic, source
 from chatterlens.streaming.jobs import _each_batch
@@ -91,7 +91,7 @@ class KeywordWindows:
         by_offset = ["partition", "offset"] if "offset" in batch.columns else COMMENT_ORDER
         numbered, arrived = index_and_count(comments, by_offset, "_local")
         placed = numbered.withColumn("seq", F.col("_local") + F.lit(total))
-        windows = placed.withColumn("window_no", F.floor(F.col("seq") / F.lit(self.n)))
+        windows = placed.withColumn("window_no", whole_part("seq", self.n))
         first_closed, next_open = total // self.n, (total + arrived) // self.n
 
         matches = K.keyword_matches(windows, K.distinct_keywords(active))

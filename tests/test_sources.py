@@ -65,6 +65,7 @@ def test_cluster_needs_a_shared_folder(spark, monkeypatch):
             master = "spark://somewhere"
             getConf = staticmethod(lambda: Remote.conf)
 
+    monkeypatch.setattr(session, "_checkpoint_dir", lambda spark: None)
     with pytest.raises(RuntimeError):
         session.shared_dir(Remote)
 
