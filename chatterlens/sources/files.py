@@ -12,13 +12,15 @@ from chatterlens import schemas as S
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out an input whose few splits would leave most of the cores idle.
+    """Deal out an input that has fewer splits than there are cores.
 
-    A table of many files or row groups is left alone, as a shuffle of it would cost
-    more than it gains; only a lone big file, or one that cannot be split, is moved.
+    Such an input holds less than one full split per core, so moving it costs little
+    beside the text work, while a lone row group or a file that cannot be split would
+    keep one core busy and all others idle. A large table has more splits than cores
+    and is never moved.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def read_dump(spark: SparkSession, path: str) -> DataFrame:
