@@ -5,7 +5,6 @@ import random
 from datetime import datetime, timezone
 
 import pytest
-from pyspark.sql import functions as F
 
 from chatterlens.operators import keywords as K
 from chatterlens.operators import sequence as Q
@@ -145,9 +144,9 @@ def test_trend_window_edges(spark):
     comments = spark.createDataFrame(rows, "cleaned_body string, created_utc bigint, subreddit string, label string")
     asked = spark.createDataFrame([("u", "a", "b", 0)], "user_id string, keyword1 string, keyword2 string, req_seq bigint")
     trend = K.keyword_trend(comments, asked)
-    got = sorted((F_epoch(r.window_start), r.keyword, r.score, r.total) for r in trend.collect())
+    got = sorted((epoch_of(r.window_start), r.keyword, r.score, r.total) for r in trend.collect())
     assert got == [(0, "a", 1.0, 1), (300, "a", 0.0, 1), (300, "b", 0.5, 1)]
 
 
-def F_epoch(stamp):
+def epoch_of(stamp):
     return int(stamp.replace(tzinfo=timezone.utc).timestamp()) if stamp.tzinfo is None else int(stamp.timestamp())
