@@ -125,3 +125,25 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.nd
         else:
             out.append(fold(h[first[i]: first[i + 1]], int(n)) if n else np.zeros(0, np.uint64))
     return out
+
+
+TABLE = 0x20000
+_letters = np.array([chr(c).isalpha() for c in range(TABLE)])
+_lower = np.array([ord(chr(c).lower()) if len(chr(c).lower()) == 1 else c for c in range(TABLE)], np.uint32)
+
+
+def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts, and the places where each text begins and ends."""
+    leads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le", "replace"), np.uint32)
+    return points, leads[offsets]
+
+
+def letters(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-cased code points, and which of them are letters."""
+    low = points < TABLE
+    inside = np.where(low, points, 0)
+    is_letter = low & _letters[inside]
+    for c in np.unique(points[~low]):
+        is_letter |= (points == c) & chr(c).isalpha()
+    return np.where(low, _lower[inside], points), is_letter
