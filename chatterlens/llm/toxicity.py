@@ -40,10 +40,9 @@ _strip = bytes(range(0x21, 0x30)) + b":;<=>?[]{}()\\^_`|~"
 
 
 def words(text: bytes) -> list[bytes]:
-    """Distinct lower-cased words without outer punctuation, sorted."""
+    """Distinct lower-cased words without outer punctuation, sorted; plain numbers are left out."""
     found = {w.strip(_strip) for w in text.decode("utf-8", "replace").lower().encode().split()}
-    found.discard(b"")
-    return sorted(found)
+    return sorted(w for w in found if w and not w.isdigit())
 
 
 def bags(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
