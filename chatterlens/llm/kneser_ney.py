@@ -34,6 +34,9 @@ ORDER = 4
 BITS = 12
 SYMBOLS = 1 << BITS
 BLOCK_BYTES = 32 << 20
+LEVEL = 6
+CHUNK_BYTES = 1 << 20
+MERGE = 16
 QUANTILE = 0.995
 
 _symbol = np.arange(1, 2049, dtype=np.int64)
@@ -62,7 +65,7 @@ def make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out():
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as writer:
             for batch in held:
                 writer.write_batch(batch)
         ids = pa.concat_arrays([b.column("doc_id") for b in held])
@@ -87,6 +90,15 @@ def _batches(payload) -> Iterator[pa.RecordBatch]:
         yield from reader
 
 
+def merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams and summed counts of several such pairs."""
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    codes, distinct = pd.factorize(np.concatenate([keys for keys, _ in found]))
+    counts = np.concatenate([counts for _, counts in found])
+    return distinct, np.bincount(codes, counts, minlength=len(distinct)).astype(np.int64)
+
+
 def count_block(left: pa.Table, right: pa.Table) -> pa.Table:
     """The distinct n-grams of a block and how often its trusted documents have each."""
     trusted = right.column("doc_id").to_numpy()
@@ -94,15 +106,14 @@ def count_block(left: pa.Table, right: pa.Table) -> pa.Table:
     for payload, block in zip(left.column("payload"), left.column("block")):
         for batch in _batches(payload.as_buffer()):
             own = pd.Series(batch.column("doc_id").to_pylist(), dtype="Int64").isin(trusted).to_numpy(bool)
-            for at, end, data, offsets in textnum.text_chunks(batch, "text"):
+            for at, end, data, offsets in textnum.text_chunks(batch, "text", CHUNK_BYTES):
                 keys, sizes = grams(data, offsets)
                 codes, distinct = pd.factorize(keys)
                 weight = np.repeat(own[at:end], sizes)
                 found.append((distinct, np.bincount(codes[weight], minlength=len(distinct))))
-    keys = np.concatenate([k for k, _ in found]) if found else np.zeros(0, np.int64)
-    counts = np.concatenate([c for _, c in found]) if found else np.zeros(0, np.int64)
-    codes, distinct = pd.factorize(keys)
-    sums = np.bincount(codes, counts, minlength=len(distinct)).astype(np.int64)
+                if len(found) == MERGE:
+                    found = [merged(found)]
+    distinct, sums = merged(found)
     number = left.column("block")[0].as_py() if len(left) else 0
     return pa.table({"block": np.full(len(distinct), number, np.int64), "gram": distinct, "count": sums})
 
@@ -122,7 +133,7 @@ def score_block(left: pa.Table, right: pa.Table) -> pa.Table:
     for payload in left.column("payload"):
         for batch in _batches(payload.as_buffer()):
             own = pd.Series(batch.column("doc_id").to_pylist(), dtype="Int64").isin(trusted).to_numpy(bool)
-            for at, end, data, offsets in textnum.text_chunks(batch, "text"):
+            for at, end, data, offsets in textnum.text_chunks(batch, "text", CHUNK_BYTES):
                 found, sizes = grams(data, offsets)
                 codes, distinct = pd.factorize(found)
                 each = logs[np.searchsorted(keys, distinct)][codes] if len(distinct) else np.zeros(0)
