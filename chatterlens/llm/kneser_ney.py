@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from chatterlens.llm import textnum
 from chatterlens.llm.storage import stored
+from chatterlens.operators.joins import sized_join
 
 ORDER = 4
 BITS = 12
@@ -215,7 +216,8 @@ def judge(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     known = scored.where("trusted AND perplexity IS NOT NULL")
     own = known.groupBy("_lang").agg(F.percentile_approx("perplexity", QUANTILE, 10_000).alias("own"))
     overall = known.agg(F.coalesce(F.percentile_approx("perplexity", QUANTILE, 10_000), F.lit(math.inf)).alias("overall"))
-    limited = scored.join(own, "_lang", "left").join(F.broadcast(overall))  # one row
+    # a hot language must not gather its rows in one task: broadcast after a count, else salted
+    limited = sized_join(scored, stored(own, "limits"), ["_lang"], "left").join(F.broadcast(overall))  # one row
     limit = F.coalesce("own", "overall")
     kept = F.coalesce(F.col("perplexity") <= limit, F.lit(False))
     return limited.select("doc_id", "lang", "n_symbols", "perplexity", limit.alias("limit"), kept.alias("kept"))

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatterlens.llm import textnum
+from chatterlens.llm.storage import stored
+from chatterlens.operators.joins import sized_join
 
 MIN_WORDS = 20
 MAX_REPEAT = 30
@@ -101,11 +103,12 @@ def host_rates(judged: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame) -> DataFrame:
     """``docs`` with the ``MEASURES``, ``base_failed``, ``host_rate`` and ``kept``."""
-    found = measured(docs)
+    found = measured(docs).withColumn("_host", F.coalesce("source", F.lit("")))
     # counted from the two columns that matter, so no text is shuffled for it
     rates = host_rates(measured(docs.select("source", "text")).select("source", "base_failed"))
     bad = rates.where(F.col("rate") > HOST_RATE).select(F.col("host").alias("_host"), F.col("rate").alias("host_rate"))
-    joined = found.join(bad, F.coalesce("source", F.lit("")) == F.col("_host"), "left").drop("_host")
+    # a hot host must not gather its texts in one task: broadcast after a count, else salted
+    joined = sized_join(found, stored(bad, "hosts"), ["_host"], "left").drop("_host")
     return joined.withColumn("kept", ~F.col("base_failed") & F.col("host_rate").isNull())
 
 
