@@ -15,22 +15,41 @@ AFTER_MAX, BEFORE_MIN = "after_max", "before_min"
 BAD_BODY, DELETED, TOO_SHORT = "bad_body", "deleted", "too_short"
 
 
+# A line counts as JSON only if it can stand as one item before this mark, so nothing may follow it.
+_MARK = "9f2c after"
+_STRICT = {"allowSingleQuotes": "false"}
+
+
+def is_json(value: Column) -> Column:
+    """The whole line is one JSON value of any kind (NaN and infinities count as numbers).
+
+    The reader behind ``from_json`` goes on after some errors inside a value, the variant parser stops at the first,
+    but knows no NaN; a line has to satisfy both.
+    """
+    items = F.from_json(F.concat(F.lit("["), value, F.lit(f',"{_MARK}"]')), "array<string>", _STRICT)
+    alone = (F.size(items) == 2) & (F.get(items, F.lit(1)) == _MARK)
+    return F.coalesce(alone & (F.try_parse_json(value).isNotNull() | value.rlike("NaN|Infinity")), F.lit(False))
+
+
+def object_keys(value: Column) -> Column:
+    """The keys of a line that is one JSON object, else NULL."""
+    return F.when(is_json(value), F.map_keys(F.from_json(value, "map<string,string>", _STRICT)))
+
+
+def _holds(keys: Column, fields: list[str]) -> Column:
+    wanted = F.array(*[F.lit(f) for f in fields])
+    return F.coalesce(F.size(F.array_except(wanted, keys)) == 0, F.lit(False))
+
+
 def has_keys(value: Column, fields: list[str]) -> Column:
     """All keys are in the JSON object, null values included; false for anything but an object."""
-    wanted = F.array(*[F.lit(f) for f in fields])
-    missing = F.array_except(wanted, F.json_object_keys(value))
-    return F.coalesce(F.size(missing) == 0, F.lit(False))
+    return _holds(object_keys(value), fields)
 
 
 def has_required_fields(value: Column) -> Column:
     return has_keys(value, S.REQUIRED_FIELDS)
 
 
-def is_json(value: Column) -> Column:
-    """Valid JSON of any kind; the cheap object test decides almost every row."""
-    return F.json_object_keys(value).isNotNull() | F.try_parse_json(value).isNotNull()
-
-
 def _whole_number(text: Column) -> Column:
     return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
 
@@ -44,7 +63,10 @@ def parse_json_lines(
     column only. Bad lines stay in the frame for the caller to count or divert.
     """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    parsed = lines.withColumn("_record", F.from_json(F.col(value), as_text))
+    parsed = lines.withColumn("_is_json", is_json(F.col(value))).withColumns({
+        "_record": F.when(F.col("_is_json"), F.from_json(F.col(value), as_text, _STRICT)),
+        "_keys": F.when(F.col("_is_json"), F.map_keys(F.from_json(F.col(value), "map<string,string>", _STRICT))),
+    })
     columns = []
     for field in schema.fields:
         text = F.col("_record")[field.name]
@@ -53,8 +75,8 @@ def parse_json_lines(
         columns.append(text.try_cast(field.dataType).alias(field.name))
     return parsed.select(
         *lines.columns,
-        is_json(F.col(value)).alias("is_json"),
-        has_keys(F.col(value), schema.fieldNames()).alias("has_fields"),
+        F.col("_is_json").alias("is_json"),
+        _holds(F.col("_keys"), schema.fieldNames()).alias("has_fields"),
         *columns,
     )
 
@@ -179,7 +201,7 @@ def valid_session_call(calls: DataFrame) -> DataFrame:
     status = (
         F.when(F.col("method") != "POST", 405)
         .when(~is_json(payload), 400)
-        .when(F.json_object_keys(payload).isNull(), 500)
+        .when(object_keys(payload).isNull(), 500)
         .when(~complete, 400)
         .otherwise(200)
     )

@@ -22,6 +22,7 @@ COMMENT_COLUMNS = {
         WHEN 2 THEN '  [Removed] '
         WHEN 3 THEN 'ok'
         WHEN 4 THEN concat(text, ' lol btw this app is g.o.a.t')
+        WHEN 10 THEN concat({every_key}, ' ', text)
         WHEN 5 THEN concat(text, ' see https://example.com/a?b=1 or www.test.org now')
         WHEN 6 THEN concat('/u/alice r/python you/me ', text)
         WHEN 7 THEN 'I cannot wait, gonna LOVE it!'
@@ -34,6 +35,8 @@ COMMENT_COLUMNS = {
     "label": """CASE WHEN doc_id % 13 = 0 THEN 'unknown' WHEN doc_id % 7 < 3 THEN 'positive'
         WHEN doc_id % 7 < 5 THEN 'neutral' ELSE 'negative' END""",
 }
+# Every slang key once, so that a missing entry shows.
+COMMENT_COLUMNS["body"] = COMMENT_COLUMNS["body"].replace("{every_key}", "'" + " ".join(SLANG) + "'")
 EMOJI_BODY = """concat(CASE doc_id % 5 WHEN 0 THEN 'so good 😀' WHEN 1 THEN '❤️ this ❤'
         WHEN 2 THEN 'no👎👎way 😡' WHEN 3 THEN '🦖 unlisted 😂😂' ELSE 'plain' END, ' ', text)"""
 

@@ -28,7 +28,8 @@ class BatchTable:
         return rows if before is None else rows.filter(F.col("batch_id") < before)
 
     def has_batch(self, batch_id: int) -> bool:
-        return path_exists(self.spark, f"{self.path}/batch_id={batch_id}")
+        """Whether the batch is committed; its folder alone exists before any row does."""
+        return path_exists(self.spark, f"{self.path}/batch_id={batch_id}/_SUCCESS")
 
     def read_batch(self, batch_id: int) -> DataFrame:
         if not self.has_batch(batch_id):

@@ -80,6 +80,8 @@ class KeywordWindows:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         before = self.progress.read_batch(batch_id - 1).first()
+        if before is None and batch_id > 0:
+            raise RuntimeError(f"the progress of batch {batch_id - 1} is gone; counting from 0 again would be wrong")
         total = before.total if before else 0
         marks = [(m.upto, m.at) for m in before.marks] if before else []
         upto = self.requests.newest_batch(marks[-1][0] if marks else -1)
@@ -101,7 +103,7 @@ class KeywordWindows:
         counts = self.open_counts.read_batch(batch_id - 1).unionByName(fresh)
         if next_open > first_closed:
             self.responses.write(self._respond(windows, counts, active, first_closed, next_open), batch_id)
-        self.open_counts.write(counts.filter(F.col("window_no") >= next_open).coalesce(1), batch_id)
+        self.open_counts.write(counts.filter(F.col("window_no") >= next_open), batch_id)
         # Written last: without it the batch has not happened.
         row = [(total + arrived, self._kept_marks([*marks, (upto, total)], next_open * self.n))]
         self.progress.write(self.spark.createDataFrame(row, self.progress.schema).coalesce(1), batch_id)
