@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
@@ -16,8 +16,11 @@ def _quoted(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _map(entries: Mapping[str, str]) -> str:
-    return "map(" + ", ".join(f"{_quoted(k)}, {_quoted(v)}" for k, v in entries.items()) + ")"
+def _entry(entries: Mapping[str, str], word: str) -> str:
+    """The entry for ``word`` or NULL, found in one small bucket."""
+    buckets = X.bucketed(entries)
+    maps = f"from_json({_quoted(json.dumps(buckets, ensure_ascii=False))}, 'array<map<string,string>>')"
+    return f"try_element_at(get({maps}, cast(pmod(crc32(cast({word} AS BINARY)), {len(buckets)}) AS INT)), {word})"
 
 
 def _words(value: str) -> str:
@@ -31,12 +34,12 @@ def _replace(value: str, pattern: str, by: str = "") -> str:
 def _clean_text(slang: Mapping[str, str], emoji: Mapping[str, str]) -> str:
     step = "lower(coalesce(t, ''))"
     if emoji:
-        span = X._span(list(emoji))
-        piece = "|".join([*map(re.escape, sorted(emoji, key=len, reverse=True)), f"[^{span}]+", f"[{span}]"])
-        named = f"transform(regexp_extract_all({step}, {_quoted(piece)}, 0), p -> coalesce(concat(' ', {_map(emoji)}[p], ' '), p))"
-        step = f"array_join({named}, '')"
+        name = f"if(length(p) <= {max(map(len, emoji))}, concat(' ', {_entry(emoji, 'p')}, ' '), NULL)"
+        pieces = f"regexp_extract_all({step}, {_quoted(X.emoji_pieces(emoji))}, 0)"
+        named = f"array_join(transform({pieces}, p -> coalesce({name}, p)), '')"
+        step = f"if(rlike({step}, {_quoted('[' + X.emoji_span(emoji) + ']')}), {named}, {step})"
     if slang:
-        step = f"array_join(transform({_words(step)}, w -> coalesce({_map(slang)}[lower(w)], w)), ' ')"
+        step = f"array_join(transform({_words(step)}, w -> coalesce({_entry(slang, 'lower(w)')}, w)), ' ')"
     for pattern in (X.USER_MENTION, X.FORUM_MENTION, X.URL, X.NOT_ALNUM):
         step = _replace(step, pattern)
     return _replace(f"trim({_replace(step, X.SPACES, ' ')})", X.CONTRACTIONS, X.PARTED)

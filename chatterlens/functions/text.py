@@ -36,12 +36,20 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def bucketed(entries: Mapping) -> list[dict]:
+    """The entries cut into small maps by a checksum of the key; a map column is searched entry by entry."""
+    slots = 1 << (len(entries) // 8).bit_length()
+    buckets: list[dict] = [{} for _ in range(slots)]
+    for key, value in entries.items():
+        buckets[zlib.crc32(key.encode("utf-8")) % slots][key] = value
+    return buckets
+
+
 def dictionary_lookup(word: Column, entries: Mapping, value_type: str = "string") -> Column:
     """The entry for ``word``, or NULL.
 
-    A miss costs one hash probe (IN over a literal set). Large dictionaries are
-    also cut into small maps by a checksum of the key, because a map column is
-    searched entry by entry.
+    In a small dictionary a miss costs one hash probe (IN over a literal set), in a large one a checksum
+    and the search of one bucket; no literal per entry is then built on the driver.
     """
     if not entries:
         return F.lit(None).cast(value_type)
@@ -49,16 +57,11 @@ def dictionary_lookup(word: Column, entries: Mapping, value_type: str = "string"
     if len(keys) <= _INLINE_ENTRIES:
         literal = json.dumps(dict(entries), ensure_ascii=False)
         found = F.try_element_at(F.from_json(F.lit(literal), f"map<string,{value_type}>"), word)
-    else:
-        slots = 1 << (len(keys) // 8).bit_length()
-        buckets: list[dict] = [{} for _ in range(slots)]
-        for key in keys:
-            buckets[zlib.crc32(key.encode("utf-8")) % slots][key] = entries[key]
-        literal = json.dumps(buckets, ensure_ascii=False)
-        maps = F.from_json(F.lit(literal), f"array<map<string,{value_type}>>")
-        slot = F.pmod(F.crc32(word.cast("binary")), F.lit(slots)).cast("int")
-        found = F.try_element_at(F.get(maps, slot), word)
-    return F.when(word.isin(*keys), found)
+        return F.when(word.isin(*keys), found)
+    buckets = bucketed(entries)
+    maps = F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), f"array<map<string,{value_type}>>")
+    slot = F.pmod(F.crc32(word.cast("binary")), F.lit(len(buckets))).cast("int")
+    return F.try_element_at(F.get(maps, slot), word)
 
 
 def strip_space(text: Column) -> Column:
@@ -74,26 +77,40 @@ def lowercase(text: Column) -> Column:
     return F.lower(text)
 
 
-def _span(symbols: list[str]) -> str:
-    """A character class that covers all first characters with one or two ranges."""
-    firsts = sorted({s[0] for s in symbols})
-    parts = [[c for c in firsts if c <= "\uffff"], [c for c in firsts if c > "\uffff"]]
-    return "".join(f"{p[0]}-{p[-1]}" for p in parts if p)
+_SPAN_GAP = 0x200
+
+
+def emoji_span(emoji: Mapping[str, str]) -> str:
+    """A character class of a few ranges that covers all first characters."""
+    ranges: list[list[str]] = []
+    for c in sorted({symbol[0] for symbol in emoji}):
+        if ranges and ord(c) - ord(ranges[-1][1]) <= _SPAN_GAP:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "".join(f"{first}-{last}" for first, last in ranges)
+
+
+def emoji_pieces(emoji: Mapping[str, str]) -> str:
+    """A pattern that cuts a text into stretches without emoji, listed sequences, and single characters."""
+    span = emoji_span(emoji)
+    sequences = sorted((e for e in emoji if len(e) > 1), key=len, reverse=True)
+    return "|".join([f"[^{span}]+", *map(re.escape, sequences), f"[{span}]"])
 
 
 def emoji_to_words(text: Column, emoji: Mapping[str, str] = EMOJI) -> Column:
     """Replace each emoji by its name between spaces, longest sequence first."""
     if not emoji:
         return text
-    longest_first = sorted(emoji, key=len, reverse=True)
-    span = _span(longest_first)
-    piece = "|".join([*map(re.escape, longest_first), f"[^{span}]+", f"[{span}]"])
+    longest = max(map(len, emoji))
     named = F.transform(
-        F.regexp_extract_all(text, F.lit(piece), F.lit(0)),
-        lambda p: F.coalesce(F.concat(F.lit(" "), dictionary_lookup(p, emoji), F.lit(" ")), p),
+        F.regexp_extract_all(text, F.lit(emoji_pieces(emoji)), F.lit(0)),
+        lambda p: F.coalesce(
+            F.when(F.length(p) <= longest, F.concat(F.lit(" "), dictionary_lookup(p, emoji), F.lit(" "))), p
+        ),
     )
     # Most texts hold no character of the span and skip the rest.
-    return F.when(text.rlike(f"[{span}]"), F.array_join(named, "")).otherwise(text)
+    return F.when(text.rlike(f"[{emoji_span(emoji)}]"), F.array_join(named, "")).otherwise(text)
 
 
 def expand_slang(text: Column, slang: Mapping[str, str] = SLANG) -> Column:

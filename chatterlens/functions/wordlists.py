@@ -1,9 +1,15 @@
 """Default dictionaries. Every one is a parameter of the function that uses it.
 
-The slang default is complete. The emoji default holds common entries; a longer dictionary is
-data: load it with ``sources.files.read_dictionary`` and pass it as ``emoji=`` / ``lexicon=``.
+The slang default is complete. The emoji default names every emoji of Unicode by rule. Other dictionaries are
+data: load them with ``sources.files.read_dictionary`` and pass them as ``slang=`` / ``emoji=`` / ``lexicon=``.
 """
 
+from __future__ import annotations
+
+import unicodedata
+
+import regex
+
 # Abbreviation -> expansion, keys compared with the lower-cased word.
 SLANG = {
     "$": " dollar ",
@@ -235,8 +241,8 @@ SLANG = {
     "zzz": "sleeping bored and tired",
 }
 
-# Emoji sequence -> its common short name.
-EMOJI = {
+# Emoji sequence -> its common short name, where that differs from the Unicode name.
+EMOJI_SHORT_NAMES = {
     "😀": "grinning_face",
     "😁": "beaming_face_with_smiling_eyes",
     "😂": "face_with_tears_of_joy",
@@ -278,3 +284,37 @@ EMOJI = {
     "✅": "check_mark_button",
     "❌": "cross_mark",
 }
+SKIN_TONES = {
+    "\U0001f3fb": "light_skin_tone",
+    "\U0001f3fc": "medium-light_skin_tone",
+    "\U0001f3fd": "medium_skin_tone",
+    "\U0001f3fe": "medium-dark_skin_tone",
+    "\U0001f3ff": "dark_skin_tone",
+}
+_VARIATION = "\ufe0f"
+
+
+def emoji_names(short_names: dict[str, str] = EMOJI_SHORT_NAMES) -> dict[str, str]:
+    """Every emoji of Unicode with its name: the short name if given, else the Unicode name.
+
+    Characters that show as text by default also come with the variation selector, those that take a skin
+    tone with each of the five. Joined sequences and flags are named part by part.
+    """
+    names = {}
+    for point in range(0x80, 0x20000):
+        symbol = chr(point)
+        if symbol in SKIN_TONES or not regex.match(r"\p{Emoji}", symbol):
+            continue
+        official = unicodedata.name(symbol, "").lower().replace(" ", "_")
+        name = short_names.get(symbol, official)
+        if not name:
+            continue
+        names[symbol] = name
+        if not regex.match(r"\p{Emoji_Presentation}", symbol):
+            names[symbol + _VARIATION] = name
+        if regex.match(r"\p{Emoji_Modifier_Base}", symbol):
+            names.update({symbol + tone: f"{name}_{of}" for tone, of in SKIN_TONES.items()})
+    return names | SKIN_TONES | short_names
+
+
+EMOJI = emoji_names()

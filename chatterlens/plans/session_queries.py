@@ -71,13 +71,16 @@ def _join_response(spark, sf_dir):
 
 
 @query("request_heartbeat", f"""{_LOG}, spans AS (SELECT *,
-      least(coalesce(lead(event_utc) OVER (PARTITION BY user_id ORDER BY seq), 1704200000), 1704200000) AS ended
+      coalesce(lead(event_utc) OVER (PARTITION BY user_id ORDER BY seq), (SELECT max(event_utc) FROM session_log)) AS ended
       FROM session_log)
     SELECT user_id, keyword1, keyword2, seq AS session_seq, event_utc + 600 * beat AS request_utc
     FROM (SELECT *, unnest(range(0, greatest(1, (ended - event_utc + 599) // 600))) AS beat
           FROM spans WHERE action = 'start' AND event_utc <= ended)""")
 def _heartbeat(spark, sf_dir):
-    return U.request_heartbeat(D.session_log(spark, sf_dir), 1704200000, every_seconds=600)
+    """Up to the last event of the whole log."""
+    log = D.session_log(spark, sf_dir)
+    last = log.agg(F.max("event_utc")).first()[0]
+    return U.request_heartbeat(log, last or 0, every_seconds=600)
 
 
 @query("restart_series", f"""{_LOG} SELECT *, CAST(sum(CASE action WHEN 'start' THEN 1 ELSE 0 END)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterlens.functions.text import clean_text
-from chatterlens.functions.wordlists import SLANG
+from chatterlens.functions.wordlists import EMOJI, SLANG
 from chatterlens.sources.files import spread
 
 COMMENT_COLUMNS = {
@@ -37,8 +37,10 @@ COMMENT_COLUMNS = {
 }
 # Every slang key once, so that a missing entry shows.
 COMMENT_COLUMNS["body"] = COMMENT_COLUMNS["body"].replace("{every_key}", "'" + " ".join(SLANG) + "'")
-EMOJI_BODY = """concat(CASE doc_id % 5 WHEN 0 THEN 'so good 😀' WHEN 1 THEN '❤️ this ❤'
-        WHEN 2 THEN 'no👎👎way 😡' WHEN 3 THEN '🦖 unlisted 😂😂' ELSE 'plain' END, ' ', text)"""
+# Every emoji of the dictionary once in some texts, so that a missing entry shows.
+EMOJI_BODY = """concat(CASE WHEN doc_id % 50 = 7 THEN '{every_emoji}' ELSE '' END, CASE doc_id % 5 WHEN 0 THEN 'so good 😀' WHEN 1 THEN '❤️ this ❤'
+        WHEN 2 THEN 'no👎👎way 😡' WHEN 3 THEN '🦖 👍🏽x 😂😂' ELSE 'plain' END, ' ', text)"""
+EMOJI_BODY = EMOJI_BODY.replace("{every_emoji}", " ".join(EMOJI) + " ")
 
 REQUEST_ROWS = [
     ("u1", "the", "worthless", 0),

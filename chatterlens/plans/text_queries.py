@@ -37,13 +37,16 @@ _one_column(
 
 
 def _duck_emoji(text: str) -> str:
-    for symbol in sorted(EMOJI, key=len, reverse=True):
-        text = f"replace({text}, '{symbol}', ' {EMOJI[symbol]} ')"
-    return text
+    """Runs of characters below any emoji, listed sequences, and all other characters one by one."""
+    sequences = "|".join(sorted((e for e in EMOJI if len(e) > 1), key=len, reverse=True))
+    pieces = f"regexp_extract_all({text}, '[\\x00-\\x{{A8}}]+|{sequences}|(?s:.)')"
+    name = f"map_extract_value({D.duck_map(EMOJI)}, p)"
+    known = f"CASE WHEN length(p) <= 2 AND ord(p) > 168 THEN {name} END"
+    return f"array_to_string(list_transform({pieces}, lambda p: coalesce(' ' || {known} || ' ', p)), '')"
 
 
 @query("emoji_to_words", f"WITH {D.EMOJI_CTE} SELECT id, {_duck_emoji('body')} AS named, "
-       f"{D.duck_clean(_duck_emoji('body'))} AS cleaned_body FROM emoji_comments")
+       f"{D.duck_clean(_duck_emoji('lower(body)'))} AS cleaned_body FROM emoji_comments")
 def _emoji_to_words(spark, sf_dir):
     return D.emoji_comments(spark, sf_dir).select(
         "id", X.emoji_to_words(F.col("body")).alias("named"), X.clean_text(F.col("body")).alias("cleaned_body")
