@@ -139,11 +139,13 @@ def bernoulli_sample(
 ) -> DataFrame:
     """Keep each row with probability ``share``; the choice depends on the key and seed only.
 
-    ``at_most`` bounds the size of the sample.
+    ``at_most`` bounds the size of the sample: the rows with the smallest draws stay.
     """
-    draw = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(1_000_000))
-    sampled = df.filter(draw < int(share * 1_000_000))
-    return sampled if at_most is None else sampled.limit(at_most)
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    draw = F.md5(F.concat(text, F.lit(f":{seed}")).cast("binary"))
+    # the first eight hexadecimal digits against the share of all their values
+    sampled = df if share >= 1 else df.filter(F.substring(draw, 1, 8) < f"{int(share * 2**32):08x}")
+    return sampled if at_most is None else sampled.orderBy(draw, key).limit(at_most)
 
 
 def concat_chunks(chunks: list[DataFrame]) -> DataFrame:

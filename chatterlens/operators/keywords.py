@@ -171,7 +171,7 @@ def keyword_response(
     windows: DataFrame,
     requests: DataFrame,
     n: int = S.WINDOW_COMMENTS,
-    reset_on_request: bool = False,
+    reset_on_request: bool = True,
 ) -> DataFrame:
     """One row per full window and user with a request: both keywords' score and total.
 

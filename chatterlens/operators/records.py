@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chatterlens import schemas as S
 from chatterlens.functions.text import clean_text, original_length
 from chatterlens.functions.wordlists import EMOJI, SLANG
+from chatterlens.operators import validate as V
 
 # What a missing field reads as.
 DEFAULTS = {"id": "", "created_utc": 0, "subreddit": "", "score": 0, "cleaned_body": "", "original_length": 0}
@@ -47,28 +48,27 @@ def cleaned_errors(lines: DataFrame) -> DataFrame:
     return lines.filter(bad).select(F.lit("no JSON object").alias("error"), F.lit("").alias("cleaned_body"))
 
 
-def labeled_record(cleaned: DataFrame, label: Column) -> DataFrame:
-    """Cleaned comment to labelled comment; an empty text has an unknown label."""
+def labeled_fields(label: Column) -> list[Column]:
+    """The fields of a labelled comment; an empty text has an unknown label."""
     text = F.coalesce(F.col("cleaned_body"), F.lit(""))
     known = F.when(text == "", F.lit(S.UNKNOWN_LABEL)).otherwise(
         F.coalesce(label, F.lit(S.UNKNOWN_LABEL))
     )
-    return cleaned.select(
-        with_default("id"),
-        with_default("created_utc"),
-        with_default("subreddit"),
-        with_default("score"),
-        with_default("cleaned_body"),
-        known.alias("label"),
-        with_default("original_length"),
-    )
+    return [known.alias("label") if n == "label" else with_default(n) for n in S.LABELED_COMMENT.fieldNames()]
+
+
+def labeled_record(cleaned: DataFrame, label: Column) -> DataFrame:
+    """Cleaned comment to labelled comment."""
+    return cleaned.select(*labeled_fields(label))
+
+
+def error_fields() -> list[Column]:
+    """What the labelled stream carries for a value that is no JSON object."""
+    return [F.lit("no JSON object").alias("error"), F.lit("error").alias("label"), F.lit("").alias("cleaned_body")]
 
 
 def labeled_errors(lines: DataFrame) -> DataFrame:
-    bad = F.json_object_keys("value").isNull()
-    return lines.filter(bad).select(
-        F.lit("no JSON object").alias("error"), F.lit("error").alias("label"), F.lit("").alias("cleaned_body")
-    )
+    return lines.filter(V.object_keys(F.col("value")).isNull()).select(*error_fields())
 
 
 def dashboard_record(responses: DataFrame) -> DataFrame:

@@ -93,9 +93,8 @@ def _first_lines(spark, sf_dir):
     return A.first_n_lines(D.comments(spark, sf_dir).select("id", "created_utc"), 400, KQ.arrival_order()).select("id")
 
 
-@query("bernoulli_sample")
+@query("bernoulli_sample", f"{_WITH} SELECT id, label FROM comments WHERE substr(md5(id || ':42'), 1, 8) < '40000000'")
 def _sample(spark, sf_dir):
-    """A sampling operator; the choice hangs on Spark's own hash, so it has no SQL twin."""
     return A.bernoulli_sample(D.comments(spark, sf_dir), 0.25).select("id", "label")
 
 

@@ -216,12 +216,29 @@ def _bayes(spark, sf_dir):
     return probs.withColumn("log_prob", F.round("log_prob", 6))
 
 
-@query("predict_label")
+def bayes_model(spark, sf_dir):
+    """All cleaned texts, the vocabulary of them, and naive Bayes trained on the known labels."""
+    texts = durable(D.cleaned(spark, sf_dir).select("id", "cleaned_body", "label"))
+    vectorizer = E.Vectorizer.fit(texts, MIN_DF, MAX_FEATURES)
+    return texts, vectorizer, M.train_naive_bayes(durable(M.with_class(vectorizer.transform(texts))))
+
+
+PREDICTED = f"""{_VOCABULARY}, {_tfidf_cte()},
+    truth AS (SELECT id, label FROM comments WHERE label IN ('negative', 'neutral', 'positive')),
+    sums AS (SELECT label, idx, sum(weight) AS weight FROM tfidf JOIN truth USING (id) GROUP BY ALL),
+    totals AS (SELECT label, sum(weight) AS total FROM sums GROUP BY label),
+    priors AS (SELECT label, ln((count(*) + 1) / ((SELECT count(*) FROM truth) + 3)) AS prior FROM truth GROUP BY label),
+    logs AS (SELECT p.label, v.idx, ln((coalesce(s.weight, 0) + 1) / (t.total + (SELECT count(*) FROM vocabulary))) AS lp
+      FROM priors p JOIN totals t USING (label) CROSS JOIN vocabulary v LEFT JOIN sums s ON s.label = p.label AND s.idx = v.idx),
+    terms_said AS (SELECT id, label, sum(weight * lp) AS said FROM tfidf JOIN logs USING (idx) GROUP BY ALL),
+    predicted AS (SELECT c.id, CASE WHEN c.cleaned_body = '' THEN 'unknown' ELSE arg_max(p.label, p.prior + coalesce(s.said, 0)) END AS label
+      FROM cleaned c CROSS JOIN priors p LEFT JOIN terms_said s ON s.id = c.id AND s.label = p.label GROUP BY c.id, c.cleaned_body)"""
+
+
+@query("predict_label", f"{PREDICTED} SELECT id, label FROM predicted")
 def _predict(spark, sf_dir):
-    vectorizer, rows = labeled_vectors(spark, sf_dir)
-    model = M.train_naive_bayes(rows)
-    texts = rows.select("id", "cleaned_body")
-    return M.predict_label(texts, vectorizer, model).select("id", "label")
+    texts, vectorizer, model = bayes_model(spark, sf_dir)
+    return M.predict_label(texts.drop("label"), vectorizer, model).select("id", "label")
 
 
 _GUESSED = f"""guessed AS (SELECT label, CASE WHEN score > 30 THEN 'positive' WHEN score > -30 THEN 'neutral' ELSE 'negative' END AS predicted

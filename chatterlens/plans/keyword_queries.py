@@ -68,12 +68,12 @@ def _rounded(responses):
 
 @query("keyword_response", _response_sql("0"))
 def keyword_response(spark, sf_dir):
-    return _rounded(K.keyword_response(windows(spark, sf_dir), D.requests(spark, sf_dir), N))
+    return _rounded(K.keyword_response(windows(spark, sf_dir), D.requests(spark, sf_dir), N, reset_on_request=False))
 
 
 @query("request_resets_counts", _response_sql("a.req_seq"))
 def request_resets(spark, sf_dir):
-    responses = K.keyword_response(windows(spark, sf_dir), D.requests(spark, sf_dir), N, reset_on_request=True)
+    responses = K.keyword_response(windows(spark, sf_dir), D.requests(spark, sf_dir), N)
     return _rounded(responses)
 
 

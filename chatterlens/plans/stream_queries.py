@@ -69,25 +69,27 @@ def _text_lines(spark, sf_dir):
 
 
 @query("meta_chunks", AQ._CHUNKED.replace("SELECT id, subreddit, label, row_no", "SELECT *")
-       + f" SELECT {', '.join(S.META_CHUNK.fieldNames())}, chunk_id FROM chunks WHERE chunk_id IN (1, 3)")
+       + f" SELECT {', '.join(S.META_CHUNK.fieldNames())}, chunk_id FROM chunks")
 def _meta_chunks(spark, sf_dir):
     path = _folder(spark, "meta")
     chunked = Q.row_chunks(D.comments(spark, sf_dir), KQ.arrival_order(), 250)
     files.write_chunks(files.meta_chunks(chunked), path)
-    read = files.read_chunks(spark, path, [1, 3])
+    read = files.read_chunks(spark, path)
     return read.withColumn("chunk_id", F.col("chunk_id").cast("bigint"))
 
 
 @query("feature_chunks", f"""{FQ._VOCABULARY}, {FQ._tfidf_cte()},
     numbered AS (SELECT id, (row_number() OVER (ORDER BY created_utc, CAST(id AS BIGINT)) - 1) // 250 + 1 AS chunk_id FROM comments)
-    SELECT id, idx, round(weight, 6) AS weight FROM tfidf JOIN numbered USING (id) WHERE chunk_id = 2""")
+    SELECT id, chunk_id, idx, round(weight, 6) AS weight FROM tfidf JOIN numbered USING (id)""")
 def _feature_chunks(spark, sf_dir):
     path = _folder(spark, "features")
     texts = D.cleaned(spark, sf_dir).select("id", "created_utc", "cleaned_body")
     chunked = Q.row_chunks(texts, KQ.arrival_order(), 250)
     vectors = E.Vectorizer.fit(texts, FQ.MIN_DF, FQ.MAX_FEATURES).transform(chunked)
     files.write_chunks(vectors.select("id", "features", "chunk_id"), path)
-    return FQ._entries(files.read_chunks(spark, path, [2]))
+    read = files.read_chunks(spark, path).withColumn("chunk_id", F.col("chunk_id").cast("bigint"))
+    entries = read.select("id", "chunk_id", F.explode(E.vector_entries(F.col("features"))).alias("_e"))
+    return entries.select("id", "chunk_id", "_e.idx", F.round("_e.weight", 6).alias("weight"))
 
 
 _CLEANED = f"""WITH {D.CLEANED_CTE} SELECT id, created_utc, subreddit, score, body, cleaned_body,
@@ -113,18 +115,26 @@ def _labeled_lines(spark, sf_dir):
     return R.json_values(R.labeled_record(cleaned, F.col("label")))
 
 
-_ASKED_FIRST = KQ._response_sql("0").replace("SELECT * FROM (VALUES", "SELECT * REPLACE (0 AS req_seq) FROM (VALUES").replace(
-    ") t(user_id, keyword1, keyword2, req_seq))", ") t(user_id, keyword1, keyword2, req_seq) WHERE keyword1 <> 'of')")
+# The newest request of each user, in force before the first comment.
+_ASKED_FIRST = KQ._response_sql("0").replace(
+    "SELECT * FROM (VALUES", "SELECT user_id, keyword1, keyword2, CAST(0 AS BIGINT) AS req_seq FROM (VALUES"
+).replace(
+    ") t(user_id, keyword1, keyword2, req_seq))",
+    ") t(user_id, keyword1, keyword2, req_seq) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY t.req_seq DESC) = 1)",
+)
+
+
+def _request_values(spark, sf_dir):
+    """Requests as JSON values, a user's replaced one included; the time says which is newer."""
+    time = F.lpad(F.col("req_seq").cast("string"), 20, "0").alias("request_time")
+    return R.json_values(D.requests(spark, sf_dir).select("user_id", "keyword1", "keyword2", time))
 
 
 @query("keyword_stream", _ASKED_FIRST)
 def _keyword_stream(spark, sf_dir):
     """Requests first, then two batches of comments, whose border falls inside a window."""
     asked, said, state = (_folder(spark, n) for n in ("requests", "labeled", "state"))
-    users = D.requests(spark, sf_dir).filter("keyword1 <> 'of'").select(
-        "user_id", "keyword1", "keyword2", F.lit("2019-04-01T00:00:00Z").alias("request_time")
-    )
-    R.json_values(users).coalesce(1).write.text(asked)
+    _request_values(spark, sf_dir).coalesce(1).write.text(asked)
     lines = durable(_labeled_lines(spark, sf_dir))
     time = F.get_json_object("value", "$.created_utc").cast("bigint")
     border = lines.agg(((F.min(time) + F.max(time)) / 2).cast("bigint")).first()[0]
@@ -139,7 +149,7 @@ def _keyword_stream(spark, sf_dir):
 @query("result_table", _ASKED_FIRST)
 def _result_table(spark, sf_dir):
     """The responses upserted twice, first with wrong values: the newer batch wins."""
-    requests = D.requests(spark, sf_dir).filter("keyword1 <> 'of'").withColumn("req_seq", F.lit(0).cast("bigint"))
+    requests = K.latest_request_per_user(D.requests(spark, sf_dir)).withColumn("req_seq", F.lit(0).cast("bigint"))
     responses = durable(KQ._rounded(K.keyword_response(KQ.windows(spark, sf_dir), requests, KQ.N)))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in responses.schema)
     table = ResultTable(spark, _folder(spark, "results"), schema, ["user_id", "window_no"])
@@ -148,22 +158,23 @@ def _result_table(spark, sf_dir):
     return table.current()
 
 
-@query("label_stream", f"""WITH {D.CLEANED_CTE} SELECT id, created_utc, subreddit, score, cleaned_body,
-    cleaned_body = '' AS is_unknown, CAST(length(body) AS INTEGER) AS original_length FROM cleaned""")
+@query("label_stream", f"""{FQ.PREDICTED} SELECT id, created_utc, subreddit, score, cleaned_body, p.label,
+    CAST(length(body) AS INTEGER) AS original_length FROM cleaned JOIN predicted p USING (id)
+    UNION ALL SELECT NULL, NULL, NULL, NULL, '', 'error', NULL FROM range(2)""")
 def _label_stream(spark, sf_dir):
-    """Raw to cleaned to labelled through file hops; labels are checked for their kind only."""
+    """Raw to cleaned to labelled through file hops; two broken lines come out as error records."""
     raw, cleaned, labeled, check = (_folder(spark, n) for n in ("raw", "cleaned", "labeled", "check"))
     _write_raw(spark, sf_dir, raw)
-    vectorizer, rows = FQ.labeled_vectors(spark, sf_dir)
+    _, vectorizer, classifier = FQ.bayes_model(spark, sf_dir)
     store = ModelStore(spark, _folder(spark, "models"))
-    store.publish(vectorizer, M.train_naive_bayes(rows))
+    store.publish(vectorizer, classifier)
     _finish(jobs.clean_stream(spark, Topic(raw), Topic(cleaned), f"{check}/clean", available_now=True))
-    _finish(jobs.label_stream(spark, Topic(cleaned), Topic(labeled), store, f"{check}/label", available_now=True))
+    broken = spark.createDataFrame([('{"id": "1"} trailing',), ("broken line",)], "value string")
+    mixed = _folder(spark, "mixed")  # a folder that a stream writes is read by its log, so the broken lines go elsewhere
+    spark.read.text(cleaned).unionByName(broken).write.text(mixed)
+    _finish(jobs.label_stream(spark, Topic(mixed), Topic(labeled), store, f"{check}/label", available_now=True))
     read = spark.read.schema(S.LABELED_COMMENT).option("recursiveFileLookup", True).json(labeled)
-    return read.select(
-        "id", "created_utc", "subreddit", "score", "cleaned_body",
-        (F.col("label") == S.UNKNOWN_LABEL).alias("is_unknown"), "original_length",
-    )
+    return read.select(*S.LABELED_COMMENT.fieldNames())
 
 
 @query("retrain_stream", f"""WITH {D.CLEANED_CTE}, known AS (SELECT count(*) AS n FROM cleaned
@@ -189,8 +200,7 @@ def _route_stream(spark, sf_dir):
     R.json_values(UQ._responses(spark, sf_dir)).write.text(sent)
     log = D.session_log(spark, sf_dir)
     _finish(jobs.route_stream(spark, Topic(sent), log, out, check, available_now=True))
-    schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in S.KEYWORD_RESPONSE if f.name != 'user_id')}, user_id string, batch_id int"
-    return spark.read.schema(schema).json(out).drop("batch_id")
+    return spark.read.schema(S.KEYWORD_RESPONSE).json(out).select(*S.KEYWORD_RESPONSE.fieldNames())
 
 
 @query("keyword_trend_stream", f"""{KQ._TREND}, ended AS (SELECT max(created_utc) AS last FROM cleaned)
@@ -207,29 +217,31 @@ def _trend_stream(spark, sf_dir):
     return read.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@query("one_stream_chain", f"""WITH {D.CLEANED_CTE}, valid AS (SELECT * FROM cleaned WHERE {D.VALID_SQL})
-    SELECT w.window_no, u.user_id, u.keyword1, u.keyword2 FROM (SELECT unnest(range(0, count(*) // {KQ.N})) AS window_no FROM valid) w,
-    (VALUES ('u1', 'the', 'worthless'), ('u2', 'good love', 'bad hate'), ('u3', 'src7', 'la')) u(user_id, keyword1, keyword2)""")
+_JUDGED = f"""{FQ.PREDICTED}, judged AS (SELECT c.* REPLACE (p.label AS label) FROM cleaned c JOIN predicted p USING (id)),"""
+
+
+@query("one_stream_chain", _ASKED_FIRST.replace(f"WITH {D.CLEANED_CTE},", _JUDGED, 1).replace("FROM cleaned WHERE", "FROM judged WHERE"))
 def _chain(spark, sf_dir):
-    """Raw comments to responses through every hop; one response per user and full window."""
+    """A compressed dump with broken lines to responses, through every hop."""
     raw, cleaned, labeled, asked, state = (
         _folder(spark, n) for n in ("raw", "cleaned", "labeled", "requests", "state")
     )
-    valid = V.valid_comments(D.comments(spark, sf_dir))
-    R.json_values(V.keep_fields(valid)).write.text(raw)
-    users = D.requests(spark, sf_dir).filter("keyword1 <> 'of'").select(
-        "user_id", "keyword1", "keyword2", F.lit("2019-04-01T00:00:00Z").alias("request_time")
-    )
-    R.json_values(users).write.text(asked)
-    vectorizer, rows = FQ.labeled_vectors(spark, sf_dir)
+    dump = _folder(spark, "dump")
+    said = D.comments(spark, sf_dir).withColumn("id", F.lpad("id", 12, "0"))
+    broken = spark.createDataFrame([("oops",), ('{"id": "1"',), ('{"id": "2"}',), ("[1]",)], "value string")
+    R.json_values(V.keep_fields(said)).unionByName(broken).write.option("compression", "gzip").text(dump)
+    parsed = V.parse_json_lines(files.read_dump(spark, dump)).filter("has_fields")
+    R.json_values(V.keep_fields(V.valid_comments(parsed))).write.text(raw)
+    _request_values(spark, sf_dir).write.text(asked)
+    _, vectorizer, classifier = FQ.bayes_model(spark, sf_dir)
     store = ModelStore(spark, f"{state}/models")
-    store.publish(vectorizer, M.train_naive_bayes(rows))
+    store.publish(vectorizer, classifier)
     job = KeywordWindows(spark, state, KQ.N)
     _finish(request_stream(spark, Topic(asked), job, f"{state}/check_requests", available_now=True))
     _finish(jobs.clean_stream(spark, Topic(raw), Topic(cleaned), f"{state}/check_clean", available_now=True))
     _finish(jobs.label_stream(spark, Topic(cleaned), Topic(labeled), store, f"{state}/check_label", available_now=True))
     _finish(keyword_stream(spark, Topic(labeled), job, f"{state}/check_keywords", available_now=True))
-    return job.responses.read().select("window_no", "user_id", "keyword1", "keyword2")
+    return KQ._rounded(job.responses.read().drop("batch_id"))
 
 
 @query("request_state", f"""WITH {D.COMMENTS_CTE}, asked AS (SELECT author AS user_id, subreddit AS keyword1, label AS keyword2,

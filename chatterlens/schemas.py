@@ -15,6 +15,7 @@ STREAM_MIN_UTC, STREAM_MAX_UTC, STREAM_MIN_BODY = -1, -1, 10
 ARCHIVE_MIN_UTC, ARCHIVE_MAX_UTC, ARCHIVE_MIN_BODY = 1554076800, 1555472130, 5
 WINDOW_COMMENTS = 3000
 RETRAIN_ROWS = 50_000
+STATE_BATCHES = 100
 RELOAD_SECONDS = 3000
 HEARTBEAT_SECONDS = 5
 CHECKPOINT_SECONDS = 30

@@ -36,11 +36,25 @@ class BatchTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/batch_id={batch_id}")
 
-    def newest_batch(self, known: int = -1) -> int:
-        """The last batch written without a gap after ``known``."""
-        while self.has_batch(known + 1):
-            known += 1
-        return known
+    def _batches(self) -> list[int]:
+        """The numbers of all batch folders, committed or not, newest first."""
+        if not path_exists(self.spark, self.path):
+            return []
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        found = folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(folder)
+        names = [status.getPath().getName() for status in found]
+        return sorted((int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")), reverse=True)
+
+    def newest_batch(self) -> int:
+        """The last committed batch, -1 if there is none."""
+        return next((b for b in self._batches() if self.has_batch(b)), -1)
+
+    def forget(self, before: int) -> None:
+        """Remove the batches before number ``before``."""
+        for batch_id in self._batches() if before > 0 else []:
+            if batch_id < before:
+                folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch_id={batch_id}")
+                folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 class ResultTable(BatchTable):

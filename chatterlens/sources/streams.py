@@ -23,7 +23,7 @@ class Topic:
 
 
 def source(spark: SparkSession, topic: Topic, per_trigger: int | None = None) -> DataFrame:
-    """Record values as text in ``value``; a broker's partition and offset come along.
+    """Record values as text in ``value``; a broker's arrival time, partition and offset come along.
 
     ``per_trigger`` bounds a micro-batch: offsets on a broker, files in a folder.
     """
@@ -37,7 +37,7 @@ def source(spark: SparkSession, topic: Topic, per_trigger: int | None = None) ->
         if per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", per_trigger)
         loaded = reader.options(**topic.options).load()
-        return loaded.select(F.col("value").cast("string").alias("value"), "partition", "offset")
+        return loaded.select(F.col("value").cast("string").alias("value"), "timestamp", "partition", "offset")
     reader = spark.readStream.option("recursiveFileLookup", True)
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
@@ -62,6 +62,15 @@ def sink(
     return writer.format("text").option("path", topic.name).start()
 
 
+def write_values(values: DataFrame, topic: Topic, batch_id: int) -> None:
+    """One micro-batch of JSON values; in a folder a replay overwrites its own values."""
+    if topic.servers:
+        writer = values.write.format("kafka").option("kafka.bootstrap.servers", topic.servers).option("topic", topic.name)
+        writer.options(**topic.options).save()
+    else:
+        values.write.mode("overwrite").text(f"{topic.name}/batch_id={batch_id}")
+
+
 def console_sink(records: DataFrame, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     writer = records.writeStream.format("console").option("truncate", False).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -21,7 +21,7 @@ from chatterlens.operators import training as M
 from chatterlens.operators import validate as V
 from chatterlens.sources.models import ModelStore, ReloadingModel
 from chatterlens.sources.results import BatchTable
-from chatterlens.sources.streams import Topic, sink, source
+from chatterlens.sources.streams import Topic, sink, source, write_values
 
 
 def parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
@@ -34,7 +34,7 @@ def clean_values(
 ) -> DataFrame:
     """Raw JSON values to cleaned JSON values, one for one; broken input gives an error record."""
     rows = parsed(lines, S.RAW_COMMENT)
-    broken = F.json_object_keys("value").isNull()
+    broken = V.object_keys(F.col("value")).isNull()
     record = F.struct(*R.cleaned_fields(slang, emoji))
     error = F.struct(F.lit("no JSON object").alias("error"), F.lit("").alias("cleaned_body"))
     return rows.select(F.when(broken, F.to_json(error)).otherwise(F.to_json(record)).alias("value"))
@@ -49,11 +49,16 @@ def clean_stream(
 
 
 def label_values(lines: DataFrame, model) -> DataFrame:
-    """Cleaned JSON values to labelled JSON values with one model."""
-    rows = parsed(lines, S.CLEANED_COMMENT).drop("value", "is_json", "has_fields", "body")
+    """Cleaned JSON values to labelled JSON values with one model, one for one.
+
+    Broken input gives an error record. It has no id, so no later step counts it.
+    """
+    rows = parsed(lines, S.CLEANED_COMMENT).withColumn("_broken", V.object_keys(F.col("value")).isNull())
     text = F.coalesce(F.col("cleaned_body"), F.lit(""))
-    labeled = M.predict_label(rows.withColumn("cleaned_body", text), model.vectorizer, model.classifier)
-    return R.json_values(R.labeled_record(labeled, F.col("label")))
+    rows = rows.drop("value", "is_json", "has_fields", "body").withColumn("cleaned_body", text)
+    labeled = M.predict_label(rows, model.vectorizer, model.classifier)
+    record, error = F.struct(*R.labeled_fields(F.col("label"))), F.struct(*R.error_fields())
+    return labeled.select(F.when(F.col("_broken"), F.to_json(error)).otherwise(F.to_json(record)).alias("value"))
 
 
 def label_stream(
@@ -64,12 +69,7 @@ def label_stream(
     model = ReloadingModel(store, reload_seconds)
 
     def label(batch: DataFrame, batch_id: int) -> None:
-        values = label_values(batch, model.get())
-        if labeled.servers:
-            writer = values.write.format("kafka").option("kafka.bootstrap.servers", labeled.servers)
-            writer.option("topic", labeled.name).save()
-        else:
-            values.write.mode("overwrite").text(f"{labeled.name}/batch_id={batch_id}")
+        write_values(label_values(batch, model.get()), labeled, batch_id)
 
     return _each_batch(source(spark, cleaned, per_trigger), label, checkpoint, available_now)
 
@@ -85,16 +85,14 @@ def route_stream(
     spark: SparkSession, responses: Topic, sessions: BatchTable | DataFrame, out: str, checkpoint: str,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Responses of live users, each to the folder of its user."""
+    """Responses of live users, one folder per micro-batch, ordered by user; a replay replaces its whole folder."""
 
     def route(batch: DataFrame, batch_id: int) -> None:
         rows = parsed(batch, S.KEYWORD_RESPONSE).drop("value", "is_json", "has_fields")
-        log = sessions.read() if isinstance(sessions, BatchTable) else sessions
+        log = sessions.read_batch(sessions.newest_batch()) if isinstance(sessions, BatchTable) else sessions
         live = U.latest_session_per_user(log)
-        routed = U.route_responses(rows, live).withColumn("batch_id", F.lit(batch_id))
-        routed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "user_id", "batch_id"
-        ).json(out)
+        routed = U.route_responses(rows, live).sortWithinPartitions("user_id")
+        routed.write.mode("overwrite").json(f"{out}/batch_id={batch_id}")
 
     return _each_batch(source(spark, responses), route, checkpoint, available_now)
 
@@ -150,10 +148,13 @@ def retrain_stream(
 def session_stream(
     spark: SparkSession, calls: Topic, state: BatchTable, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
-    """Fold logged session events into the newest event of each user."""
+    """Fold logged session events into the newest event of each user; each batch holds all users."""
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        state.write(U.session_state(None, parsed(batch, S.SESSION_EVENT)), batch_id)
+        if batch_id > 0 and not state.has_batch(batch_id - 1):
+            raise RuntimeError(f"the sessions of batch {batch_id - 1} are gone")
+        state.write(U.session_state(state.read_batch(batch_id - 1), parsed(batch, S.SESSION_EVENT)), batch_id)
+        state.forget(batch_id - S.STATE_BATCHES)
 
     return _each_batch(source(spark, calls), fold, checkpoint, available_now)
 

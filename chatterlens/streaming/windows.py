@@ -19,8 +19,9 @@ from chatterlens.operators import keywords as K
 from chatterlens.operators import validate as V
 from chatterlens.operators.records import json_values
 from chatterlens.operators.sequence import COMMENT_ORDER, index_and_count, whole_part
+from chatterlens.session import durable
 from chatterlens.sources.results import BatchTable
-from chatterlens.sources.streams import Topic, source
+from chatterlens.sources.streams import Topic, source, write_values
 from chatterlens.streaming.jobs import _each_batch
 
 COUNTS = "positive bigint, neutral bigint, total bigint"
@@ -31,13 +32,15 @@ class KeywordWindows:
 
     A request seen when a micro-batch starts applies to all of it. With
     ``reset_on_request`` a repeated request starts its user's counts anew, otherwise
-    a user's counts run from the user's first request for as long as the window is open.
+    a user's counts run from the user's first request for as long as the window is open. State of more than
+    ``keep`` batches ago is removed.
     """
 
     def __init__(
-        self, spark: SparkSession, state_dir: str, n: int = S.WINDOW_COMMENTS, reset_on_request: bool = True
+        self, spark: SparkSession, state_dir: str, n: int = S.WINDOW_COMMENTS, reset_on_request: bool = True,
+        keep: int = S.STATE_BATCHES,
     ):
-        self.spark, self.n, self.reset = spark, n, reset_on_request
+        self.spark, self.n, self.reset, self.keep = spark, n, reset_on_request, keep
         self.requests = BatchTable(
             spark, f"{state_dir}/requests",
             "user_id string, keyword1 string, keyword2 string, request_time string, asked bigint, first_asked bigint",
@@ -65,6 +68,7 @@ class KeywordWindows:
         newest = F.max(F.struct("asked", "request_time", "keyword1", "keyword2")).alias("_r")
         folded = known.groupBy("user_id").agg(newest, F.min("first_asked").alias("first_asked"))
         self.requests.write(folded.select("user_id", "_r.*", "first_asked"), batch_id)
+        self.requests.forget(batch_id - self.keep)
 
     def _active(self, upto: int, marks: list[tuple[int, int]]) -> DataFrame:
         """Each user's request in force, with the number of the first comment it counts.
@@ -84,13 +88,13 @@ class KeywordWindows:
             raise RuntimeError(f"the progress of batch {batch_id - 1} is gone; counting from 0 again would be wrong")
         total = before.total if before else 0
         marks = [(m.upto, m.at) for m in before.marks] if before else []
-        upto = self.requests.newest_batch(marks[-1][0] if marks else -1)
+        upto = self.requests.newest_batch()
         # A request batch above a mark was first seen when the following mark was set.
         seen_at = [at for _, at in marks[1:]] + [total]
         active = self._active(upto, [(m[0], at) for m, at in zip(marks, seen_at)])
 
         comments = V.route_by_type(V.valid_labeled_comment(batch), "comment").drop("value")
-        by_offset = ["partition", "offset"] if "offset" in batch.columns else COMMENT_ORDER
+        by_offset = ["timestamp", "partition", "offset"] if "offset" in batch.columns else COMMENT_ORDER
         numbered, arrived = index_and_count(comments, by_offset, "_local")
         placed = numbered.withColumn("seq", F.col("_local") + F.lit(total))
         windows = placed.withColumn("window_no", whole_part("seq", self.n))
@@ -102,11 +106,14 @@ class KeywordWindows:
         )
         counts = self.open_counts.read_batch(batch_id - 1).unionByName(fresh)
         if next_open > first_closed:
+            counts = durable(counts)  # read by the responses and by the open state
             self.responses.write(self._respond(windows, counts, active, first_closed, next_open), batch_id)
         self.open_counts.write(counts.filter(F.col("window_no") >= next_open), batch_id)
         # Written last: without it the batch has not happened.
         row = [(total + arrived, self._kept_marks([*marks, (upto, total)], next_open * self.n))]
         self.progress.write(self.spark.createDataFrame(row, self.progress.schema).coalesce(1), batch_id)
+        for table in (self.progress, self.open_counts):
+            table.forget(batch_id - self.keep)
 
     @staticmethod
     def _kept_marks(marks: list[tuple[int, int]], window_start: int) -> list[tuple[int, int]]:
@@ -161,11 +168,6 @@ def keyword_stream(
         job.process(batch, batch_id)
         if responses is None:
             return
-        values = json_values(job.responses.read_batch(batch_id).drop("window_no"))
-        if responses.servers:
-            writer = values.write.format("kafka").option("kafka.bootstrap.servers", responses.servers)
-            writer.option("topic", responses.name).save()
-        else:
-            values.write.mode("overwrite").text(f"{responses.name}/batch_id={batch_id}")
+        write_values(json_values(job.responses.read_batch(batch_id).drop("window_no")), responses, batch_id)
 
     return _each_batch(source(spark, labeled, per_trigger), step, checkpoint, available_now)
