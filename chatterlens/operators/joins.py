@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_CHARS = 64 << 20
 SALTS = 64
 
 
@@ -17,15 +18,17 @@ def sized_join(
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join that broadcasts ``small`` only after counting it.
+    """Join that broadcasts ``small`` only after measuring it, rows and characters.
 
-    Beyond ``max_rows`` both sides are shuffled on the key and a salt, so the rows
+    Beyond ``max_rows`` or ``BROADCAST_CHARS`` both sides are shuffled on the key and a salt, so the rows
     of a hot key spread over ``salts`` tasks; every row of ``small`` is repeated
     once per salt, which keeps the result exact for inner, left and semi joins.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join type {how}")
-    if small.limit(max_rows + 1).count() <= max_rows:
+    chars = F.length(F.to_json(F.struct(*small.columns)))
+    rows, size = small.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(chars), F.lit(0))).first()
+    if rows <= max_rows and size <= BROADCAST_CHARS:
         return big.join(F.broadcast(small), on, how)
     salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
