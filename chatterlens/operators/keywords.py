@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from chatterlens.operators.joins import sized_join
 from chatterlens.operators.sequence import neighbours, whole_part
 from chatterlens.session import durable
 
+FEW_RUNS = 1000
 COUNTS = ["positive", "negative", "neutral", "other", "total"]
 
 
@@ -23,14 +26,16 @@ def distinct_keywords(requests: DataFrame) -> DataFrame:
 
 
 def keyword_matches(
-    comments: DataFrame, keywords: DataFrame, body: str = "cleaned_body", subreddit: str = "subreddit"
+    comments: DataFrame, keywords: DataFrame, body: str = "cleaned_body", subreddit: str = "subreddit",
+    few_runs: int = FEW_RUNS,
 ) -> DataFrame:
     """Each (comment, keyword) pair that matches in the body or in the subreddit, once.
 
     Inverted: a keyword joins only comments that hold its longest run, by an
     equi-join on the comments' distinct runs, and is then tested in full. One
     anchor per keyword means no pair can come up twice, so the comments are never
-    shuffled or regrouped.
+    shuffled or regrouped. Up to ``few_runs`` distinct anchors are looked up inside the
+    row first, so that only runs some keyword waits for become rows.
     """
     wanted = keywords.select(
         "keyword",
@@ -42,6 +47,10 @@ def keyword_matches(
     forum = F.coalesce(F.col(subreddit), F.lit(""))
     prepared = comments.withColumns({"_body_runs": runs(text), "_forum_runs": runs(forum)})
     every_run = F.array_append(F.array_union("_body_runs", "_forum_runs"), F.lit(""))
+    anchors = [r[0] for r in wanted.select("_run").dropna().distinct().limit(few_runs + 1).collect()]
+    if len(anchors) <= few_runs:
+        asked = F.from_json(F.lit(json.dumps(anchors, ensure_ascii=False)), "array<string>")
+        every_run = F.array_intersect(every_run, asked)
     by_run = prepared.withColumn("_run", F.explode(every_run))
     pairs = sized_join(by_run, wanted, ["_run"])
     needed = F.col("_words"), F.col("_pattern")
