@@ -13,7 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from chatterlens import schemas as S
-from chatterlens.functions.text import dictionary_lookup, let, split_words
+from chatterlens.functions.text import dictionary_lookup, emoji_to_words, let, split_words
+from chatterlens.functions.wordlists import EMOJI
 
 # Word -> mean valence, from -4 to 4.
 LEXICON = {
@@ -77,6 +78,12 @@ IDIOMS = {
     "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "badass": 1.5, "bus stop": 0.0,
     "yeah right": -2.0, "kiss of death": -1.5, "to die for": 3.0, "beating heart": 3.1, "broken heart": -2.9,
 }
+# Emoticons with their valences, keys lower-cased as all words.
+EMOTICONS = {
+    ":)": 2.0, ":-)": 1.3, ":d": 2.3, ";)": 0.9, "<3": 1.9, ":(": -1.9, ":-(": -1.5, ":'(": -2.2, ":/": -1.4,
+}
+LEXICON = LEXICON | EMOTICONS
+SPOKEN_EMOJI = {symbol: name.replace("_", " ") for symbol, name in EMOJI.items()}
 BOOSTERS = {**{w: BOOST for w in BOOSTERS_UP}, **{w: -BOOST for w in BOOSTERS_DOWN}}
 
 
@@ -111,8 +118,8 @@ def _is_upper(word: Column) -> Column:
 class _Context:
     """The words around one lexicon word, as expressions that are evaluated only where used."""
 
-    def __init__(self, words: Column, lows: Column, at: Column, lexicon: Mapping[str, float]):
-        self.words, self.lows, self.at, self.lexicon = words, lows, at, lexicon
+    def __init__(self, words: Column, lows: Column, valences: Column, at: Column):
+        self.words, self.lows, self.valences, self.at = words, lows, valences, at
 
     def low(self, k: int = 0) -> Column:
         """The lower-case word ``k`` places on; NULL beyond the text."""
@@ -122,10 +129,10 @@ class _Context:
         return F.coalesce(self.low(k).isin(*choices), F.lit(False))
 
     def in_lexicon(self, k: int) -> Column:
-        return F.coalesce(self.low(k).isin(*self.lexicon), F.lit(False))
+        return F.get(self.valences, self.at + F.lit(k)).isNotNull()
 
     def valence(self) -> Column:
-        return dictionary_lookup(self.low(), self.lexicon, "double")
+        return F.get(self.valences, self.at)
 
     def booster(self, k: int) -> Column:
         return dictionary_lookup(self.low(k), BOOSTERS, "double")
@@ -236,15 +243,18 @@ def _punctuation(text: Column) -> Column:
     return exclaims + asked
 
 
-def lexicon_compound(text: Column, lexicon: Mapping[str, float] = LEXICON) -> Column:
+def lexicon_compound(
+    text: Column, lexicon: Mapping[str, float] = LEXICON, emoji: Mapping[str, str] = SPOKEN_EMOJI
+) -> Column:
     """The full rule set: boosters, shouting, negation, set phrases, ``but`` and punctuation.
 
-    All words are only lower-cased and looked up; the rules run on the few that hit.
+    Each word is lower-cased and looked up once; the rules run on the few that hit. An emoji counts as the
+    words of its name, an emoticon as a word of the lexicon.
     """
-    text = F.coalesce(text, F.lit(""))
+    text = emoji_to_words(F.coalesce(text, F.lit("")), emoji)
 
     def with_lows(known: Column) -> Column:
-        words, lows, but_at = known["words"], known["lows"], known["but_at"]
+        words, lows, valences, but_at = known["words"], known["lows"], known["valences"], known["but_at"]
 
         def weighed(at: Column) -> Column:
             weight = (
@@ -252,16 +262,18 @@ def lexicon_compound(text: Column, lexicon: Mapping[str, float] = LEXICON) -> Co
                 .when(at < but_at, F.lit(BUT_BEFORE))
                 .otherwise(F.lit(BUT_AFTER))
             )
-            return _valence_in_context(_Context(words, lows, at, lexicon)) * weight
+            return _valence_in_context(_Context(words, lows, valences, at)) * weight
 
         hits = F.filter(
-            F.transform(lows, lambda w, i: F.when(w.isin(*lexicon), i)), lambda i: i.isNotNull()
+            F.transform(valences, lambda v, i: F.when(v.isNotNull(), i)), lambda i: i.isNotNull()
         )
         return _total(F.transform(hits, weighed))
 
     def from_lows(pair: Column) -> Column:
         but_at = F.array_position(pair["lows"], "but").cast("int") - 1
-        return let(F.struct(pair["words"].alias("words"), pair["lows"].alias("lows"), but_at.alias("but_at")), with_lows)
+        valences = F.transform(pair["lows"], lambda w: dictionary_lookup(w, lexicon, "double"))
+        known = [pair["words"].alias("words"), pair["lows"].alias("lows"), valences.alias("valences"), but_at.alias("but_at")]
+        return let(F.struct(*known), with_lows)
 
     def from_words(words: Column) -> Column:
         lows = F.transform(words, F.lower)
