@@ -27,6 +27,7 @@ ORDERS = 3
 BUCKETS = 1 << 14
 SAMPLE = 600
 SAMPLE_CHARS = 20_000
+PARTS = 64
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.05
 MIN_SCORE = 0.3
@@ -127,12 +128,19 @@ def fit(texts: list[str], languages: list[str]) -> Model | None:
 
 
 def sample(docs: DataFrame, eligible: Column) -> DataFrame:
-    """At most ``SAMPLE`` texts per language, chosen by a hash of the id."""
+    """At most ``SAMPLE`` texts per language, chosen by a hash of the id.
+
+    Ids are ranked within ``PARTS`` parts of a language first, so the task that ranks a language sees at most
+    ``PARTS * SAMPLE`` of them. A repeated id gives one text per language, the least.
+    """
     usable = docs.where(eligible & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS) & F.col("doc_id").isNotNull())
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select("doc_id", "lang").withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= SAMPLE)
+    chosen = usable.select("doc_id", "lang").withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)))
+    for within in (["lang", "_part"], ["lang"]):
+        first = Window.partitionBy(*within).orderBy(F.xxhash64("doc_id"), "doc_id")
+        chosen = chosen.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= SAMPLE)
     ids = chosen.select("doc_id").distinct()
-    return usable.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "lang", "text")  # SAMPLE ids per language
+    found = usable.join(F.broadcast(ids), "doc_id", "left_semi")  # SAMPLE ids per language
+    return found.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
 
 def train(docs: DataFrame, eligible: Column) -> Model | None:

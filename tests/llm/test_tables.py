@@ -150,6 +150,18 @@ def test_judges(spark, odd, none):
         assert len(rows) == docs.count() and all((r.perplexity is None) == (r.n_symbols == 0) and (r.kept or r.perplexity) for r in rows if r.n_symbols)
 
 
+def test_sample_of_languages(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE", 5)
+    rows = [(i, f"text {i}", "en" if i % 3 else "de") for i in range(400)] + [(7, "a repeat", "en")] * 3 + [(8, "x" * 30_000, "en"), (None, "x", "en"), (9, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    hashes = {r.id: r.h for r in spark.range(400).withColumn("h", F.xxhash64("id")).collect()}
+    found = language_id.sample(docs, F.col("doc_id") % 2 == 0).collect()
+    for lang, own in (("en", lambda i: i % 3), ("de", lambda i: not i % 3)):
+        best = sorted((i for i in range(0, 400, 2) if own(i)), key=hashes.get)[:5]
+        assert sorted(r.doc_id for r in found if r.lang == lang) == sorted(best)
+    assert language_id.sample(docs, F.col("doc_id") == 7).select("text").collect() == [("a repeat",)]
+
+
 def test_a_bad_host_takes_its_documents_along(spark):
     good = " ".join(f"word{i}" for i in range(30))
     rows = [(i, "short", "bad") for i in range(90)] + [(90 + i, good, "bad") for i in range(10)] + [(200 + i, good, f"h{i % 9}") for i in range(300)]
