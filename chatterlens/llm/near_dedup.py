@@ -29,11 +29,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from chatterlens.llm import textnum
 from chatterlens.llm.graph import components
 from chatterlens.llm.storage import stored
+from chatterlens.operators.joins import sized_join
 
 BANDS, ROWS = 48, 6
 HASHES = BANDS * ROWS
@@ -275,11 +275,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
 def _sweep(open_members: DataFrame, firsts: DataFrame, sets: DataFrame, bounds, percent: int) -> DataFrame:
     """Links between different components that still share a bucket: every such pair is tested."""
-    ranked = open_members.select(
-        "key", "node", "component",
-        F.floor((F.row_number().over(Window.partitionBy("key").orderBy("component", "node")) - 1) / BLOCK).alias("block"),
-    )
-    ranked = stored(ranked, "ranked")
+    sizes = open_members.groupBy("key", "component").agg(F.count("*").alias("_n"))
+    small = F.when(F.col("_n") <= BLOCK, F.col("_n"))
+    dealt = sizes.groupBy("key").agg(F.ceil(F.coalesce(F.sum(small), F.lit(0)) / BLOCK).alias("_groups"))
+    sizes = sizes.join(dealt, "key").select("key", "component", "_n", "_groups")
+    # a hot component of a bucket is dealt over blocks of its own, the small ones share blocks
+    placed = sized_join(open_members.select("key", "node", "component"), stored(sizes, "sizes"), ["key", "component"])
+    own = F.xxhash64("component", F.pmod(F.xxhash64("node"), F.ceil(F.col("_n") / BLOCK)))
+    shared = F.pmod(F.xxhash64("component"), F.greatest("_groups", F.lit(1)))
+    ranked = stored(placed.select("key", "node", "component", F.when(F.col("_n") > BLOCK, own).otherwise(shared).alias("block")), "ranked")
     blocks = ranked.groupBy("key", "block").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
     left = blocks.select("key", F.col("block").alias("bi"), F.col("c0").alias("l0"), F.col("c1").alias("l1"))
     right = blocks.select("key", F.col("block").alias("bj"), F.col("c0").alias("r0"), F.col("c1").alias("r1"))

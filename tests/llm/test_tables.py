@@ -28,7 +28,9 @@ def none(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def test_near_duplicates(spark, odd, none):
+@pytest.mark.parametrize("block", [near_dedup.BLOCK, 3])
+def test_near_duplicates(spark, odd, none, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     rng = random.Random(5)
     rows, number = [], 100
     for _ in range(12):
