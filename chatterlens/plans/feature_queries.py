@@ -5,13 +5,15 @@ from pyspark.sql import functions as F
 from chatterlens import schemas as S
 from chatterlens.operators import features as E
 from chatterlens.operators import sentiment as L
+from chatterlens.operators import sequence as Q
 from chatterlens.operators import training as M
 from chatterlens.plans import analytics_queries as AQ
 from chatterlens.plans import keyword_queries as KQ
 from chatterlens.plans import sentiment_queries as SQ
 from chatterlens.plans import tables as D
 from chatterlens.plans.registry import query
-from chatterlens.session import durable
+from chatterlens.session import durable, staging_path
+from chatterlens.sources import files
 
 MIN_DF, MAX_FEATURES = 3, 200
 _TOKENS = "regexp_extract_all(cleaned_body, '\\b\\w\\w+\\b')"
@@ -245,7 +247,7 @@ _GUESSED = f"""guessed AS (SELECT label, CASE WHEN score > 30 THEN 'positive' WH
     FROM comments WHERE label IN ('negative', 'neutral', 'positive'))"""
 
 
-@query("classification_report", f"""WITH {D.COMMENTS_CTE}, {_GUESSED}, names AS (SELECT DISTINCT label AS name FROM guessed),
+_REPORT = """names AS (SELECT DISTINCT label AS name FROM guessed),
     counted AS (SELECT name, (SELECT count(*) FROM guessed WHERE label = name) AS support,
       (SELECT count(*) FROM guessed WHERE predicted = name) AS claimed,
       (SELECT count(*) FROM guessed WHERE predicted = name AND label = name) AS hits FROM names),
@@ -257,11 +259,52 @@ _GUESSED = f"""guessed AS (SELECT label, CASE WHEN score > 30 THEN 'positive' WH
       UNION ALL SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support),
         sum(f * support) / sum(support), sum(support) FROM classes)
     SELECT name, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
-      CAST(support AS BIGINT) AS support FROM report""")
+      CAST(support AS BIGINT) AS support FROM report"""
+
+
+@query("classification_report", f"WITH {D.COMMENTS_CTE}, {_GUESSED}, {_REPORT}")
 def _classification_report(spark, sf_dir):
     guessed = D.comments(spark, sf_dir).selectExpr(
         "label",
         "CASE WHEN score > 30 THEN 'positive' WHEN score > -30 THEN 'neutral' ELSE 'negative' END AS predicted",
     ).filter(F.col("label").isin(*S.LABELS))
-    report = M.classification_report(guessed)
+    return _rounded(M.classification_report(guessed))
+
+
+def _rounded(report):
     return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
+
+
+PART_ROWS = 100
+_CHUNK_BAYES = f"""{_VOCABULARY}, {_tfidf_cte()},
+    numbered AS (SELECT id, label, (row_number() OVER (ORDER BY created_utc, CAST(id AS BIGINT)) - 1) // {PART_ROWS} + 1 AS chunk_id FROM comments),
+    known AS (SELECT id, label, chunk_id % 2 = 1 AS learned FROM numbered WHERE label IN ('negative', 'neutral', 'positive')),
+    places AS (SELECT idx FROM vocabulary UNION ALL SELECT {MAX_FEATURES}),
+    entries AS (SELECT id, idx, weight FROM tfidf UNION ALL
+      SELECT id, {MAX_FEATURES}, controversiality FROM comments WHERE controversiality <> 0),
+    sums AS (SELECT label, idx, sum(weight) AS weight FROM entries JOIN known USING (id) WHERE learned GROUP BY ALL),
+    totals AS (SELECT label, sum(weight) AS total FROM sums GROUP BY label),
+    priors AS (SELECT label, ln((count(*) + 1) / ((SELECT count(*) FROM known WHERE learned) + 3)) AS prior FROM known WHERE learned GROUP BY label),
+    logs AS (SELECT p.label, v.idx, ln((coalesce(s.weight, 0) + 1) / (t.total + (SELECT count(*) FROM places))) AS lp
+      FROM priors p JOIN totals t USING (label) CROSS JOIN places v LEFT JOIN sums s ON s.label = p.label AND s.idx = v.idx),
+    said AS (SELECT id, label, sum(weight * lp) AS said FROM entries JOIN logs USING (idx) GROUP BY ALL),
+    guessed AS (SELECT k.label, arg_max(p.label, p.prior + coalesce(s.said, 0)) AS predicted
+      FROM known k CROSS JOIN priors p LEFT JOIN said s ON s.id = k.id AND s.label = p.label WHERE NOT learned GROUP BY k.id, k.label),
+    {_REPORT}"""
+
+
+@query("train_on_chunks", _CHUNK_BAYES)
+def _train_on_chunks(spark, sf_dir):
+    """Features of every chunk are stored; odd chunks train, the report is on even ones.
+
+    Terms and controversiality are the features; only the chunks asked for are read back.
+    """
+    comments = D.cleaned(spark, sf_dir).select("id", "created_utc", "cleaned_body", "label", "controversiality")
+    chunked = Q.row_chunks(comments, KQ.arrival_order(), PART_ROWS)
+    vectors = E.Vectorizer.fit(chunked, MIN_DF, MAX_FEATURES).transform(chunked)
+    whole = E.assemble_features(vectors, ["features", "controversiality"], "all_features")
+    path = staging_path(spark, "training-chunks")
+    files.write_chunks(M.with_class(whole).select("id", "label", "label_class", "all_features", "chunk_id"), path)
+    stored = files.read_chunks(spark, path)
+    model = M.train_naive_bayes(stored.filter("chunk_id % 2 = 1"), "all_features")
+    return _rounded(_report(model.transform(stored.filter("chunk_id % 2 = 0"))))
