@@ -105,77 +105,86 @@ class LinearModel:
 
     n_features: int
     alpha: float = 1e-4
-    seen: float = 0.0
+    seen: int = 0
     weights: np.ndarray = field(default=None)  # classes x (features + intercept)
 
     def __post_init__(self):
         if self.weights is None:
             self.weights = np.zeros((N_CLASSES, self.n_features + 1))
 
-    def first_step(self) -> float:
-        """Offset of the step counter, so that the first updates are of the weights' typical size."""
-        typical = np.sqrt(1.0 / np.sqrt(self.alpha))
-        rate = typical / max(1.0, 1.0 / (1.0 + np.exp(-typical)))
-        return 1.0 / (rate * self.alpha)
-
-
-def sgd_pass(weights, rows, alpha: float, step: float):
-    """One pass of stochastic gradient steps over (class, indices, values) rows."""
-    weights, scale, n = weights.copy(), 1.0, 0
-    signs = 2.0 * np.eye(N_CLASSES) - 1.0
-    for label, indices, values in rows:
-        rate = 1.0 / (alpha * (step + n))
-        n += 1
-        margin = scale * (weights[:, indices] @ values) + weights[:, -1]
-        sign = signs[label]
-        slope = -sign / (1.0 + np.exp(np.clip(sign * margin, -500, 500)))
-        scale *= max(0.0, 1.0 - rate * alpha)
-        if scale < 1e-9:
-            weights[:, :-1] *= scale
-            scale = 1.0
-        weights[:, indices] -= np.outer(rate * slope / scale, values)
-        # Intercepts of sparse data learn at a hundredth of the rate.
-        weights[:, -1] -= 0.01 * rate * slope
-    weights[:, :-1] *= scale
-    return weights, n
 
+def _flat(indices, values) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, feature and value of every stored entry of a batch."""
+    sizes = [len(i) for i in indices]
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    if not len(rows):
+        return rows, np.zeros(0, np.int64), np.zeros(0)
+    return rows, np.concatenate(list(indices)).astype(np.int64), np.concatenate(list(values))
 
-def train_sgd_incremental(
-    chunk: DataFrame, model: LinearModel, features: str = "features"
-) -> LinearModel:
-    """One pass over a chunk, starting from the model so far.
 
-    Each partition makes its own pass and the results are averaged by their row
-    counts (Zinkevich et al., NIPS 2010). Only weights, of a size set by the
-    vocabulary, travel to and from the driver.
-    """
-    alpha, step = model.alpha, model.first_step() + model.seen
-    shared = chunk.sparkSession.sparkContext.broadcast(model.weights)
+def margins(weights: np.ndarray, indices, values) -> np.ndarray:
+    """Classes by rows: the sparse product of a batch with the weights."""
+    rows, at, value = _flat(indices, values)
+    return np.array([np.bincount(rows, w[at] * value, len(indices)) + w[-1] for w in weights])
+
+
+def gradient_sums(weights: np.ndarray, labels, indices, values) -> np.ndarray:
+    """Summed gradient of the log losses over a batch."""
+    rows, at, value = _flat(indices, values)
+    sign = 2.0 * (np.arange(len(weights))[:, None] == np.asarray(labels)[None, :]) - 1.0
+    slope = -sign / (1.0 + np.exp(np.clip(sign * margins(weights, indices, values), -500, 500)))
+    return np.array([np.append(np.bincount(at, s[rows] * value, weights.shape[1] - 1), s.sum()) for s in slope])
+
+
+def _entries(features: str) -> tuple[Column, Column]:
     inner = F.unwrap_udt(F.col(features))
     every = F.sequence(F.lit(0), F.size(inner["values"]) - 1)
-    rows = chunk.select(
-        "label_class", F.coalesce(inner["indices"], every).alias("indices"), inner["values"].alias("values")
-    )
+    dense = F.when(F.size(inner["values"]) > 0, every).otherwise(F.array().cast("array<int>"))
+    return F.coalesce(inner["indices"], dense), inner["values"]
+
 
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        stream = (row for batch in batches for row in zip(batch["label_class"], batch["indices"], batch["values"]))
-        weights, n = sgd_pass(shared.value, stream, alpha, step)
-        if n:
-            classes, places = np.nonzero(weights)
-            yield pd.DataFrame({"c": classes, "i": places, "w": weights[classes, places] * n, "n": 0})
-            yield pd.DataFrame({"c": [-1], "i": [-1], "w": [0.0], "n": [n]})
-
-    learned = rows.mapInPandas(learn, "c int, i int, w double, n bigint")
-    summed = learned.groupBy("c", "i").agg(F.sum("w").alias("w"), F.sum("n").alias("n"), F.count("*").alias("parts"))
-    table = summed.toPandas()
-    counts = table[table.c < 0]
-    if counts.empty:
-        return model
-    n_rows, n_parts = int(counts.n.iloc[0]), int(counts.parts.iloc[0])
-    entries = table[table.c >= 0]
-    weights = np.zeros_like(model.weights)
-    weights[entries.c.to_numpy(), entries.i.to_numpy()] = entries.w.to_numpy() / n_rows
-    return LinearModel(model.n_features, alpha, model.seen + n_rows / n_parts, weights)
+GRADIENT_STEPS, GRADIENT_RATE = 20, 2.0
+
+
+def train_sgd_incremental(
+    chunk: DataFrame, model: LinearModel, features: str = "features", steps: int = GRADIENT_STEPS
+) -> LinearModel:
+    """``steps`` accelerated gradient steps over a chunk, starting from the model so far.
+
+    Each step is one pass: partitions sum their gradients, the sums are added by class and feature. Only weights
+    and sums, of a size set by the vocabulary, travel to and from the driver. The chunk is read once per
+    step, so it should be a stored one. ``GRADIENT_RATE`` suits rows of unit length.
+    """
+    indices, values = _entries(features)
+    rows = chunk.select("label_class", indices.alias("indices"), values.alias("values"))
+    weights, before, seen = model.weights, model.weights, 0
+    for step in range(steps):
+        ahead = weights + step / (step + 3) * (weights - before)
+        sums, seen = _summed(rows, ahead)
+        if not seen:
+            return model
+        before, weights = weights, ahead - GRADIENT_RATE * (sums / seen + model.alpha * ahead)
+    return LinearModel(model.n_features, model.alpha, model.seen + seen, weights)
+
+
+def _summed(rows: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, int]:
+    """The summed gradient over all rows, and their number."""
+    shared = rows.sparkSession.sparkContext.broadcast(weights)
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, n = np.zeros_like(shared.value), 0
+        for batch in batches:
+            if len(batch):
+                total += gradient_sums(shared.value, batch["label_class"], batch["indices"], batch["values"])
+                n += len(batch)
+        classes, places = np.nonzero(total)
+        yield pd.DataFrame({"c": np.append(classes, -1), "i": np.append(places, -1), "g": np.append(total[classes, places], n)})
+
+    table = rows.mapInPandas(add, "c int, i int, g double").groupBy("c", "i").agg(F.sum("g").alias("g")).toPandas()
+    shared.unpersist()
+    out, own = np.zeros_like(weights), table[table.c >= 0]
+    out[own.c.to_numpy(), own.i.to_numpy()] = own.g.to_numpy()
+    return out, int(table[table.c < 0].g.sum())
 
 
 def linear_predictions(rows: DataFrame, model: LinearModel, features: str = "features") -> DataFrame:
@@ -184,12 +193,9 @@ def linear_predictions(rows: DataFrame, model: LinearModel, features: str = "fea
 
     @F.pandas_udf("double")
     def best(indices: pd.Series, values: pd.Series) -> pd.Series:
-        weights = shared.value
-        return pd.Series([float(np.argmax(weights[:, i] @ v + weights[:, -1])) for i, v in zip(indices, values)])
+        return pd.Series(margins(shared.value, indices, values).argmax(axis=0).astype(float))
 
-    inner = F.unwrap_udt(F.col(features))
-    every = F.sequence(F.lit(0), F.size(inner["values"]) - 1)
-    return rows.withColumn("prediction", best(F.coalesce(inner["indices"], every), inner["values"]))
+    return rows.withColumn("prediction", best(*_entries(features)))
 
 
 def predict_label(

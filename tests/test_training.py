@@ -48,13 +48,19 @@ def test_long_form_bayes_equals_library(rows):
         assert abs(theta[r.label_class, r.idx] - r.log_prob) < 1e-9
 
 
-def test_sgd_pass_equals_distributed_pass_on_one_partition(rows):
-    one = rows[1].orderBy("id").coalesce(1)
-    model = M.train_sgd_incremental(one, M.LinearModel(len(rows[0].vocabulary)))
-    stream = [(r.label_class, r.features.indices, r.features.values) for r in one.collect()]
-    start = M.LinearModel(len(rows[0].vocabulary))
-    expected, n = M.sgd_pass(start.weights, stream, start.alpha, start.first_step())
-    assert n == 240 and np.allclose(model.weights, expected)
+def test_gradient_steps_equal_dense_ones(rows):
+    """Three accelerated steps over three partitions, and the same on a dense matrix."""
+    size = len(rows[0].vocabulary)
+    model = M.train_sgd_incremental(rows[1].repartition(3), M.LinearModel(size), steps=3)
+    data = rows[1].collect()
+    x = np.array([np.append(r.features.toArray(), 1.0) for r in data])
+    sign = np.array([[1.0 if r.label_class == c else -1.0 for r in data] for c in range(3)])
+    weights = before = np.zeros((3, size + 1))
+    for step in range(3):
+        ahead = weights + step / (step + 3) * (weights - before)
+        gradient = (-sign / (1 + np.exp(sign * (ahead @ x.T)))) @ x / len(x)
+        before, weights = weights, ahead - M.GRADIENT_RATE * (gradient + model.alpha * ahead)
+    assert model.seen == 240 and np.allclose(model.weights, weights)
 
 
 def test_sgd_keeps_learning(rows):
