@@ -2,7 +2,8 @@
 
 A word's bag holds the word itself and its character n-grams (3 to 5 bytes, with word ends marked), hashed into
 ``BUCKETS`` vectors of ``SIZE`` numbers; its vector is their average, so an unseen misspelling shares
-most vectors with the known word. A text's vector is an average of its distinct words' vectors, weighted by a softmax
+most vectors with the known word. A word of more than ``WORD_BYTES`` bytes (a sentence without spaces, joined words) is cut
+into windows of ``WINDOW`` bytes that overlap by half; each counts as a word, so all of it is read. A text's vector is an average of its distinct words' vectors, weighted by a softmax
 over how toxic the classifier finds each (a few words among thousands decide). Both the vectors and the
 softmax layer are learned from document labels by Adam.
 
@@ -35,19 +36,29 @@ FOCUS = 1.0
 LIMIT = 0.7
 EMPTY = 0.0
 CACHE = 200_000
+PORTION = 50_000
 WORD_BYTES = 64
+WINDOW = 24
 _strip = bytes(range(0x21, 0x30)) + b":;<=>?[]{}()\\^_`|~"
 
 
+def windows(word: bytes) -> list[bytes]:
+    """The word with its ends marked, or the windows of a long one; each n-gram is in one of them."""
+    marked = b"\x02" + word + b"\x03"
+    if len(word) <= WORD_BYTES:
+        return [marked]
+    step = WINDOW // 2
+    return [marked[at: at + WINDOW] for at in range(0, len(marked) - step, step)]
+
+
 def words(text: bytes) -> list[bytes]:
-    """Distinct lower-cased words without outer punctuation, sorted; plain numbers are left out."""
+    """Distinct lower-cased words without outer punctuation, marked and cut by ``windows``, sorted."""
     found = {w.strip(_strip) for w in text.decode("utf-8", "replace").lower().encode().split()}
-    return sorted(w for w in found if w and not w.isdigit())
+    return sorted({part for w in found if w for part in windows(w)})
 
 
-def bags(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket numbers of all words' bags, and where each bag begins (one more entry than words)."""
-    marked = [b"\x02" + w[:WORD_BYTES] + b"\x03" for w in vocabulary]
+def bags(marked: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket numbers of all marked words' bags, and where each bag begins (one more entry than words)."""
     data = np.frombuffer(b"".join(marked), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(m) for m in marked])]).astype(np.int64)
     whole = textnum.word_hashes(data, offsets[:-1], offsets[1:])
@@ -132,20 +143,21 @@ class Scorer:
     def __init__(self, model):
         self.model, self.known = model, {}
 
+    def means(self, marked: list[bytes]) -> np.ndarray:
+        ids, bag = bags(marked)
+        return np.add.reduceat(self.model[0][ids], bag[:-1]) / np.diff(bag)
+
     def learn(self, new: list[bytes]) -> None:
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
-        ids, bag = bags(new)
-        means = np.add.reduceat(self.model[0][ids], bag[:-1]) / np.diff(bag)
-        self.known.update(zip(new, means.tolist()))
+        self.known.update(zip(new, self.means(new).tolist()))
 
     def score(self, text: bytes) -> float:
         found = words(text)
         if not found or self.model is None:
             return EMPTY
         if len(found) > CACHE:  # more distinct words than the cache may hold: score them without it
-            ids, bag = bags(found)
-            scores = np.add.reduceat(self.model[0][ids], bag[:-1]) / np.diff(bag)
+            scores = np.concatenate([self.means(found[at: at + PORTION]) for at in range(0, len(found), PORTION)])
         else:
             new = [w for w in found if w not in self.known]
             if new:

@@ -144,6 +144,23 @@ def test_unseen_misspellings_score_as_toxic():
     assert scorer.score(clean) < 0.5 < scorer.score(clean + b" horridwretsch") and scorer.score(b" ") == toxicity.EMPTY
 
 
+def test_all_of_a_long_word_is_scored():
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcdefghiklmnorstu") for _ in range(6))
+    rows = [(" ".join([word() for _ in range(40)] + ["horridwretch"] * (i % 2)), i % 2) for i in range(400)]
+    scorer = toxicity.Scorer(toxicity.fit([t for t, _ in rows], [y for _, y in rows]))
+    for joint in ("_", "-", ".", ""):
+        clean = joint.join(word() for _ in range(40))
+        for at in (70, 130, 200, len(clean)):
+            assert scorer.score((clean[:at] + joint + "horridwretch" + joint + clean[at:]).encode()) > scorer.score(clean.encode()) + 0.1
+    for size in (1, 63, 64, 65, 66, 500):
+        long = bytes(rng.choice(b"abcdefgh") for _ in range(size))
+        marked, parts = b"\x02" + long + b"\x03", toxicity.windows(long)
+        grams = {p[i: i + n] for p in parts for n in toxicity.GRAMS for i in range(len(p) - n + 1)}
+        assert grams == {marked[i: i + n] for n in toxicity.GRAMS for i in range(len(marked) - n + 1)}
+    assert scorer.score(b"8814") != toxicity.EMPTY
+
+
 def test_partial_scores_add_up():
     rng = np.random.default_rng(0)
     for scale in (10, 1 << 40):
