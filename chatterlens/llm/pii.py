@@ -3,14 +3,14 @@
 Base spans are e-mail and IP addresses, card and phone numbers, found leftmost and without overlap per kind; matches that fail
 their test (Luhn, ranges, digits) are dropped without a retry. Equal values of a span are one protected entity.
 
-Terms (words of ``TERM_LETTERS`` or more letters) within ``REACH`` code points of an entity are its context; equal contexts
-count once, so copies and boilerplate are no evidence. With n(e) contexts of an entity, n(e, t) of them with the term, n(t)
-occurrences of the term in the whole corpus and N = all words / ``WINDOW`` windows,
+Terms are the words of a text, of any length, outside its e-mail addresses. All counts are of distinct whole texts, so copies are no
+evidence, while a signature in many texts is. With n(e) texts that hold an entity, n(e, t) of them with the term, n(t) texts
+with the term and N texts in all,
 
     disclosure = PMI(e; t) / IC(e) = log(n(e, t) N / (n(e) n(t))) / log(N / n(e))
 
 tells which part of the information about the entity the term gives away. In documents that hold the entity, a term that
-reaches ``DISCLOSURE`` in at least ``SUPPORT`` contexts is generalised to its first ``STEM`` letters, if all terms that share them
+reaches ``DISCLOSURE`` in at least ``SUPPORT`` texts is generalised to its first ``STEM`` letters, if all terms that share them
 together stay below the threshold, and else removed.
 
 Defined results: a null or empty text has no spans and stays as it is; a null id has base spans but no terms; rows
@@ -24,11 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatterlens.llm.storage import stored
+from chatterlens.operators.joins import sized_join
 
 KINDS = ("email", "ip", "card", "phone", "term")
-REACH = 60
-TERM_LETTERS = 4
-WINDOW = 20
 SUPPORT = 3
 DISCLOSURE = 0.85
 STEM = 4
@@ -39,7 +37,8 @@ EMAIL = rf"(?:\G|(?<!{LOCAL})){LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-WORD = rf"(?<!\p{{L}})\p{{L}}{{{TERM_LETTERS},}}+"
+WORD = r"\p{L}++"
+STEM_MARK = "\x01"
 
 
 _SPANS = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
@@ -112,42 +111,48 @@ def with_base(docs: DataFrame) -> DataFrame:
     return out.drop(*[f"_{part}_{k}" for part in ("found", "gaps") for k in PATTERNS])
 
 
+def terms(text: Column) -> Column:
+    """The distinct words of a text and, behind ``STEM_MARK``, their distinct stems; no other kind of base span has letters."""
+    outside = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, EMAIL, " ")).otherwise(text)
+    found = F.array_distinct(F.regexp_extract_all(F.lower(outside), F.lit(WORD), F.lit(0)))
+    return F.concat(found, F.array_distinct(F.transform(found, lambda t: F.concat(F.lit(STEM_MARK), F.left(t, F.lit(STEM))))))
+
+
 def contexts(docs: DataFrame) -> DataFrame:
-    """``(doc_id, entity, context, terms)`` per base span of every document."""
-    spans = with_base(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).where("size(base) > 0 AND doc_id IS NOT NULL")
-    each = spans.select("doc_id", "text", F.explode("base").alias("s"))
-    start, end = F.col("s.start"), F.col("s.end")
-    left = F.substring(F.concat(F.lit(" "), "text"), F.greatest(start + 2 - REACH, F.lit(1)), F.least(start + 1, F.lit(REACH)))
-    right = F.substring(F.concat("text", F.lit(" ")), end + 1, F.lit(REACH))
-    near = F.lower(F.concat(F.regexp_replace(left, r"^\S+", ""), F.lit(" "), F.regexp_replace(right, r"\S+$", "")))
-    return each.select(
-        "doc_id", F.concat("s.kind", F.lit(":"), F.lower("s.value")).alias("entity"), near.alias("near"),
-    ).select("doc_id", "entity", F.xxhash64("near").alias("context"), F.array_distinct(F.regexp_extract_all("near", F.lit(WORD), F.lit(0))).alias("terms"))
+    """``(doc_id, whole, entities, terms)`` per document with a base span; equal texts have the same ``whole``."""
+    spans = with_base(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    entities = F.array_distinct(F.transform("base", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
+    whole = F.struct(F.xxhash64("text").alias("hash"), F.length("text").alias("size"))
+    return spans.where("size(base) > 0 AND doc_id IS NOT NULL").select("doc_id", whole.alias("whole"), entities.alias("entities"), terms(F.col("text")).alias("terms"))
 
 
 def revealing(docs: DataFrame) -> DataFrame:
     """``(doc_id, term, stem)``: terms to take out of a document; ``stem`` is null where nothing of the term may stay."""
     found = stored(contexts(docs), "contexts")
-    once = found.select("entity", "context", "terms").dropDuplicates(["entity", "context"])
-    frequent = once.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= SUPPORT)
-    pairs = once.join(frequent, "entity").select("entity", "n_e", F.explode("terms").alias("term"))
-    pairs = stored(pairs.groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et")), "pairs")
-
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("term"))
-    counts = stored(words.groupBy("term").agg(F.count("*").alias("n_t")), "terms")
-    stems = counts.groupBy(F.left("term", F.lit(STEM)).alias("stem")).agg(F.sum("n_t").alias("n_s"))
-    windows = counts.agg((F.greatest(F.sum("n_t"), F.lit(WINDOW)) / WINDOW).alias("n"))  # one row
+    once = stored(found.groupBy("whole").agg(F.first("entities").alias("entities"), F.first("terms").alias("terms")), "once")
+    frequent = once.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= SUPPORT)
+    frequent = stored(frequent, "frequent")
+    # a hot entity's texts must not gather in one task: broadcast after a count, else salted
+    pairs = sized_join(once.select(F.explode("entities").alias("entity"), "terms"), frequent, ["entity"])
+    pairs = pairs.select("entity", "n_e", F.explode("terms").alias("term")).groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et"))
+    pairs = stored(pairs.where(F.col("n_et") >= SUPPORT), "pairs")
+
+    texts = docs.select(F.col("text").cast("string").alias("text")).where("text IS NOT NULL").distinct()
+    counts = texts.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    counts = stored(counts.where(F.col("n_t") >= SUPPORT), "terms")
+    n = F.lit(float(max(docs.agg(F.count_distinct(F.xxhash64("text"), F.length("text"))).first()[0], 1)))
 
     def disclosure(joint: Column, alone: Column) -> Column:
-        return F.log(joint * F.col("n") / (F.col("n_e") * alone)) / F.log(F.greatest(F.col("n") / F.col("n_e"), F.lit(1.0 + 1e-9)))
-
-    strong = pairs.where(F.col("n_et") >= SUPPORT).join(counts, "term").join(F.broadcast(windows))
-    strong = strong.where(disclosure(F.col("n_et"), F.col("n_t")) >= DISCLOSURE).select("entity", "term", "n", F.left("term", F.lit(STEM)).alias("stem"))
-    per_stem = pairs.groupBy("entity", "n_e", F.left("term", F.lit(STEM)).alias("stem")).agg(F.sum("n_et").alias("n_es"))
-    judged = strong.join(per_stem, ["entity", "stem"]).join(stems, "stem")
-    general = (disclosure(F.col("n_es"), F.col("n_s")) < DISCLOSURE) & (F.length("term") > STEM)
-    out = judged.select("entity", "term", F.when(general, F.col("stem")).alias("stem"))
-    return found.select("doc_id", "entity").distinct().join(out, "entity").groupBy("doc_id", "term").agg(
+        return F.log(joint * n / (F.col("n_e") * alone)) / F.log(F.greatest(n / F.col("n_e"), F.lit(1.0 + 1e-9)))
+
+    judged = stored(pairs.join(counts, "term").withColumn("_strong", disclosure(F.col("n_et"), F.col("n_t")) >= DISCLOSURE), "judged")
+    is_stem = F.col("term").startswith(STEM_MARK)
+    strong = judged.where(~is_stem & F.col("_strong")).select("entity", "term", F.left("term", F.lit(STEM)).alias("stem"))
+    stems = judged.where(is_stem).select("entity", F.substring("term", 2, STEM).alias("stem"), F.col("_strong").alias("_stem_strong"))
+    general = ~F.col("_stem_strong") & (F.length("term") > STEM)
+    out = stored(strong.join(stems, ["entity", "stem"]).select("entity", "term", F.when(general, F.col("stem")).alias("stem")), "strong")
+    held = sized_join(found.select("doc_id", F.explode("entities").alias("entity")).distinct(), out, ["entity"])
+    return held.groupBy("doc_id", "term").agg(
         F.when(F.count("stem") == F.count("*"), F.max("stem")).alias("stem")
     )
 

@@ -110,6 +110,24 @@ def test_terms_that_reveal(spark):
             assert clean[i] == t
 
 
+def test_terms_of_whole_texts(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    filler = lambda n: " ".join(word() for _ in range(n))
+    rows = [(i, filler(60)) for i in range(300)]
+    rows += [(1000 + i, f"Quimby {filler(60)} far@away.example.org {filler(60)}") for i in range(4)]  # a distant name
+    rows += [(1100 + i, f"{filler(20)} Lee {filler(2)} +49 30 1234567") for i in range(4)]  # a name of three letters
+    signature = f"{filler(12)} Zorander {filler(12)} desk@office.example.org {filler(12)}"
+    rows += [(1200 + i, f"{filler(20)} {signature}") for i in range(40)]  # one window in many texts
+    rows += [(1300 + i, f"Copyman wrote copy@paste.example.org ") for i in range(40)]  # copies are one text
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, n_chars long")
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    for first, name, n in ((1000, "Quimby", 4), (1100, "Lee", 4), (1200, "Zorander", 40)):
+        assert not any(name in clean[first + i].split() for i in range(n)), name
+    assert all(clean[1300 + i] == "Copyman wrote <EMAIL> " for i in range(40))
+    assert all(clean[i] == t for i, t in rows if i < 1000)
+
+
 def test_packed(spark, odd, none):
     docs = odd.unionByName(spark.createDataFrame([(50, "a b c " * 4000, "en", "s", 0, "", "", "")], SCHEMA))
     rows = packing.pack(docs, byte_tokenizer(), keep_ids=True).collect()
