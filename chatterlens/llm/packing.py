@@ -52,7 +52,7 @@ class Encoder:
 
     ``path`` is a vocabulary for the tokenizers library. With ``ranks``, the same byte-level vocabulary as a rank file, texts in
     Latin letters without very long words take the faster tiktoken library; there the two agree on
-    every character class. Both encode control strings as ordinary text.
+    every character class. Texts with the content of an added token (control strings) take tokenizers, which gives them its id.
     """
 
     PLAIN = re.compile("[\x00-\u024f]*")
@@ -63,7 +63,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.fast = None
         if ranks:
             import tiktoken
@@ -72,7 +72,7 @@ class Encoder:
                 pairs = (line.split() for line in lines)
                 table = {base64.b64decode(token): int(rank) for token, rank in pairs}
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-            probe = "It's 12 naïve  words,\n\nand <|endoftext|> more\t…"
+            probe = "It's 12 naïve  words,\n\nand <| more\t…"
             if self.fast.encode_ordinary(probe) != self.slow(probe):
                 raise ValueError(f"{ranks} is not the vocabulary of {path}")
 
@@ -80,7 +80,7 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str) -> bytes:
-        plain = self.fast and self.PLAIN.fullmatch(text) and not self.LONG.search(text)
+        plain = self.fast and self.PLAIN.fullmatch(text) and not self.LONG.search(text) and not any(t in text for t in self.added)
         return array("I", self.fast.encode_ordinary(text) if plain else self.slow(text)).tobytes()
 
 

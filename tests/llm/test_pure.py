@@ -39,6 +39,16 @@ def test_bytes_as_the_library():
         assert np.frombuffer(own.ids(text), np.uint32).tolist() == own.slow(text)
 
 
+def test_control_strings_as_the_plain_library():
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    own = packing.Encoder(P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    added = [t.content for t in plain.get_added_tokens_decoder().values()]
+    assert added
+    for text in [*texts(2000), *[f"a{t}b" for t in added], *[f"{t}{t} 漢 {t}" for t in added], "<|endoftext", "<|ENDOFTEXT|>"]:
+        assert np.frombuffer(own.ids(text), np.uint32).tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
 @given(st.text(alphabet=st.sampled_from("s>/<[]INST\\|ntur end\n"), max_size=40))
 @settings(max_examples=300)
 def test_escapes_are_reversible(text):
