@@ -8,6 +8,9 @@ exactly zero; a temperature fitted on held-back examples calibrates the probabil
 The model is fitted on a bounded sample: for each language the ``SAMPLE`` eligible texts of at most ``SAMPLE_CHARS``
 characters with the smallest hash of their id. Features of a prediction come from the whole text.
 
+``predict(strict=True)`` also gives ``und`` to what resembles no learned language: a top probability, or a share of n-grams seen
+in training, below the ``LOW`` quantile of the rightly classified held-back examples.
+
 Defined results: ``und`` with score 0 for a null text and for a text without a letter; without any labelled text every
 prediction is ``und``. Repeated rows get equal results. Other columns pass through; the two names this
 module adds replace columns of the same name.
@@ -31,6 +34,7 @@ PARTS = 64
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.05
 MIN_SCORE = 0.3
+LOW = 0.0025
 ROWS = 128
 
 
@@ -99,8 +103,16 @@ def temperature(logits: np.ndarray, target: np.ndarray) -> float:
 
 
 class Model:
-    def __init__(self, languages, idf, weights, heat):
+    def __init__(self, languages, idf, weights, heat, seen, least_score, least_known):
         self.languages, self.idf, self.weights, self.heat = languages, idf, weights, heat
+        self.seen, self.least_score, self.least_known = seen, least_score, least_known
+
+    def probabilities(self, x: np.ndarray) -> np.ndarray:
+        return softmax(x @ self.weights / self.heat)
+
+    def resembles(self, x: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Whether texts (normed rows and their probabilities) are like the learned languages."""
+        return (p.max(axis=1) >= self.least_score) & ((x * x) @ self.seen >= self.least_known)
 
 
 def fit(texts: list[str], languages: list[str]) -> Model | None:
@@ -124,7 +136,15 @@ def fit(texts: list[str], languages: list[str]) -> Model | None:
     train = np.flatnonzero(~back)
     weights = ftrl([rows[i] for i in train], target[train], len(names))
     logits = np.array([rows[i][1] @ weights[rows[i][0]] for i in np.flatnonzero(back)]).reshape(-1, len(names))
-    return Model(names, idf, weights, temperature(logits, target[back]))
+    heat = temperature(logits, target[back])
+    seen = np.zeros(BUCKETS)
+    for i in train:
+        seen[rows[i][0]] = 1
+    p = softmax(logits / heat)
+    known = np.array([(value * value) @ seen[at] for at, value in (rows[i] for i in np.flatnonzero(back))])
+    right = p.argmax(axis=1) == target[back]
+    least = [float(np.quantile(v[right], LOW)) - 1e-9 if right.any() else 0.0 for v in (p.max(axis=1), known)]
+    return Model(names, idf, weights, heat, seen, max(least[0], MIN_SCORE), least[1])
 
 
 def sample(docs: DataFrame, eligible: Column) -> DataFrame:
@@ -149,7 +169,7 @@ def train(docs: DataFrame, eligible: Column) -> Model | None:
     return fit(rows.column("text").to_pylist(), rows.column("lang").to_pylist())
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
+def predict(docs: DataFrame, model: Model | None, strict: bool = False) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS weights per language
 
@@ -162,9 +182,11 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 names += ["und"] * len(counts)
                 scores += [0.0] * len(counts)
                 continue
-            p = softmax(normed(counts, model.idf) @ model.weights / model.heat)
+            x = normed(counts, model.idf)
+            p = model.probabilities(x)
+            like = has_letter & model.resembles(x, p) if strict else has_letter
             best = p.argmax(axis=1)
-            names += [model.languages[b] if ok else "und" for b, ok in zip(best, has_letter)]
+            names += [model.languages[b] if ok else "und" for b, ok in zip(best, like)]
             scores += [round(float(x), 6) if ok else 0.0 for x, ok in zip(p.max(axis=1), has_letter)]
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 

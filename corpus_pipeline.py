@@ -17,7 +17,7 @@ from chatterlens.llm.storage import stored
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without a recognised language."""
     model = language_id.train(docs, F.lit(True))
-    return language_id.predict(docs, model).where(language_id.accepted()).select(*docs.columns)
+    return language_id.predict(docs, model, strict=True).where(language_id.accepted()).select(*docs.columns)
 
 
 def check_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -144,6 +144,23 @@ def test_language_model_is_sparse_and_calibrated():
     assert letters.tolist() == [True, False, False, True] and p[0].argmax() == 0 and p[3].argmax() == 1
 
 
+@pytest.mark.parametrize("names", ["x", "xy", "xyz"])
+def test_unlearned_languages_do_not_resemble(names):
+    rng = random.Random(0)
+    make = {"x": ["hause", "gehen", "strasse", "nicht", "schon"], "y": ["house", "going", "the", "with", "that"], "z": ["maison", "vous", "est", "alors", "quoi"]}
+    text = lambda n: " ".join(rng.choice(make[n]) for _ in range(30))
+    rows = [(text(n), n) for n in names for _ in range(100)]
+    model = language_id.fit([t for t, _ in rows], [n for _, n in rows])
+
+    def kept(made):
+        x = language_id.normed(language_id.features(*columns(made))[0], model.idf)
+        return model.resembles(x, model.probabilities(x)).mean()
+
+    assert all(kept([text(n) for _ in range(100)]) >= 0.9 for n in names)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуф", "漢字仮名交文日本語中国"):
+        assert kept([" ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(30)) for _ in range(100)]) == 0
+
+
 def test_unseen_misspellings_score_as_toxic():
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("abcdefghiklmnorstu") for _ in range(6))
