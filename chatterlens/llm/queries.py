@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatterlens.llm import chat_format, kneser_ney, language_id, near_dedup, packing, pii, piece_bpe, quality_rules, topk, toxicity
+from chatterlens.llm import (
+    chat_format, decontaminate, filter_audit, kneser_ney, language_id, merkle, near_dedup, packing, pii, piece_bpe, quality_rules, topk, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -175,3 +177,120 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return kneser_ney.judge(table(spark, sf_dir, "documents"), trusted)
+
+
+MERKLE_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT *, coalesce('=' || lang, '-') AS key,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail FROM documents),
+l AS (
+  SELECT doc_id, key, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) AS other FROM d),
+p AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY key) AS n FROM l),
+tree AS (
+  SELECT key, 0 AS level, place, leaf AS digest, n FROM p
+  UNION ALL
+  SELECT key, level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (n + 1) // 2
+  FROM tree WHERE n > 1 GROUP BY key, level, place // 2, n),
+sub AS (SELECT key, digest, row_number() OVER (ORDER BY key) - 1 AS place, count(*) OVER () AS n FROM tree WHERE n = 1),
+top AS (
+  SELECT 0 AS level, place, digest, n FROM sub
+  UNION ALL
+  SELECT level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (n + 1) // 2 FROM top WHERE n > 1 GROUP BY level, place // 2, n),
+height AS (SELECT key, max(level) AS h FROM tree GROUP BY key),
+every AS (
+  SELECT key, level, place, digest FROM tree WHERE n > 1
+  UNION ALL SELECT s.key, h.h + t.level, t.place, t.digest FROM sub s JOIN height h ON h.key = s.key JOIN top t ON t.n > 1),
+spot AS (
+  SELECT p.*, s.digest AS subroot, s.place AS sub_place, h.h, (SELECT digest FROM top WHERE n = 1) AS root,
+    h.h + (SELECT max(level) FROM top) AS levels, row_number() OVER () AS id
+  FROM p JOIN sub s ON s.key = p.key JOIN height h ON h.key = p.key),
+way AS (
+  SELECT id, key, leaf, CASE WHEN crc32_mod7 = 0 THEN other ELSE leaf END AS folded, '' AS proof, 0 AS level, place, sub_place, h, levels FROM (
+    SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 7 AS crc32_mod7 FROM spot) q
+  UNION ALL
+  SELECT w.id, w.key, w.leaf,
+    sha256(CASE WHEN e.digest IS NULL THEN w.folded WHEN step.spot % 2 = 1 THEN e.digest || w.folded ELSE w.folded || e.digest END),
+    w.proof || coalesce(e.digest, ''), w.level + 1, CASE WHEN w.level < w.h THEN w.place // 2 ELSE w.place END,
+    CASE WHEN w.level >= w.h THEN w.sub_place // 2 ELSE w.sub_place END, w.h, w.levels
+  FROM way w JOIN LATERAL (SELECT CASE WHEN w.level < w.h THEN w.place ELSE w.sub_place END AS spot) step ON true
+  LEFT JOIN every e ON e.key = w.key AND e.level = w.level AND e.place = xor(step.spot, 1)
+  WHERE w.level < w.levels)
+SELECT s.doc_id, s.leaf, s.subroot, s.root, sha256(w.proof) AS proof_sha256, w.folded AS folded_root, w.folded = s.root AS verified
+FROM spot s JOIN way w ON w.id = s.id AND w.level = w.levels
+"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(table(spark, sf_dir, "documents"), F.coalesce(remainder(7) == 0, F.lit(False)))
+
+
+AUDIT_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT d.part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+    CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM d LEFT JOIN l ON l.doc_id = d.doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+b AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(f, bit)),
+o AS (
+  SELECT x1.f || x2.f || x3.f || x4.f || x5.f AS filter_order, [x1.bit, x2.bit, x3.bit, x4.bit, x5.bit] AS bits
+  FROM b x1, b x2, b x3, b x4, b x5 WHERE len(list_distinct([x1.f, x2.f, x3.f, x4.f, x5.f])) = 5),
+s AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(list_slice(bits, 1, step - 1)), 0) AS before
+  FROM o, (SELECT unnest(range(1, 6)) AS step) r),
+r AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (mask & CAST(before + bit AS BIGINT) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & CAST(before AS BIGINT) = 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & CAST(before AS BIGINT) <> 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & CAST(before AS BIGINT) = 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & CAST(before AS BIGINT) = 0), 0) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+@query("op12_filter_interactions", AUDIT_SQL)
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+LEAK_SQL = r"""
+WITH t AS (
+  SELECT doc_id AS id, row_number() OVER () AS row, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT id, least(len(w), 10) AS size, array_to_string(list_slice(w, pos, pos + least(len(w), 10) - 1), ' ') AS x
+  FROM (SELECT id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS pos FROM i WHERE len(w) > 0)),
+run AS (
+  SELECT row, pos, size, array_to_string(list_slice(w, pos, pos + size - 1), ' ') AS x
+  FROM (SELECT row, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM t, (SELECT DISTINCT size FROM win) WHERE len(w) >= size)),
+hit AS (SELECT run.row, run.pos, run.size, win.id FROM run JOIN win ON win.x = run.x AND win.size = run.size),
+n AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(pos, pos + size)) AS p FROM hit) GROUP BY row),
+s AS (SELECT row, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT row, id FROM hit) GROUP BY row)
+SELECT t.id AS doc_id, CAST(len(t.w) AS BIGINT) AS n_words, coalesce(n.n_hit, 0) AS n_hit, coalesce(s.n_items, 0) AS n_items,
+  sha256(coalesce(s.ids, '')) AS items_sha256, coalesce(n.n_hit, 0) > 0 AS contaminated
+FROM t LEFT JOIN n ON n.row = t.row LEFT JOIN s ON s.row = t.row
+"""
+
+
+@query("op13_decontamination", LEAK_SQL)
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.summary(decontaminate.find(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
