@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,7 +17,8 @@ from chatterlens.operators.joins import sized_join
 from chatterlens.operators.sequence import neighbours, whole_part
 from chatterlens.session import durable
 
-FEW_RUNS = 1000
+#: Powers of two.
+MIN_BITS, MAX_BITS = 15, 22
 COUNTS = ["positive", "negative", "neutral", "other", "total"]
 
 
@@ -25,43 +28,94 @@ def distinct_keywords(requests: DataFrame) -> DataFrame:
     return each.filter("keyword <> ''").distinct()
 
 
+@dataclass(frozen=True)
+class RunFilter:
+    """A bitmap of hashed runs: tells inside a row which of its runs may be asked for; never misses one.
+
+    ``bits`` grows with the number of runs up to ``MAX_BITS``, half a megabyte; beyond that more runs pass by
+    chance and are dropped by the join that follows.
+    """
+
+    bits: int
+    words: str
+
+    @classmethod
+    def of(cls, wanted: DataFrame, run: str) -> RunFilter:
+        asked = wanted.select(F.col(run).alias("_run")).dropna()
+        bits = 1 << min(max((16 * asked.count()).bit_length(), MIN_BITS), MAX_BITS)
+        places = asked.select(F.explode(F.array(*cls._places(F.col("_run"), bits))).alias("_place"))
+        place = F.col("_place") + 1  # buckets count from 1
+        packed = places.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap")
+        )
+        whole = np.zeros(bits // 64, np.int64)
+        for row in packed.collect():  # at most bits / 32768 rows
+            part = np.frombuffer(row.bitmap, "<i8")[: len(whole)]
+            begin = (row.bucket - 1) * part.size
+            whole[begin: begin + part.size] = part
+        return cls(bits, json.dumps(whole.tolist()))
+
+    @staticmethod
+    def _places(run: Column, bits: int) -> tuple[Column, Column]:
+        """Two bits per run, from the two halves of its hash."""
+        hashed = F.xxhash64(run)
+        return tuple(part.bitwiseAND(F.lit(bits - 1)) for part in (hashed, F.shiftrightunsigned(hashed, 32)))
+
+    def passing(self, runs_of_row: Column) -> Column:
+        words = F.from_json(F.lit(self.words), "array<bigint>")
+
+        def is_set(place: Column) -> Column:
+            return F.getbit(F.get(words, F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+        def asked(run: Column) -> Column:
+            first, second = self._places(run, self.bits)
+            return is_set(first) & is_set(second)
+
+        return F.filter(runs_of_row, asked)
+
+
 def keyword_matches(
     comments: DataFrame, keywords: DataFrame, body: str = "cleaned_body", subreddit: str = "subreddit",
-    few_runs: int = FEW_RUNS,
+    kept: list[str] | None = None,
 ) -> DataFrame:
     """Each (comment, keyword) pair that matches in the body or in the subreddit, once.
 
-    Inverted: a keyword joins only comments that hold its longest run, by an
-    equi-join on the comments' distinct runs, and is then tested in full. One
-    anchor per keyword means no pair can come up twice, so the comments are never
-    shuffled or regrouped. Up to ``few_runs`` distinct anchors are looked up inside the
-    row first, so that only runs some keyword waits for become rows.
+    Inverted: a keyword joins only comments that hold its longest run, by an equi-join on the comments' distinct runs, and is
+    then tested in full. One anchor per keyword means no pair can come up twice, so the comments are never shuffled or
+    regrouped. A bitmap of all anchors is tested inside the row, whatever their number, so only runs that
+    some keyword waits for become rows, and no row has to move to find that out. ``kept`` names the columns of the
+    result (default: all of the comment).
     """
-    wanted = keywords.select(
+    wanted = durable(keywords.select(
         "keyword",
         keyword_anchor(F.col("keyword")).alias("_run"),
         keyword_words(F.col("keyword")).alias("_words"),
         keyword_pattern(F.col("keyword")).alias("_pattern"),
-    )
+    ))
     text = F.coalesce(F.col(body), F.lit(""))
     forum = F.coalesce(F.col(subreddit), F.lit(""))
     prepared = comments.withColumns({"_body_runs": runs(text), "_forum_runs": runs(forum)})
     every_run = F.array_append(F.array_union("_body_runs", "_forum_runs"), F.lit(""))
-    anchors = [r[0] for r in wanted.select("_run").dropna().distinct().limit(few_runs + 1).collect()]
-    if len(anchors) <= few_runs:
-        asked = F.from_json(F.lit(json.dumps(anchors, ensure_ascii=False)), "array<string>")
-        every_run = F.array_intersect(every_run, asked)
-    by_run = prepared.withColumn("_run", F.explode(every_run))
+    by_run = prepared.withColumn("_run", F.explode(RunFilter.of(wanted, "_run").passing(every_run)))
     pairs = sized_join(by_run, wanted, ["_run"])
     needed = F.col("_words"), F.col("_pattern")
     found = words_found(text, F.col("_body_runs"), *needed) | words_found(
         forum, F.col("_forum_runs"), *needed
     )
-    return pairs.filter(found).select(*comments.columns, "keyword")
+    return pairs.filter(found).select(*(kept or comments.columns), "keyword")
+
 
+def window_matches(comments: DataFrame, keywords: DataFrame, windows: DataFrame, key: list[str], **columns) -> DataFrame:
+    """The matches of the comments that lie in a window: ``key``, ``label``, ``keyword`` and the columns of ``windows``.
+
+    Texts are read where they lie; only matches, without their text, meet the numbers.
+    """
+    matches = keyword_matches(comments, keywords, kept=[*key, "label"], **columns)
+    return matches.join(windows, key)
 
-def requests_x_comments(comments: DataFrame, requests: DataFrame) -> DataFrame:
-    """Matches per (comment, user, slot); keywords shared by users are matched once."""
+
+def by_slot(matches: DataFrame, requests: DataFrame) -> DataFrame:
+    """Matches per (user, slot); keywords shared by users are matched once before."""
     slots = requests.select(
         "user_id",
         F.explode(
@@ -71,7 +125,12 @@ def requests_x_comments(comments: DataFrame, requests: DataFrame) -> DataFrame:
             )
         ).alias("_slot"),
     ).select("user_id", "_slot.*")
-    return sized_join(keyword_matches(comments, distinct_keywords(requests)), slots, ["keyword"])
+    return sized_join(matches, slots, ["keyword"])
+
+
+def requests_x_comments(comments: DataFrame, requests: DataFrame, kept: list[str] | None = None) -> DataFrame:
+    """Matches per (comment, user, slot)."""
+    return by_slot(keyword_matches(comments, distinct_keywords(requests), kept=kept), requests)
 
 
 def label_counts(label: str = "label") -> list[Column]:
@@ -181,11 +240,13 @@ def keyword_response(
     requests: DataFrame,
     n: int = S.WINDOW_COMMENTS,
     reset_on_request: bool = True,
+    matches: DataFrame | None = None,
 ) -> DataFrame:
     """One row per full window and user with a request: both keywords' score and total.
 
-    ``windows`` comes from ``count_windows`` and carries ``cleaned_body``,
-    ``subreddit`` and ``label``. ``requests`` holds ``user_id``, ``keyword1``,
+    ``windows`` comes from ``count_windows`` and carries ``created_utc``; ``matches`` from ``window_matches``, with
+    ``window_no``, ``seq``, ``label`` and ``keyword``. Without ``matches`` they are looked for in ``windows``, which then
+    carries ``cleaned_body``, ``subreddit`` and ``label`` too. ``requests`` holds ``user_id``, ``keyword1``,
     ``keyword2`` and ``req_seq``, the number of comments that came before it. With
     ``reset_on_request`` a repeated request starts the user's counts anew inside
     the window, otherwise every comment of the window counts.
@@ -196,9 +257,9 @@ def keyword_response(
     )
     ask = ["window_no", "user_id", "keyword1", "keyword2"]
     slots = active.withColumn("_side", F.explode(sides)).select(*ask, "from_seq", "_side.*")
-    matches = keyword_matches(windows, distinct_keywords(requests)).select(
-        "window_no", "seq", "label", "keyword"
-    )
+    if matches is None:
+        matches = keyword_matches(windows, distinct_keywords(requests))
+    matches = matches.select("window_no", "seq", "label", "keyword")
     if reset_on_request:
         matches = durable(matches)  # read by the whole windows and by the partial ones
     whole = keyword_label_counts(matches, ["window_no", "keyword"]).drop("negative", "other")

@@ -12,12 +12,14 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chatterlens import schemas as S
-from chatterlens.session import durable
+from chatterlens.session import staging_path
 
 COMMENT_ORDER = ["created_utc", "id"]
 GROUP_WIDTH = 1 << 17
+MAX_EDGES = 10_000
 
 
 def whole_part(column: str, n: int) -> Column:
@@ -28,20 +30,22 @@ def whole_part(column: str, n: int) -> Column:
 def index_and_count(df: DataFrame, order: list, index: str = "seq") -> tuple[DataFrame, int]:
     """Number all rows 0..n-1 by ``order``, which must be a total order; also return n.
 
-    Rows are range-partitioned and sorted in place, made durable so that counting
-    and numbering see the same layout, then shifted by the sizes of the partitions
-    before theirs. Only those sizes, one number per partition, reach the driver.
+    Rows are range-partitioned, sorted in place and written as Parquet. A row's number is its place in
+    its file plus the rows of the files before: a position index that no later plan, retry or split of a
+    file can change, and whose readers prune columns. Only one number per file reaches the driver.
+    Keep the rows narrow: what is not needed for the order can be joined back or computed before.
     """
-    laid_out = durable(df.repartitionByRange(*order).sortWithinPartitions(*order))
-    position = F.monotonically_increasing_id()
-    part, local = F.shiftright(position, 33), position.bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = laid_out.withColumns({"_part": part, "_local": local})
-    sizes = sorted(numbered.groupBy("_part").agg(F.count("*").alias("n")).collect())
-    starts = [0, *accumulate(n for _, n in sizes)]
+    path = staging_path(df.sparkSession, "ordered")
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+    laid_out = df.sparkSession.read.schema(df.schema).parquet(path)
+    numbered = laid_out.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_local"))
+    sizes = numbered.groupBy("_file").agg(F.count("*").alias("n")).collect()
+    sizes = sorted(sizes, key=lambda r: (int(r["_file"].split("-")[1]), r["_file"]))
+    starts = [0, *accumulate(r["n"] for r in sizes)]
     offsets = df.sparkSession.createDataFrame(
-        [(p, start) for (p, _), start in zip(sizes, starts)], "_part bigint, _start bigint"
+        [(r["_file"], start) for r, start in zip(sizes, starts)], "_file string, _start bigint"
     )
-    indexed = numbered.join(F.broadcast(offsets), "_part").select(
+    indexed = numbered.join(F.broadcast(offsets), "_file").select(
         *df.columns, (F.col("_start") + F.col("_local")).alias(index)
     )
     return indexed, starts[-1]
@@ -56,17 +60,59 @@ def count_windows(
 ) -> DataFrame:
     """Tumbling windows of ``n`` rows in arrival order; the last, partial one is dropped.
 
-    Adds ``seq`` and ``window_no``.
+    Adds ``seq`` and ``window_no``. Hand in the key and order columns only: what a text holds is found
+    where the text lies and joined to its number by the key (``keywords.window_matches``).
     """
     indexed, total = index_and_count(df, order or COMMENT_ORDER)
     windows = indexed.withColumn("window_no", whole_part("seq", n))
     return windows.filter(F.col("seq") < total // n * n)
 
 
+def _named(order: list) -> list[Column]:
+    return [(F.col(c) if isinstance(c, str) else c).alias(f"_k{i}") for i, c in enumerate(order)]
+
+
+_JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+_PLAIN_KEYS = (T.IntegralType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _last_not_above(key: Column, edges: Column, n: int) -> Column:
+    """The place of the last of ``n`` ascending ``edges`` that is not above ``key``, by binary search."""
+    halves = [1 << b for b in reversed(range(max(n - 1, 1).bit_length()))]
+
+    def step(low: Column, half: Column) -> Column:
+        ahead = F.get(edges, low + half)
+        return F.when(ahead.isNotNull() & (ahead <= key), low + half).otherwise(low)
+
+    return F.aggregate(F.array(*[F.lit(h) for h in halves]), F.lit(0), step)
+
+
 def row_chunks(df: DataFrame, order: list, size: int = S.CHUNK_ROWS) -> DataFrame:
-    """Chunk numbers from 1, ``size`` rows each, in input order."""
-    indexed = with_global_index(df, order, "row_no")
-    return indexed.withColumn("chunk_id", whole_part("row_no", size) + 1)
+    """Add ``chunk_id``: chunks from 1, ``size`` rows each, in the input order given by ``order``, a total order.
+
+    Only the order columns are shuffled and numbered. The first key of each chunk then tells every row,
+    wherever it lies, its chunk; texts and vectors stay in place. With more than ``MAX_EDGES`` chunks, or keys that
+    have no exact text form, the rows themselves are numbered.
+    """
+    named = _named(order)
+    keys = [f"_k{i}" for i in range(len(order))]
+    narrow = df.select(*named)
+    if not all(isinstance(f.dataType, _PLAIN_KEYS) for f in narrow.schema.fields):
+        return _numbered_chunks(df, order, size)
+    indexed, total = index_and_count(narrow, keys, "_row")
+    n = max(1, -(-total // size))
+    if n > MAX_EDGES:
+        return _numbered_chunks(df, order, size)
+    first = F.sort_array(F.collect_list(F.struct(*keys)))
+    # at most MAX_EDGES keys
+    edges = indexed.filter(F.col("_row") % size == 0).agg(F.to_json(first, _JSON_TIMES)).first()[0]
+    literal = F.from_json(F.lit(edges), T.ArrayType(narrow.schema), _JSON_TIMES)
+    return df.withColumn("chunk_id", (_last_not_above(F.struct(*named), literal, n) + 1).cast("bigint"))
+
+
+def _numbered_chunks(df: DataFrame, order: list, size: int) -> DataFrame:
+    indexed = with_global_index(df, order, "_row")
+    return indexed.withColumn("chunk_id", whole_part("_row", size) + 1).drop("_row")
 
 
 def first_rows(df: DataFrame, n: int, order: list) -> DataFrame:

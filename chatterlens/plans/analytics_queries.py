@@ -109,7 +109,9 @@ def row_chunks(spark, sf_dir, *columns):
 
 @query("row_chunks", f"{_CHUNKED} SELECT id, row_no, chunk_id FROM chunks")
 def _row_chunks(spark, sf_dir):
-    return row_chunks(spark, sf_dir).select("id", "row_no", "chunk_id")
+    """Chunks, beside the row numbers that they must agree with."""
+    chunked = row_chunks(spark, sf_dir)
+    return Q.with_global_index(chunked, KQ.arrival_order(), "row_no").select("id", "row_no", "chunk_id")
 
 
 @query("concat_chunks", f"""{_WITH} SELECT id, body AS text FROM comments

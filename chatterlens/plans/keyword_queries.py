@@ -32,17 +32,27 @@ def arrival_order():
     return ["created_utc", F.col("id").cast("bigint")]
 
 
+KEY = ["id", "created_utc"]
+
+
+def valid(spark, sf_dir):
+    return V.valid_comments(D.comments(spark, sf_dir))
+
+
 def windows(spark, sf_dir, n=N):
-    """Valid comments cut into windows. The text is cleaned after the rows are numbered, once."""
-    valid = V.valid_comments(D.comments(spark, sf_dir)).select(
-        "id", "created_utc", "subreddit", "score", "body", "label"
-    )
-    numbered = Q.count_windows(valid, n, arrival_order())
-    return numbered.withColumn("cleaned_body", clean_text(F.col("body"))).drop("body")
+    """Keys of the valid comments, numbered and cut into windows. No text is moved."""
+    return Q.count_windows(valid(spark, sf_dir).select(*KEY), n, arrival_order())
+
+
+def matches(spark, sf_dir, numbered=None):
+    texts = valid(spark, sf_dir).withColumn("cleaned_body", clean_text(F.col("body")))
+    keywords = K.distinct_keywords(D.requests(spark, sf_dir))
+    return K.window_matches(texts, keywords, windows(spark, sf_dir) if numbered is None else numbered, KEY)
 
 
-def matches(spark, sf_dir):
-    return K.keyword_matches(windows(spark, sf_dir), K.distinct_keywords(D.requests(spark, sf_dir)))
+def responses(spark, sf_dir, requests, reset_on_request=True):
+    numbered = windows(spark, sf_dir)
+    return _rounded(K.keyword_response(numbered, requests, N, reset_on_request, matches(spark, sf_dir, numbered)))
 
 
 def _response_sql(from_seq: str) -> str:
@@ -68,13 +78,12 @@ def _rounded(responses):
 
 @query("keyword_response", _response_sql("0"))
 def keyword_response(spark, sf_dir):
-    return _rounded(K.keyword_response(windows(spark, sf_dir), D.requests(spark, sf_dir), N, reset_on_request=False))
+    return responses(spark, sf_dir, D.requests(spark, sf_dir), reset_on_request=False)
 
 
 @query("request_resets_counts", _response_sql("a.req_seq"))
 def request_resets(spark, sf_dir):
-    responses = K.keyword_response(windows(spark, sf_dir), D.requests(spark, sf_dir), N)
-    return _rounded(responses)
+    return responses(spark, sf_dir, D.requests(spark, sf_dir))
 
 
 @query("count_window", f"{BASE_CTE} SELECT id, seq, window_no FROM windows")
@@ -84,7 +93,7 @@ def _count_window(spark, sf_dir):
 
 @query("requests_x_comments", f"{BASE_CTE} SELECT m.id, s.user_id, s.slot, s.keyword FROM matches m JOIN slots s USING (keyword)")
 def _requests_x_comments(spark, sf_dir):
-    pairs = K.requests_x_comments(windows(spark, sf_dir), D.requests(spark, sf_dir))
+    pairs = K.by_slot(matches(spark, sf_dir), D.requests(spark, sf_dir))
     return pairs.select("id", "user_id", "slot", "keyword")
 
 
@@ -104,7 +113,7 @@ def _positivity(spark, sf_dir):
     min(created_utc) AS min_timestamp, max(created_utc) AS max_timestamp
     FROM matches m JOIN slots s USING (keyword) GROUP BY ALL""")
 def _time_range(spark, sf_dir):
-    pairs = K.requests_x_comments(windows(spark, sf_dir), D.requests(spark, sf_dir))
+    pairs = K.by_slot(matches(spark, sf_dir), D.requests(spark, sf_dir))
     return K.keyword_time_range(pairs, ["window_no", "user_id", "keyword"])
 
 

@@ -150,7 +150,7 @@ def _keyword_stream(spark, sf_dir):
 def _result_table(spark, sf_dir):
     """The responses upserted twice, first with wrong values: the newer batch wins."""
     requests = K.latest_request_per_user(D.requests(spark, sf_dir)).withColumn("req_seq", F.lit(0).cast("bigint"))
-    responses = durable(KQ._rounded(K.keyword_response(KQ.windows(spark, sf_dir), requests, KQ.N)))
+    responses = durable(KQ.responses(spark, sf_dir, requests))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in responses.schema)
     table = ResultTable(spark, _folder(spark, "results"), schema, ["user_id", "window_no"])
     table.write(responses.withColumn("value1", F.lit(9.0)), 0)

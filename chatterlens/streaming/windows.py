@@ -93,14 +93,17 @@ class KeywordWindows:
         seen_at = [at for _, at in marks[1:]] + [total]
         active = self._active(upto, [(m[0], at) for m, at in zip(marks, seen_at)])
 
-        comments = V.route_by_type(V.valid_labeled_comment(batch), "comment").drop("value")
+        # a row's place in the batch stays the same however often the batch is read, and names the row
+        named = batch.withColumn("_at", F.monotonically_increasing_id())
+        comments = V.route_by_type(V.valid_labeled_comment(named), "comment").drop("value")
         by_offset = ["timestamp", "partition", "offset"] if "offset" in batch.columns else COMMENT_ORDER
-        numbered, arrived = index_and_count(comments, by_offset, "_local")
+        keys = comments.select(*dict.fromkeys(["_at", "created_utc", *by_offset]))
+        numbered, arrived = index_and_count(keys, [*by_offset, "_at"], "_local")
         placed = numbered.withColumn("seq", F.col("_local") + F.lit(total))
-        windows = placed.withColumn("window_no", whole_part("seq", self.n))
+        windows = placed.select("_at", "created_utc", "seq", whole_part("seq", self.n).alias("window_no"))
         first_closed, next_open = total // self.n, (total + arrived) // self.n
 
-        matches = K.keyword_matches(windows, K.distinct_keywords(active))
+        matches = K.window_matches(comments, K.distinct_keywords(active), windows, ["_at"])
         fresh = K.keyword_label_counts(matches, ["window_no", "keyword"]).select(
             "window_no", "keyword", F.lit(total).cast("bigint").alias("from_seq"), "positive", "neutral", "total"
         )

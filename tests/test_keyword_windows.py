@@ -2,12 +2,16 @@
 
 import json
 import random
+import re
 from datetime import datetime, timezone
 
 import pytest
+from conftest import SF_DIR
 
 from chatterlens.operators import keywords as K
 from chatterlens.operators import sequence as Q
+from chatterlens.plans import keyword_queries as KQ
+from chatterlens.plans import tables as D
 from chatterlens.sources.streams import Topic
 from chatterlens.streaming.windows import KeywordWindows, keyword_stream, request_stream
 
@@ -139,6 +143,35 @@ def test_matching_plan_has_no_nested_loop(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "SortMergeJoin" not in plan
 
 
+def exchanged(frame):
+    """What the exchanges of a plan carry, one text per exchange."""
+    plan = frame.sparkSession._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "formatted")
+    sections = plan.split("\n\n")
+    return [s for s in sections if re.match(r"\s*\(\d+\) (Broadcast)?Exchange", s)]
+
+
+def test_texts_are_never_moved(spark, monkeypatch):
+    """Neither the numbering nor any exchange of a response or a chunked table carries a body."""
+    numbered = []
+    original = Q.index_and_count
+
+    def watched(df, *rest):
+        numbered.append(df.columns)
+        return original(df, *rest)
+
+    monkeypatch.setattr(Q, "index_and_count", watched)
+    asked = D.requests(spark, SF_DIR)
+    windows = KQ.windows(spark, SF_DIR)
+    matches = KQ.matches(spark, SF_DIR, windows)
+    frames = [
+        K.keyword_response(windows, asked, KQ.N, False, matches), K.by_slot(matches, asked),
+        Q.row_chunks(D.cleaned(spark, SF_DIR), KQ.arrival_order(), 50),
+    ]
+    assert numbered and not any({"body", "cleaned_body"} & set(columns) for columns in numbered)
+    moved = [section for frame in frames for section in exchanged(frame)]
+    assert moved and not any("body" in section for section in moved), moved
+
+
 def test_trend_window_edges(spark):
     rows = [("a", 299, "f", "positive"), ("a", 300, "f", "negative"), ("b", 300, "f", "neutral")]
     comments = spark.createDataFrame(rows, "cleaned_body string, created_utc bigint, subreddit string, label string")

@@ -44,11 +44,31 @@ def test_a_bounded_sample_is_the_same_every_time(spark):
     assert A.bernoulli_sample(rows, 1.0, "key").count() == 2000
 
 
-def test_anchors_on_both_sides_of_the_border(spark):
+def test_anchor_filter_never_misses(spark, monkeypatch):
+    """A bitmap with every bit set, a crowded one and the usual one give the same matches."""
     said = spark.createDataFrame([("1", "the cat sat", "pets"), ("2", None, "the"), ("3", "don't", "x")], "id string, cleaned_body string, subreddit string")
     asked = spark.createDataFrame([("the",), ("cat sat",), ("don't",), (" ",), ("none",)], "keyword string")
-    found = [sorted((r.id, r.keyword) for r in K.keyword_matches(said, asked, few_runs=n).collect()) for n in (0, 4, 5, 1000)]
-    assert found[0] == found[1] == found[2] == found[3] and ("2", "the") in found[0] and ("1", "cat sat") in found[0]
+    usual = sorted((r.id, r.keyword) for r in K.keyword_matches(said, asked).collect())
+    monkeypatch.setattr(K, "MIN_BITS", 6)
+    for most in (6, 7):
+        monkeypatch.setattr(K, "MAX_BITS", most)
+        assert sorted((r.id, r.keyword) for r in K.keyword_matches(said, asked).collect()) == usual
+    assert ("2", "the") in usual and ("1", "cat sat") in usual and ("3", "don't") in usual
+
+
+def test_many_keywords_leave_few_rows(spark):
+    """100,000 keywords: almost only runs that are asked for become rows."""
+    said = spark.range(3000).select(
+        F.col("id"), F.concat(F.lit("a"), "id", F.lit(" b"), "id", F.lit(" c"), "id", F.lit(" k"), F.col("id") * 50).alias("cleaned_body"), F.lit("f").alias("subreddit")
+    )
+    asked = spark.range(100_000).select(F.concat(F.lit("k"), "id").alias("keyword"))
+    wanted = asked.withColumn("_run", F.col("keyword"))
+    run_filter = K.RunFilter.of(wanted, "_run")
+    rows = said.select(F.explode(run_filter.passing(F.split("cleaned_body", " "))).alias("run")).persist()
+    asked_for = rows.filter("run LIKE 'k%' AND CAST(substring(run, 2) AS INT) < 100000").count()
+    assert run_filter.bits == 1 << 21 and asked_for == 2000 and rows.count() < 2000 + 0.03 * 4 * 3000
+    found = K.keyword_matches(said, asked, kept=["id"])
+    assert found.count() == 2000 and found.filter("keyword = concat('k', id * 50)").count() == 2000
 
 
 def test_old_batches_are_forgotten(spark, folder):

@@ -36,6 +36,31 @@ def test_only_full_windows(skewed, size, windows):
     assert sorted((r.window_no, r["count"]) for r in found) == [(i, size) for i in range(windows)]
 
 
+@pytest.mark.parametrize("size", [1, 100, 301, 600, 1000])
+@pytest.mark.parametrize("edges", [0, 10_000])
+def test_row_chunks(spark, skewed, size, edges, monkeypatch):
+    """By the chunks' first keys, and by numbering the rows themselves."""
+    monkeypatch.setattr(Q, "MAX_EDGES", edges)
+    rows, frame = skewed
+    order = ["created_utc", F.col("id").cast("bigint")]
+    found = {r.id: r.chunk_id for r in Q.row_chunks(frame, order, size).collect()}
+    assert found == {r[1]: i // size + 1 for i, r in enumerate(sorted(rows))}
+
+
+def test_row_chunks_of_nothing_and_of_nulls(spark):
+    schema = "created_utc bigint, id string"
+    assert Q.row_chunks(spark.createDataFrame([], schema), Q.COMMENT_ORDER, 5).count() == 0
+    rows = [(None, "b"), (None, None), (3, 'quote " \\ é'), (3, None)]
+    found = {(r.created_utc, r.id): r.chunk_id for r in Q.row_chunks(spark.createDataFrame(rows, schema), Q.COMMENT_ORDER, 1).collect()}
+    assert found == {(None, None): 1, (None, "b"): 2, (3, None): 3, (3, 'quote " \\ é'): 4}
+
+
+def test_row_chunks_by_time(spark):
+    stamps = spark.range(20).select(F.timestamp_micros(F.lit(1_700_000_000_000_000) + (F.col("id") * 7) % 20).alias("at"))
+    found = Q.row_chunks(stamps, ["at"], 3).withColumn("n", F.unix_micros("at") - 1_700_000_000_000_000)
+    assert all(r.chunk_id == r.n // 3 + 1 for r in found.collect())
+
+
 @pytest.mark.parametrize("width", [1, 7, 50, 10_000])
 def test_running_sums_and_neighbours(spark, skewed, width):
     rows, frame = skewed
