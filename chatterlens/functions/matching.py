@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chatterlens.functions.text import normalize_phrase, split_words
+from chatterlens.functions.text import let, normalize_phrase, split_words
 
 # A whole word found by \b edges is made of complete runs of these two kinds, so a
 # text can hold the word only if it holds each of the word's runs as a run of its own.
@@ -17,9 +17,12 @@ _PLAIN = r"(?U)^\w+$"
 
 def runs(text: Column) -> Column:
     """Distinct runs of word characters and of other characters, lower-cased."""
-    return F.array_distinct(
-        F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(RUNS), F.lit(0))
-    )
+    def found(lowered: Column) -> Column:
+        """Cleaned text, words with one space between, needs no pattern to be cut."""
+        cleaned = lowered.rlike("^[a-z0-9]++(?: [a-z0-9]++)*+$")
+        return F.when(cleaned, F.split(lowered, " ")).otherwise(F.regexp_extract_all(lowered, F.lit(RUNS), F.lit(0)))
+
+    return F.array_distinct(let(F.lower(F.coalesce(text, F.lit(""))), found))
 
 
 def whole_word(text: Column, word: Column) -> Column:

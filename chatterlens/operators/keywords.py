@@ -82,22 +82,26 @@ def keyword_matches(
 
     Inverted: a keyword joins only comments that hold its longest run, by an equi-join on the comments' distinct runs, and is
     then tested in full. One anchor per keyword means no pair can come up twice, so the comments are never shuffled or
-    regrouped. A bitmap of all anchors is tested inside the row, whatever their number, so only runs that
-    some keyword waits for become rows, and no row has to move to find that out. ``kept`` names the columns of the
+    regrouped. A bitmap of the keywords' runs is tested inside the row, whatever their number, so only runs
+    that some keyword holds become rows, and no row has to move to find that out. ``kept`` names the columns of the
     result (default: all of the comment).
     """
+    words = keyword_words(F.col("keyword"))
     wanted = durable(keywords.select(
         "keyword",
         keyword_anchor(F.col("keyword")).alias("_run"),
-        keyword_words(F.col("keyword")).alias("_words"),
+        words.alias("_words"),
         keyword_pattern(F.col("keyword")).alias("_pattern"),
+        F.array_distinct(F.flatten(F.transform(words, runs))).alias("_runs"),
     ))
+    asked = RunFilter.of(wanted.select(F.explode("_runs").alias("_run")), "_run")
     text = F.coalesce(F.col(body), F.lit(""))
     forum = F.coalesce(F.col(subreddit), F.lit(""))
-    prepared = comments.withColumns({"_body_runs": runs(text), "_forum_runs": runs(forum)})
+    # what no keyword holds is gone before anything is compared
+    prepared = comments.withColumns({"_body_runs": asked.passing(runs(text)), "_forum_runs": asked.passing(runs(forum))})
     every_run = F.array_append(F.array_union("_body_runs", "_forum_runs"), F.lit(""))
-    by_run = prepared.withColumn("_run", F.explode(RunFilter.of(wanted, "_run").passing(every_run)))
-    pairs = sized_join(by_run, wanted, ["_run"])
+    by_run = prepared.withColumn("_run", F.explode(every_run))
+    pairs = sized_join(by_run, wanted.drop("_runs"), ["_run"])
     needed = F.col("_words"), F.col("_pattern")
     found = words_found(text, F.col("_body_runs"), *needed) | words_found(
         forum, F.col("_forum_runs"), *needed

@@ -39,7 +39,17 @@ COMMENT_COLUMNS = {
 COMMENT_COLUMNS["body"] = COMMENT_COLUMNS["body"].replace("{every_key}", "'" + " ".join(SLANG) + "'")
 # Every emoji of the dictionary once in some texts, so that a missing entry shows.
 EMOJI_BODY = """concat(CASE WHEN doc_id % 50 = 7 THEN '{every_emoji}' ELSE '' END, CASE doc_id % 5 WHEN 0 THEN 'so good 😀' WHEN 1 THEN '❤️ this ❤'
-        WHEN 2 THEN 'no👎👎way 😡' WHEN 3 THEN '🦖 👍🏽x 😂😂' ELSE 'plain' END, ' ', text)"""
+        WHEN 2 THEN 'no👎👎way 😡' WHEN 3 THEN '🦖 👍🏽x 😂😂' WHEN 4 THEN '{joined}' ELSE 'plain' END, ' ', text)"""
+# Joined sequences and the one name of each.
+JOINED_EMOJI = {
+    "\U0001f468\u200d\U0001f469\u200d\U0001f467": "man_woman_girl",
+    "\U0001f469\U0001f3fd\u200d\U0001f4bb": "woman_medium_skin_tone_personal_computer",
+    "\u2764\ufe0f\u200d\U0001f525": "red_heart_fire",
+    "\U0001f1e9\U0001f1ea": "flag_de",
+    "5\ufe0f\u20e3": "keycap_5",
+    "\U0001f3f4\U000e0067\U000e0062\U000e0065\U000e006e\U000e0067\U000e007f": "flag_gbeng",
+}
+EMOJI_BODY = EMOJI_BODY.replace("{joined}", "x".join(JOINED_EMOJI) + " 5 " + " ".join(JOINED_EMOJI))
 EMOJI_BODY = EMOJI_BODY.replace("{every_emoji}", " ".join(EMOJI) + " ")
 
 REQUEST_ROWS = [

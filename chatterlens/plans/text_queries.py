@@ -37,7 +37,9 @@ _one_column(
 
 
 def _duck_emoji(text: str) -> str:
-    """Runs of characters below any emoji, listed sequences, and all other characters one by one."""
+    """Joined sequences by hand, then runs of characters below any emoji, listed sequences, and all other characters one by one."""
+    for sequence, name in D.JOINED_EMOJI.items():
+        text = f"replace({text}, '{sequence}', ' {name} ')"
     sequences = "|".join(sorted((e for e in EMOJI if len(e) > 1), key=len, reverse=True))
     pieces = f"regexp_extract_all({text}, '[\\x00-\\x{{A8}}]+|{sequences}|(?s:.)')"
     name = f"map_extract_value({D.duck_map(EMOJI)}, p)"

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chatterlens.functions import lexicon as X
 from chatterlens.functions.text import clean_text, emoji_to_words
+from chatterlens.plans.tables import JOINED_EMOJI
 from chatterlens.functions.wordlists import EMOJI
 from chatterlens.operators import analytics as A
 from chatterlens.operators import keywords as K
@@ -24,6 +25,16 @@ def test_every_emoji_has_a_name(spark):
     assert one(spark, lambda t: emoji_to_words(t, {}), "a😀") == "a😀"
 
 
+def test_joined_emoji_have_one_name(spark):
+    for sequence, name in JOINED_EMOJI.items():
+        assert one(spark, emoji_to_words, f"a{sequence}b") == f"a {name} b"
+    # an unknown part, a mark that the character does not take, a lone joiner, digits and letters
+    assert one(spark, emoji_to_words, "\U0001f525\u200d\u2b00x") == " fire \u200d\u2b00x"
+    assert one(spark, emoji_to_words, "😀\ufe0f 1 # \u200d") == " grinning_face \ufe0f 1 # \u200d"
+    assert one(spark, emoji_to_words, "\U0001f1e9x") == " regional_indicator_symbol_letter_d x"
+    assert one(spark, lambda t: emoji_to_words(t, {":-)": "smile", "😀": "grin", "=": "equal"}), "a:-)=😀") == "a smile  equal  grin "
+
+
 def test_emoticons_and_emoji_are_scored(spark):
     plain, more = one(spark, X.lexicon_compound, "so happy"), one(spark, X.lexicon_compound, "so happy :)")
     assert 0 < plain < more
