@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chatterlens.functions.text import let
 from chatterlens.operators.joins import sized_join
 from chatterlens.operators.sequence import first_rows, with_global_index
-from chatterlens.session import durable
+from chatterlens.session import durable, staging_path
 
 # The feature configurations (min_df, max_features, sublinear).
 FULL_VOCABULARY = {"min_df": 5, "max_features": 50_000, "sublinear": False}
 SAMPLE_VOCABULARY = {"min_df": 10, "max_features": 25_000, "sublinear": True}
 WORD = r"(?U)\b\w\w+\b"
+# Distinct terms of a run of counts, rows of it that are written at once, and places in its summary.
+RUN_TERMS, RUN_BATCH, SUMMARY_TERMS = 1 << 20, 1 << 16, 1 << 17
 
 
 def word_tokens(text: Column) -> Column:
@@ -79,30 +85,121 @@ def term_stats(documents: DataFrame, text: str = "cleaned_body") -> DataFrame:
     return counted.groupBy("_t.term").agg(F.sum("_t.tf").alias("cf"), F.count("*").alias("df"))
 
 
+_DIGIT = 12
+
+
+def kth_largest(rows: DataFrame, column: str, k: int) -> tuple[int, int] | None:
+    """The ``k``-th largest value of a column of counts, and how many of its ties are among the first ``k``.
+
+    None when there are fewer rows. Found digit by digit: each pass counts the rows per value of one digit, at most
+    4,096 groups, so nothing is sorted and no task sees more than counts.
+    """
+    largest = rows.agg(F.max(column)).first()[0]
+    if largest is None or k <= 0:
+        return None
+    shift, prefix, wanted = -(-int(largest).bit_length() // _DIGIT) * _DIGIT, 0, k
+    while shift > 0:
+        inside = rows.filter(F.shiftright(column, shift) == prefix) if shift < 60 else rows
+        shift -= _DIGIT
+        digit = F.shiftright(column, shift).bitwiseAND(F.lit((1 << _DIGIT) - 1))
+        counts = sorted(inside.groupBy(digit.alias("digit")).agg(F.count("*").alias("n")).collect(), reverse=True)
+        for found, n in counts:
+            if n >= wanted:
+                break
+            wanted -= n
+        else:
+            return None
+        prefix = prefix << _DIGIT | int(found)
+    return prefix, wanted
+
+
 def top_terms(stats: DataFrame, k: int) -> DataFrame:
     """The ``k`` terms with the largest corpus count, ties by term.
 
-    The smallest count that can still get in is found on the histogram of counts;
-    all terms above it are in, and only those that tie on it are ranked.
+    The smallest count that can still get in is found digit by digit; all terms above it are in, and only those that
+    tie on it are ranked. ``stats`` is read several times, so it should be a stored table.
     """
-    histogram = stats.groupBy("cf").agg(F.count("*").alias("n"))
-    from_above = W.orderBy(F.col("cf").desc()).rowsBetween(W.unboundedPreceding, 0)
-    reach = histogram.withColumn("_cum", F.sum("n").over(from_above))
-    edge = reach.filter(F.col("_cum") >= k).agg(F.max("cf").alias("cf")).first().cf
+    edge = kth_largest(stats, "cf", k)
     if edge is None:
-        return stats
-    above = stats.filter(F.col("cf") > edge)
-    room = k - above.count()
-    return above.unionByName(stats.filter(F.col("cf") == edge).orderBy("term").limit(room))
+        return stats if k > 0 else stats.limit(0)
+    value, room = edge
+    return stats.filter(F.col("cf") > value).unionByName(stats.filter(F.col("cf") == value).orderBy("term").limit(room))
+
+
+_RUN_SCHEMA = "run long, place long, term string, cf long, df long"
+
+
+def _term_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task's own documents, in runs of bounded size, the most frequent terms of a run first."""
+    run = TaskContext.get().partitionId() << 32
+
+    def merged(tables: list[pa.Table]) -> pa.Table:
+        summed = pa.concat_tables(tables).group_by("term").aggregate([("cf", "sum"), ("df", "sum")])
+        return summed.select(["term", "cf_sum", "df_sum"]).rename_columns(["term", "cf", "df"])
+
+    def out(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        table = table.sort_by([("cf", "descending"), ("term", "ascending")])
+        numbers = pa.array(np.arange(len(table)))
+        whole = table.add_column(0, "place", numbers).add_column(0, "run", pa.array(np.full(len(table), run)))
+        yield from whole.to_batches(max_chunksize=RUN_BATCH)
+
+    held, size = [], 0
+    for batch in batches:
+        entries = batch.column(0).flatten()
+        terms_, counts = entries.field(0), entries.field(1)
+        held.append(pa.table({"term": terms_, "cf": counts, "df": pa.array(np.ones(len(entries), np.int64))}))
+        size += len(entries)
+        if size > 2 * RUN_TERMS:
+            held = [merged(held)]
+            size = len(held[0])
+            if size > RUN_TERMS:
+                yield from out(held[0])
+                held, size, run = [], 0, run + 1
+    if size:
+        yield from out(merged(held))
+
+
+def term_runs(documents: DataFrame, text: str = "cleaned_body") -> DataFrame:
+    """``run, place, term, cf, df``: counts combined where the texts lie; nothing is shuffled. Stored: the one pass over the texts."""
+    path = staging_path(documents.sparkSession, "term-runs")
+    counted = documents.select(term_counts(terms(F.col(text))).alias("_t"))
+    counted.mapInArrow(_term_runs, _RUN_SCHEMA).write.parquet(path)
+    return documents.sparkSession.read.schema(_RUN_SCHEMA).parquet(path)
+
+
+def heavy_terms(runs: DataFrame, k: int, min_df: int = 1, summary: int | None = None) -> DataFrame:
+    """Exact ``term, cf, df`` of a set of terms that holds the ``k`` most frequent ones found in ``min_df`` documents.
+
+    The first ``summary`` places of a run are its summary; what it leaves out has at most the count of the next place.
+    Summed over the runs, that is the error of the summaries. The k-th largest sum of summaries is a floor of the k-th
+    count: terms whose sum, with the error, stays below it are out, and only the rest is counted exactly. When the error reaches
+    the floor, or there are too few terms, all terms are counted.
+    """
+    summary = summary or max(SUMMARY_TERMS, 2 * k)
+    exact = [F.sum("cf").alias("cf"), F.sum("df").alias("df")]
+    error = runs.filter(F.col("place") == summary).agg(F.coalesce(F.sum("cf"), F.lit(0))).first()[0]
+    if not error:  # the summaries hold everything
+        return runs.groupBy("term").agg(*exact).filter(F.col("df") >= min_df)
+    low = durable(runs.filter(F.col("place") < summary).groupBy("term").agg(*exact))
+    floor = kth_largest(low.filter(F.col("df") >= min_df), "cf", k)
+    if floor is None or error >= floor[0]:
+        return runs.groupBy("term").agg(*exact).filter(F.col("df") >= min_df)
+    candidates = durable(low.filter(F.col("cf") + error >= floor[0]).select("term"))
+    counted = sized_join(runs, candidates, ["term"], "left_semi").groupBy("term").agg(*exact)
+    return counted.filter(F.col("df") >= min_df)
+
+
+def most_frequent_terms(documents: DataFrame, k: int, min_df: int = 1, text: str = "cleaned_body") -> DataFrame:
+    """``term, cf, df`` of the ``k`` most frequent terms in at least ``min_df`` documents, ties by term."""
+    return top_terms(durable(heavy_terms(term_runs(documents, text), k, min_df)), k)
 
 
 def fit_vocabulary(
     documents: DataFrame, min_df: int, max_features: int, text: str = "cleaned_body"
 ) -> DataFrame:
     """``term, idx, cf, df``: terms in enough documents, the most frequent, numbered by name."""
-    frequent = durable(term_stats(documents, text).filter(F.col("df") >= min_df))
-    chosen = top_terms(frequent, max_features)
-    by_name = F.row_number().over(W.orderBy("term")) - 1
+    chosen = most_frequent_terms(documents, max_features, min_df, text)
+    by_name = F.row_number().over(W.orderBy("term")) - 1  # at most max_features rows
     return chosen.select("term", by_name.alias("idx"), "cf", "df")
 
 
@@ -118,17 +215,6 @@ def fit_on_first_n(
     return fit_vocabulary(first_rows(documents, n, order), min_df, max_features, text)
 
 
-_VECTOR = T.StructType([T.StructField("v", VectorUDT())])
-
-
-def as_vector(size: Column, indices: Column, values: Column) -> Column:
-    """A sparse vector from its parts; JSON is the one built-in route to the vector type."""
-    parts = F.struct(
-        F.lit(0).cast("byte").alias("type"), size.alias("size"), indices.alias("indices"), values.alias("values")
-    )
-    return F.from_json(F.to_json(F.struct(parts.alias("v"))), _VECTOR)["v"]
-
-
 def vector_entries(vector: Column) -> Column:
     """The stored entries of a sparse or dense vector as (idx, weight)."""
     inner = F.unwrap_udt(vector)
@@ -139,6 +225,14 @@ def vector_entries(vector: Column) -> Column:
     return F.filter(F.when(inner["type"] == 0, sparse).otherwise(dense), lambda e: e["weight"] != 0)
 
 
+@F.pandas_udf(VectorUDT())
+def damped(vectors: pd.DataFrame) -> pd.DataFrame:
+    """One plus the logarithm of every stored count; batches of vectors travel as Arrow columns."""
+    sizes = [len(v) for v in vectors["values"]]
+    flat = np.log(np.concatenate([*vectors["values"], np.zeros(0)])) + 1.0
+    return vectors.assign(values=np.split(flat, np.cumsum(sizes)[:-1]) if sizes else [])
+
+
 @dataclass
 class Vectorizer:
     """A fitted vocabulary with its weights; its size is bounded by ``max_features``."""
@@ -164,9 +258,7 @@ class Vectorizer:
         scaler = Normalizer(p=2.0, inputCol="_weighted", outputCol=output)
         counted = counter.transform(documents.withColumn("_terms", terms(F.col(text))))
         if self.sublinear:
-            inner = F.unwrap_udt(F.col("_counts"))
-            damped = F.transform(inner["values"], lambda tf: F.log(tf) + F.lit(1.0))
-            counted = counted.withColumn("_counts", as_vector(inner["size"], inner["indices"], damped))
+            counted = counted.withColumn("_counts", damped(F.col("_counts")))
         return scaler.transform(weigher.transform(counted)).drop("_terms", "_counts", "_weighted")
 
     def save(self, spark: SparkSession, path: str) -> None:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, NaiveBayes, NaiveBayesModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from chatterlens import schemas as S
 from chatterlens.functions.labels import decode_label, encode_label
 from chatterlens.operators.features import Vectorizer, vector_entries
+from chatterlens.session import durable
 
 N_CLASSES = len(S.LABELS)
 
@@ -72,6 +74,45 @@ def train_logreg(
     ).fit(rows)
 
 
+def logreg_certificate(
+    rows: DataFrame, model: LogisticRegressionModel, features: str = "features", label: str = "label_class"
+) -> DataFrame:
+    """One row: how far the fitted weights are from the optimum of the penalised loss (C = 1).
+
+    The objective is the summed log loss plus half the squared weights; at its minimum the gradient is zero. Residuals
+    times features are summed per class and feature in one aggregation over all rows, the penalty's part is added from the weights.
+    ``gradient_norm`` is per row, ``gap_bound`` bounds loss above the minimum per row: the objective is strongly convex
+    in the weights with modulus 1, so it lies at most half the squared gradient above it (intercepts, unpenalised, have their own norm).
+    """
+    n = rows.count()
+    weights, intercepts = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    classes = range(len(intercepts))
+    probability = F.unwrap_udt(F.col("probability"))["values"]
+    scored = model.transform(rows.select(features, label))
+    residuals = F.array(*[F.get(probability, F.lit(c)) - (F.col(label) == c).cast("double") for c in classes])
+    one = F.array(F.struct(F.lit(-1).alias("idx"), F.lit(1.0).alias("weight")))
+    entries = F.concat(vector_entries(F.col(features)), one)
+    spread = scored.select(residuals.alias("_residuals"), entries.alias("_entries"))
+    spread = spread.select(F.posexplode("_residuals").alias("c", "residual"), "_entries")
+    spread = spread.select("c", "residual", F.explode("_entries").alias("_e"))
+    summed = spread.groupBy("c", "_e.idx").agg(F.sum(F.col("residual") * F.col("_e.weight")).alias("g"))
+    # classes times features, a size set by the vocabulary
+    own = [(c, int(i), float(weights[c, i])) for c in classes for i in range(weights.shape[1])]
+    penalty = rows.sparkSession.createDataFrame(own, "c int, idx int, w double")
+    gradient = summed.join(penalty, ["c", "idx"], "full").select(
+        "idx", (F.coalesce("g", F.lit(0.0)) + F.coalesce("w", F.lit(0.0))).alias("g")
+    )
+
+    def norm(which: Column) -> Column:
+        return F.sqrt(F.coalesce(F.sum(F.when(which, F.col("g") * F.col("g"))), F.lit(0.0)))
+
+    weight_norm, intercept_norm = norm(F.col("idx") >= 0), norm(F.col("idx") < 0)
+    return gradient.agg(
+        F.lit(n).cast("bigint").alias("n"), (weight_norm / max(n, 1)).alias("gradient_norm"),
+        (intercept_norm / max(n, 1)).alias("intercept_norm"), (weight_norm * weight_norm / 2 / max(n, 1)).alias("gap_bound"),
+    )
+
+
 def train_naive_bayes(
     rows: DataFrame, features: str = "features", label: str = "label_class"
 ) -> NaiveBayesModel:
@@ -101,12 +142,18 @@ def naive_bayes_log_probs(sums: DataFrame, n_features: int, smoothing: float = 1
 
 @dataclass
 class LinearModel:
-    """One-vs-all log-loss classifier that keeps learning chunk by chunk."""
+    """One-vs-all log-loss classifier that keeps learning chunk by chunk.
+
+    ``rate`` suits rows of unit length; after ``slowing`` steps it starts to fall with the root of their number.
+    """
 
     n_features: int
     alpha: float = 1e-4
     seen: int = 0
     weights: np.ndarray = field(default=None)  # classes x (features + intercept)
+    rate: float = 16.0
+    slowing: float = 200.0
+    batch_rows: int = 2
 
     def __post_init__(self):
         if self.weights is None:
@@ -143,48 +190,59 @@ def _entries(features: str) -> tuple[Column, Column]:
     return F.coalesce(inner["indices"], dense), inner["values"]
 
 
-GRADIENT_STEPS, GRADIENT_RATE = 20, 2.0
+FAN_IN = 32
+
 
+def local_pass(model: LinearModel, labels, indices, values) -> LinearModel:
+    """One warm-started pass of stochastic gradient steps over a batch of rows."""
+    weights, size = model.weights, model.batch_rows
+    for begin in range(0, len(labels), size):
+        few = slice(begin, begin + size)
+        n = len(labels[few])
+        rate = model.rate / np.sqrt(1.0 + (model.seen + begin) / size / model.slowing)
+        weights = weights - rate * (gradient_sums(weights, labels[few], indices[few], values[few]) / n + model.alpha * weights)
+    return replace(model, weights=weights, seen=model.seen + len(labels))
 
-def train_sgd_incremental(
-    chunk: DataFrame, model: LinearModel, features: str = "features", steps: int = GRADIENT_STEPS
-) -> LinearModel:
-    """``steps`` accelerated gradient steps over a chunk, starting from the model so far.
 
-    Each step is one pass: partitions sum their gradients, the sums are added by class and feature. Only weights
-    and sums, of a size set by the vocabulary, travel to and from the driver. The chunk is read once per
-    step, so it should be a stored one. ``GRADIENT_RATE`` suits rows of unit length.
+def train_sgd_incremental(chunk: DataFrame, model: LinearModel, features: str = "features") -> LinearModel:
+    """One pass over a chunk, starting from the model so far.
+
+    Every task takes stochastic steps over its own rows; the tasks' weights are averaged, each weighed by its rows. The averages
+    are formed in a tree: at most ``FAN_IN`` sets of weights meet in one task or on the driver, whose size is
+    set by the vocabulary.
     """
+    shared = chunk.sparkSession.sparkContext.broadcast(model)
     indices, values = _entries(features)
     rows = chunk.select("label_class", indices.alias("indices"), values.alias("values"))
-    weights, before, seen = model.weights, model.weights, 0
-    for step in range(steps):
-        ahead = weights + step / (step + 3) * (weights - before)
-        sums, seen = _summed(rows, ahead)
-        if not seen:
-            return model
-        before, weights = weights, ahead - GRADIENT_RATE * (sums / seen + model.alpha * ahead)
-    return LinearModel(model.n_features, model.alpha, model.seen + seen, weights)
-
 
-def _summed(rows: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, int]:
-    """The summed gradient over all rows, and their number."""
-    shared = rows.sparkSession.sparkContext.broadcast(weights)
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = shared.value
+        for batch in batches:
+            own = local_pass(own, *(batch[c].to_numpy() for c in ("label_class", "indices", "values")))
+        if n := own.seen - shared.value.seen:
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "n": [n], "weights": [(own.weights * n).tobytes()]})
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, n = np.zeros_like(shared.value), 0
+        total, n, part = 0.0, 0, 0
         for batch in batches:
-            if len(batch):
-                total += gradient_sums(shared.value, batch["label_class"], batch["indices"], batch["values"])
-                n += len(batch)
-        classes, places = np.nonzero(total)
-        yield pd.DataFrame({"c": np.append(classes, -1), "i": np.append(places, -1), "g": np.append(total[classes, places], n)})
-
-    table = rows.mapInPandas(add, "c int, i int, g double").groupBy("c", "i").agg(F.sum("g").alias("g")).toPandas()
+            for row in batch.itertuples():
+                total, n, part = total + np.frombuffer(row.weights), n + row.n, row.part // FAN_IN
+        if n:
+            yield pd.DataFrame({"part": [part], "n": [n], "weights": [total.tobytes()]})
+
+    schema = "part long, n long, weights binary"
+    sums = durable(rows.mapInPandas(learn, schema))
+    last = sums.agg(F.max("part")).first()[0]
+    while last is not None and last >= FAN_IN:
+        last //= FAN_IN
+        sums = durable(sums.repartition(last + 1, F.expr(f"part div {FAN_IN}L")).mapInPandas(add, schema))
+    total, n = np.zeros(model.weights.size), 0
+    for row in sums.orderBy("part").collect():  # at most FAN_IN
+        total, n = total + np.frombuffer(row.weights), n + row.n
     shared.unpersist()
-    out, own = np.zeros_like(weights), table[table.c >= 0]
-    out[own.c.to_numpy(), own.i.to_numpy()] = own.g.to_numpy()
-    return out, int(table[table.c < 0].g.sum())
+    if not n:
+        return model
+    return replace(model, seen=model.seen + n, weights=(total / n).reshape(model.weights.shape))
 
 
 def linear_predictions(rows: DataFrame, model: LinearModel, features: str = "features") -> DataFrame:

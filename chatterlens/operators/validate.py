@@ -21,19 +21,23 @@ _STRICT = {"allowSingleQuotes": "false"}
 
 
 def is_json(value: Column) -> Column:
-    """The whole line is one JSON value of any kind (NaN and infinities count as numbers).
+    """The whole line is one JSON value of any kind (NaN and infinities count as numbers; a repeated key is allowed).
 
-    The reader behind ``from_json`` goes on after some errors inside a value, the variant parser stops at the first,
-    but knows no NaN; a line has to satisfy both.
+    The reader behind ``from_json`` goes on after some errors inside a value; copying the value whole stops at the first, but
+    knows no NaN. A line has to satisfy both.
     """
     items = F.from_json(F.concat(F.lit("["), value, F.lit(f',"{_MARK}"]')), "array<string>", _STRICT)
     alone = (F.size(items) == 2) & (F.get(items, F.lit(1)) == _MARK)
-    return F.coalesce(alone & (F.try_parse_json(value).isNotNull() | value.rlike("NaN|Infinity")), F.lit(False))
+    return F.coalesce(alone & (F.get_json_object(value, "$").isNotNull() | value.rlike("^\\s*null\\s*$|NaN|Infinity")), F.lit(False))
 
 
 def object_keys(value: Column) -> Column:
     """The keys of a line that is one JSON object, else NULL."""
-    return F.when(is_json(value), F.map_keys(F.from_json(value, "map<string,string>", _STRICT)))
+    return F.when(is_json(value), _keys(value))
+
+
+def _keys(value: Column) -> Column:
+    return F.map_keys(F.from_json(value, "map<string,string>", _STRICT))
 
 
 def _holds(keys: Column, fields: list[str]) -> Column:
@@ -60,12 +64,12 @@ def parse_json_lines(
     """Add the schema's typed columns and ``is_json`` / ``has_fields`` beside the raw line.
 
     Values are read as text and cast one by one, so a bad number spoils its own
-    column only. Bad lines stay in the frame for the caller to count or divert.
+    column only; of a repeated key the last value counts. Bad lines stay in the frame for the caller to count or divert.
     """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     parsed = lines.withColumn("_is_json", is_json(F.col(value))).withColumns({
         "_record": F.when(F.col("_is_json"), F.from_json(F.col(value), as_text, _STRICT)),
-        "_keys": F.when(F.col("_is_json"), F.map_keys(F.from_json(F.col(value), "map<string,string>", _STRICT))),
+        "_keys": F.when(F.col("_is_json"), _keys(F.col(value))),
     })
     columns = []
     for field in schema.fields:

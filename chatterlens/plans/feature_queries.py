@@ -74,7 +74,7 @@ def _term_stats(spark, sf_dir):
 
 @query("top_terms", f"{_VOCABULARY} SELECT * FROM stats ORDER BY cf DESC, term LIMIT 25")
 def _top_terms(spark, sf_dir):
-    return E.top_terms(E.term_stats(_texts(spark, sf_dir)), 25)
+    return E.most_frequent_terms(_texts(spark, sf_dir), 25)
 
 
 @query("fit_vocabulary", f"{_VOCABULARY} SELECT * FROM vocabulary")
@@ -188,6 +188,24 @@ def _logreg(spark, sf_dir):
     return _report(model.transform(split.filter("is_test")))
 
 
+#: Bounds that the fitted weights must keep: gradient and intercept gradient per row.
+CERTIFIED_GRADIENT, CERTIFIED_INTERCEPT = 1e-3, 1e-3
+
+
+@query("logreg_certificate", f"""WITH {D.COMMENTS_CTE}, known AS (SELECT count(*) AS n FROM comments
+    WHERE label IN ('negative', 'neutral', 'positive')) SELECT n, true AS gradient_below, true AS intercept_below FROM known""")
+def _certificate(spark, sf_dir):
+    """The weights fitted on the known labels are at the optimum, to the bounds above."""
+    texts = D.cleaned(spark, sf_dir).select("id", "cleaned_body", "label")
+    texts = durable(texts)
+    rows = durable(M.with_class(E.Vectorizer.fit(texts, MIN_DF, MAX_FEATURES).transform(texts)))
+    certificate = M.logreg_certificate(rows, M.train_logreg(rows))
+    return certificate.select(
+        "n", (F.col("gradient_norm") <= CERTIFIED_GRADIENT).alias("gradient_below"),
+        (F.col("intercept_norm") <= CERTIFIED_INTERCEPT).alias("intercept_below"),
+    )
+
+
 @query("train_sgd_incremental")
 def _sgd(spark, sf_dir):
     """Report after learning from two halves of the data, one after the other."""

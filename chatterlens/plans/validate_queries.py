@@ -15,32 +15,59 @@ _FIELDS = ", ".join(S.REQUIRED_FIELDS)
 _STRIPPED = D.duck_strip("body")
 MIN_UTC, MAX_UTC = 1554077400, 1554100000
 
-# Raw lines with every kind of defect, worked in by document number.
-_LINE = """CASE {n} % 9
-    WHEN 0 THEN concat('broken ', {n})
+# Raw lines of whole comments, texts included, with every kind of defect worked in by document number.
+# The expressions run alike in both engines, so both read the same bytes.
+def _text_json(column: str) -> str:
+    """The column as a JSON string, or null."""
+    for code, mark in ((92, 92), (34, 34), (10, 110), (13, 114), (9, 116)):
+        column = f"replace({column}, chr({code}), concat(chr(92), chr({mark})))"
+    return f"coalesce(concat('\"', {column}, '\"'), 'null')"
+
+
+def _line_json(*left_out: str, first: str = "") -> str:
+    fields = {
+        "id": _text_json("id"), "author": _text_json("author"), "created_utc": "CAST(created_utc AS STRING)", "body": _text_json("body"),
+        "score": "CAST(score AS STRING)", "subreddit": _text_json("subreddit"),
+        "controversiality": "CAST(controversiality AS STRING)", "gilded": "'{\"n\": [3, null, \"x, y\"]}'",
+    }
+    parts = ", ', ', ".join(f"'\"{name}\": ', {value}" for name, value in fields.items() if name not in left_out)
+    return f"concat('{{{first}', {parts}, '}}')"
+
+
+_LINE = f"""CASE doc_id % 17
+    WHEN 0 THEN concat('broken ', id)
     WHEN 1 THEN '[1, 2]'
-    WHEN 2 THEN concat('{{"id":"', {n}, '","author":"a","created_utc":7,"score":1,"subreddit":"s","controversiality":0}}')
-    WHEN 3 THEN concat('{{"id":"', {n}, '","author":"a","created_utc":7,"body":null,"score":1,"subreddit":"s","controversiality":0,"more":[1]}}')
-    WHEN 4 THEN concat('{{"id":"', {n}, '","author":"a","created_utc":"soon","body":"long enough text","score":1,"subreddit":"s","controversiality":0}}')
-    ELSE concat('{{"id":"', {n}, '","author":"a","created_utc":', 1554076800 + {n} * 30, ',"body":"  ', source, ' text body ","score":', {n} % 7, ',"subreddit":"', source, '","controversiality":0,"gilded":3}}')
-    END"""
-_LINES_CTE = f"lines AS (SELECT doc_id, {_LINE.format(n='doc_id')} AS value FROM documents)"
+    WHEN 2 THEN {_line_json("body")}
+    WHEN 3 THEN {_line_json("body", first='"body": null, ')}
+    WHEN 4 THEN {_line_json("created_utc", first='"created_utc": "soon", ')}
+    WHEN 5 THEN concat({_line_json()}, ' trailing')
+    WHEN 6 THEN concat({_line_json()}, {_line_json("body")})
+    WHEN 7 THEN concat('{{''id'': ', id, '}}')
+    WHEN 8 THEN substring({_line_json()}, 1, 150)
+    WHEN 9 THEN {_line_json(first='"author": "an earlier one", "score": 1000, ')}
+    WHEN 10 THEN concat('  ', {_line_json()}, ' ')
+    ELSE {_line_json()} END"""
+_LINES_CTE = f"{D.COMMENTS_CTE}, lines AS (SELECT doc_id, {_LINE} AS value FROM (SELECT CAST(id AS BIGINT) AS doc_id, * FROM comments))"
 
 
 def raw_lines(spark, sf_dir):
-    documents = D.read_table(spark, sf_dir, "documents")
-    return documents.selectExpr("doc_id", f"{_LINE.format(n='CAST(doc_id AS BIGINT)')} AS value")
+    return D.comments(spark, sf_dir).selectExpr("CAST(id AS BIGINT) AS doc_id", "*").selectExpr("doc_id", f"{_LINE} AS value")
 
 
+# DuckDB reads the first value of a repeated key; the last one counts.
+_REPEATED = "doc_id % 17 = 9"
 _JSON = "CASE WHEN json_valid(value) THEN value END"
 _OBJECT = f"CASE WHEN json_type({_JSON}) = 'OBJECT' THEN {_JSON} END"
 _NAMES = ", ".join(f"'{f}'" for f in S.REQUIRED_FIELDS)
 _PARSED = f"""parsed AS (SELECT doc_id, value, json_valid(value) AS is_json,
     coalesce(list_has_all(json_keys({_OBJECT}), [{_NAMES}]), false) AS has_fields,
-    json_extract_string({_OBJECT}, '$.id') AS id, json_extract_string({_OBJECT}, '$.author') AS author,
+    json_extract_string({_OBJECT}, '$.id') AS id, 
+    CASE WHEN {_REPEATED} THEN (SELECT author FROM comments WHERE comments.id = CAST(doc_id AS STRING))
+      ELSE json_extract_string({_OBJECT}, '$.author') END AS author,
     TRY_CAST(json_extract_string({_OBJECT}, '$.created_utc') AS BIGINT) AS created_utc,
     json_extract_string({_OBJECT}, '$.body') AS body,
-    TRY_CAST(json_extract_string({_OBJECT}, '$.score') AS BIGINT) AS score,
+    CASE WHEN {_REPEATED} THEN (SELECT score FROM comments WHERE comments.id = CAST(doc_id AS STRING))
+      ELSE TRY_CAST(json_extract_string({_OBJECT}, '$.score') AS BIGINT) END AS score,
     json_extract_string({_OBJECT}, '$.subreddit') AS subreddit,
     TRY_CAST(json_extract_string({_OBJECT}, '$.controversiality') AS INTEGER) AS controversiality
     FROM lines)"""

@@ -1,6 +1,7 @@
 """Classifiers and features against independent computations."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,19 +49,47 @@ def test_long_form_bayes_equals_library(rows):
         assert abs(theta[r.label_class, r.idx] - r.log_prob) < 1e-9
 
 
-def test_gradient_steps_equal_dense_ones(rows):
-    """Three accelerated steps over three partitions, and the same on a dense matrix."""
+def test_one_pass_equals_dense_steps(rows, monkeypatch):
+    """Steps over each partition's rows in order, averaged by rows, on dense vectors; with and without a tree."""
     size = len(rows[0].vocabulary)
-    model = M.train_sgd_incremental(rows[1].repartition(3), M.LinearModel(size), steps=3)
-    data = rows[1].collect()
-    x = np.array([np.append(r.features.toArray(), 1.0) for r in data])
-    sign = np.array([[1.0 if r.label_class == c else -1.0 for r in data] for c in range(3)])
-    weights = before = np.zeros((3, size + 1))
-    for step in range(3):
-        ahead = weights + step / (step + 3) * (weights - before)
-        gradient = (-sign / (1 + np.exp(sign * (ahead @ x.T)))) @ x / len(x)
-        before, weights = weights, ahead - M.GRADIENT_RATE * (gradient + model.alpha * ahead)
-    assert model.seen == 240 and np.allclose(model.weights, weights)
+    laid_out = durable(rows[1].repartition(5, "id"))
+    start = M.LinearModel(size, seen=7, weights=np.full((3, size + 1), 0.01))
+    parts = {}
+    for r in laid_out.withColumn("_part", F.spark_partition_id()).collect():
+        parts.setdefault(r._part, []).append((np.append(r.features.toArray(), 1.0), r.label_class))
+    total = 0.0
+    for part in parts.values():
+        weights, seen = start.weights, start.seen
+        for begin in range(0, len(part), start.batch_rows):
+            few = part[begin: begin + start.batch_rows]
+            x = np.array([v for v, _ in few])
+            sign = np.array([[1.0 if label == c else -1.0 for _, label in few] for c in range(3)])
+            gradient = (-sign / (1 + np.exp(sign * (weights @ x.T)))) @ x / len(few)
+            rate = start.rate / np.sqrt(1 + (seen + begin) / start.batch_rows / start.slowing)
+            weights = weights - rate * (gradient + start.alpha * weights)
+        total = total + weights * len(part)
+    for fan_in in (32, 2):
+        monkeypatch.setattr(M, "FAN_IN", fan_in)
+        model = M.train_sgd_incremental(laid_out, start)
+        assert model.seen == 247 and np.allclose(model.weights, total / 240)
+
+
+def test_certificate_tells_an_optimum(rows):
+    """The norm agrees with numpy, is small for the fitted weights and large for weights stopped early."""
+    norms = []
+    for iterations in (300, 2):
+        model = M.train_logreg(rows[1], max_iter=iterations)
+        data = rows[1].collect()
+        x = np.array([r.features.toArray() for r in data])
+        margins = x @ model.coefficientMatrix.toArray().T + model.interceptVector.toArray()
+        p = np.exp(margins - margins.max(axis=1, keepdims=True))
+        residual = p / p.sum(axis=1, keepdims=True) - np.eye(3)[[int(r.label_class) for r in data]]
+        gradient = residual.T @ x + model.coefficientMatrix.toArray()
+        row = M.logreg_certificate(rows[1], model).first()
+        assert row.n == 240 and abs(row.gradient_norm - np.linalg.norm(gradient) / 240) < 1e-9
+        assert abs(row.intercept_norm - np.linalg.norm(residual.sum(axis=0)) / 240) < 1e-9
+        norms.append(row.gradient_norm)
+    assert norms[0] < 1e-3 < norms[1]
 
 
 def test_sgd_keeps_learning(rows):
@@ -93,6 +122,42 @@ def test_vocabulary_ties(spark):
     assert got == [("aa", 0), ("bb", 1), ("bb aa", 2)]
 
 
+@pytest.mark.parametrize("summary", [1, 8, 40, None])
+@pytest.mark.parametrize("k", [1, 10, 60, 100_000])
+def test_heavy_terms_are_exact(spark, monkeypatch, summary, k):
+    """Small runs and summaries, by candidates or by counting everything, give the plain answer."""
+    words = [f"w{int(i ** 0.5)}x" for i in range(60)]
+    texts = [(" ".join(words[(i * 7 + j * j) % (i % 50 + 10)] for j in range(12)),) for i in range(300)]
+    docs = spark.createDataFrame(texts, "cleaned_body string").repartition(6).persist()
+    runs = durable(E.term_runs(docs))
+    plain = E.term_stats(docs).filter("df >= 3").orderBy(F.desc("cf"), "term").limit(k).collect()
+    found = E.top_terms(durable(E.heavy_terms(runs, k, 3, summary)), k).collect()
+    assert sorted(map(tuple, found)) == sorted((r.term, r.cf, r.df) for r in plain)
+
+
+def test_runs_of_bounded_size(spark):
+    batch = pa.RecordBatch.from_pydict({"_t": [[{"term": f"t{i % 9}", "tf": 2}] for i in range(50)]})
+    old, E.RUN_TERMS = E.RUN_TERMS, 4
+    try:
+        E.TaskContext, context = type("C", (), {"get": staticmethod(lambda: type("P", (), {"partitionId": lambda self: 1})())}), E.TaskContext
+        rows = [r for out in E._term_runs(iter([batch.slice(0, 20), batch.slice(20)])) for r in out.to_pylist()]
+    finally:
+        E.RUN_TERMS, E.TaskContext = old, context
+    assert {r["run"] for r in rows} == {1 << 32, (1 << 32) + 1} and sum(r["cf"] for r in rows) == 100 and sum(r["df"] for r in rows) == 50
+    for run in {r["run"] for r in rows}:
+        own = [r for r in rows if r["run"] == run]
+        assert [r["place"] for r in own] == list(range(len(own))) and [-r["cf"] for r in own] == sorted(-r["cf"] for r in own)
+
+
+@pytest.mark.parametrize("values", [[], [5], [0, 0, 3], [7, 7, 7, 4096, 1 << 40, 2, 4095]])
+def test_kth_largest(spark, values):
+    frame = spark.createDataFrame([(v,) for v in values], "n bigint")
+    for k in range(1, len(values) + 2):
+        ordered = sorted(values, reverse=True)
+        wanted = (ordered[k - 1], k - sum(v > ordered[k - 1] for v in values)) if k <= len(values) else None
+        assert E.kth_largest(frame, "n", k) == wanted
+
+
 def test_term_counts(spark):
     row = spark.createDataFrame([("b a b",), ("",)], "t string")
     got = [r.c for r in row.select(E.term_counts(F.split("t", " ")).alias("c")).collect()]

@@ -12,6 +12,7 @@ LINES = [
     '{"a":1} trailing', '{"a":1}{"x":1}', "{'a':1}", '{"a":1,}', '{"a":1', '{"a":NaN}', '{"a":Infinity}', '{"a":-Infinity}',
     "[1,2]", "5", '"x"', "null", "true", "", "  ", '{"a":null}', '{"b":1}', "x", '{"a":{"b":[1,{"c":2}]},"t":"q"}', ' {"a":1} ',
     '{"a":1}],[{"a":2}', '{"a":01}', '{"a":"\t"}', '{"a":1},"b":{"a":1}', "{}", '{"a":1}}', "NaN", '{"a" 1}', "{a:1}", '{"a":+1}',
+    '{"a":1,"a":2}', '{"a":{"x":1,"x":[2,]}}', '{"b":1,"b":2}', '{"a":{"x":1,"x":2},"a":null}', '{"a":1,"a":}', '{"a":1,\'a\':2}',
     '{"a":"x\\y"}', '{"a":1]', '{"a":[1,],"b":2}', '{"a":{"x":1,}}', '[{"a":1}]', '{"a":1 "b":2}', "]", "[", '{"a":"NaN",}',
 ]
 
@@ -27,6 +28,14 @@ def test_lines_as_python_reads_them(spark):
         assert (row.valid, row.has) == (valid, isinstance(found, dict) and "a" in found), row.value
 
 
+def test_last_value_of_a_repeated_key_counts(spark):
+    lines = ['{"id":"1","id":"2","score":1,"score":7}', '{"id":"1","score":3,"id":null}', '{"id":"1","score":[1],"score":"4"}']
+    frame = spark.createDataFrame([(line,) for line in lines], "value string")
+    for row in V.parse_json_lines(frame).select("value", "is_json", "id", "score").collect():
+        wanted = json.loads(row.value)
+        assert row.is_json and row.id == wanted["id"] and row.score == int(wanted["score"])
+
+
 def test_no_slang_entry_is_missing():
     assert len(SLANG) == 227 and {"ily", "imu", "glhf", "lmfao", "iow", "aamof", "oic", "sk8", "wassup", "IG"} <= set(SLANG)
 
