@@ -15,13 +15,10 @@ from chatterlens.operators.sequence import first_rows
 from chatterlens.session import durable
 
 
-def ingest_metrics(parsed: DataFrame, order: str, **bounds) -> DataFrame:
-    """One row of run counts over parsed raw lines, up to and with the line that stops the run."""
-    tagged = V.validate_comment(parsed, from_json_lines=True, **bounds)
-    stop_at = tagged.filter("should_stop").agg(F.min(order)).scalar()
-    seen = tagged.filter(stop_at.isNull() | (F.col(order) <= stop_at))
+def ingest_counts() -> list[Column]:
+    """Run counts over lines tagged by ``validate_comment``; also for ``observe`` on a stream."""
     reason = F.col("reject_reason")
-    counted = seen.agg(
+    return [
         F.count_if("is_json").alias("total_processed"),
         F.count_if(reason == V.INVALID_JSON).alias("invalid_json"),
         F.count_if(~reason.isin(V.INVALID_JSON, V.AFTER_MAX)).alias("filtered_out"),
@@ -29,7 +26,15 @@ def ingest_metrics(parsed: DataFrame, order: str, **bounds) -> DataFrame:
         F.coalesce(F.max(F.when(F.col("should_stop"), F.col("created_utc"))), F.lit(0)).alias(
             "timestamp_stopped"
         ),
-    )
+    ]
+
+
+def ingest_metrics(parsed: DataFrame, order: str, **bounds) -> DataFrame:
+    """One row of run counts over parsed raw lines, up to and with the line that stops the run."""
+    tagged = V.validate_comment(parsed, from_json_lines=True, **bounds)
+    stop_at = tagged.filter("should_stop").agg(F.min(order)).scalar()
+    seen = tagged.filter(stop_at.isNull() | (F.col(order) <= stop_at))
+    counted = seen.agg(*ingest_counts())
     rate = F.try_divide(F.col("messages_sent") * 100.0, F.col("total_processed"))
     return counted.withColumn("success_rate", F.coalesce(rate, F.lit(0.0)))
 

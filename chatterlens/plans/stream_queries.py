@@ -23,9 +23,9 @@ from chatterlens.session import durable, staging_path
 from chatterlens.sources import files
 from chatterlens.sources.models import ModelStore, ReloadingModel
 from chatterlens.sources.results import ResultTable
-from chatterlens.sources.streams import Topic
+from chatterlens.sources.streams import Topic, console_sink, source
 from chatterlens.streaming import jobs
-from chatterlens.streaming.windows import KeywordWindows, keyword_stream, request_stream
+from chatterlens.streaming.windows import KeywordWindows, fused_stream, keyword_stream, request_stream
 
 _WITH = f"WITH {D.COMMENTS_CTE}"
 
@@ -61,6 +61,17 @@ def _labelled_csv(spark, sf_dir):
     return files.read_csv(spark, path)
 
 
+@query("console_sink", f"""{_WITH}, asked AS (SELECT id, created_utc FROM comments WHERE controversiality = 1)
+    SELECT count(*) AS printed FROM asked""")
+def _console_sink(spark, sf_dir):
+    """A stream of records printed to the console; the progress tells how many rows went out."""
+    said = _folder(spark, "said")
+    R.json_values(D.comments(spark, sf_dir).filter("controversiality = 1").select("id", "created_utc")).write.text(said)
+    started = console_sink(source(spark, Topic(said)), _folder(spark, "check"), available_now=True)
+    _finish(started)
+    return spark.createDataFrame([(sum(p["numInputRows"] for p in started.recentProgress),)], "printed bigint")
+
+
 @query("write_text_lines", f"WITH {D.CLEANED_CTE} SELECT cleaned_body FROM cleaned")
 def _text_lines(spark, sf_dir):
     path = _folder(spark, "lines")
@@ -244,6 +255,38 @@ def _chain(spark, sf_dir):
     return KQ._rounded(job.responses.read().drop("batch_id"))
 
 
+@query("one_stream_fused", _ASKED_FIRST.replace(f"WITH {D.CLEANED_CTE},", _JUDGED, 1).replace("FROM cleaned WHERE", "FROM judged WHERE"))
+def _fused(spark, sf_dir):
+    """The same dump to the same responses in one streaming query, several micro-batches."""
+    raw, asked, state = (_folder(spark, n) for n in ("raw", "requests", "state"))
+    said = D.comments(spark, sf_dir).withColumn("id", F.lpad("id", 12, "0"))
+    broken = spark.createDataFrame([("oops",), ('{"id": "1"',), ('{"id": "2"}',), ("[1]",)], "value string")
+    R.json_values(V.keep_fields(said)).unionByName(broken).write.text(raw)
+    _request_values(spark, sf_dir).write.text(asked)
+    _, vectorizer, classifier = FQ.bayes_model(spark, sf_dir)
+    store = ModelStore(spark, f"{state}/models")
+    store.publish(vectorizer, classifier)
+    job = KeywordWindows(spark, state, KQ.N)
+    _finish(request_stream(spark, Topic(asked), job, f"{state}/check_requests", available_now=True))
+    _finish(fused_stream(spark, Topic(raw), job, store, f"{state}/check", available_now=True))
+    return KQ._rounded(job.responses.read().drop("batch_id"))
+
+
+@query("ingest_metrics_stream", VQ.INGEST_SQL)
+def _ingest_stream(spark, sf_dir):
+    """Run counts observed on a stream of raw lines, three files a micro-batch, added up."""
+    dump, raw, check = (_folder(spark, n) for n in ("dump", "raw", "check"))
+    VQ.raw_lines(spark, sf_dir).select("value").write.text(dump)
+    started = jobs.ingest_stream(spark, Topic(dump), Topic(raw), check, available_now=True, per_trigger=3)
+    _finish(started)
+    counts = spark.createDataFrame(jobs.ingest_progress(started), (
+        "batch_id bigint, total_processed bigint, invalid_json bigint, filtered_out bigint, messages_sent bigint, timestamp_stopped bigint"
+    ))
+    summed = counts.agg(*[F.sum(c).alias(c) for c in ("total_processed", "invalid_json", "filtered_out", "messages_sent")])
+    written = files.read_jsonl(spark, raw).agg(F.count("*").alias("written"))
+    return summed.join(F.broadcast(written))  # one row each
+
+
 @query("request_state", f"""WITH {D.COMMENTS_CTE}, asked AS (SELECT author AS user_id, subreddit AS keyword1, label AS keyword2,
       CAST(id AS BIGINT) AS n, created_utc > (SELECT (min(created_utc) + max(created_utc)) // 2 FROM comments) AS late FROM comments)
     SELECT user_id, max_by(keyword1, n) AS keyword1, max_by(keyword2, n) AS keyword2 FROM asked GROUP BY user_id""")

@@ -132,6 +132,14 @@ def _display_time(spark, sf_dir):
 
 
 
+@query("request_time_string", f"{_WITH} SELECT author AS user_id, true AS well_formed, true AS is_now FROM comments")
+def _request_time(spark, sf_dir):
+    """Every author stamped with the time of the query: the format, and that it is this minute's."""
+    stamped = D.comments(spark, sf_dir).select(F.col("author").alias("user_id"), L.request_time_string().alias("time"))
+    age = F.unix_timestamp() - F.unix_timestamp(F.to_timestamp("time", "yyyy-MM-dd'T'HH:mm:ssX"))
+    return stamped.select("user_id", F.rlike("time", F.lit(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ$")).alias("well_formed"), F.abs(age).between(0, 60).alias("is_now"))
+
+
 @query("to_numeric_coerce", f"""{_WITH} SELECT id, round(TRY_CAST(loose AS DOUBLE), 6) AS number
     FROM (SELECT id, CASE WHEN score % 3 = 0 THEN 'n/a' ELSE CAST(score AS VARCHAR) END AS loose FROM comments)""")
 def _to_numeric(spark, sf_dir):

@@ -253,6 +253,13 @@ def _metrics(spark, sf_dir):
     return metrics.withColumn("success_rate", F.round("success_rate", 6))
 
 
+_STREAM_RULES = _RULES.replace(f"WHEN created_utc > {MAX_UTC} THEN 'after_max'", "").replace("created_utc < 0", f"created_utc < {S.STREAM_MIN_UTC}")
+INGEST_SQL = f"""WITH {_LINES_CTE}, {_PARSED}, checked AS (SELECT *, {_STREAM_RULES} AS reason FROM parsed)
+    SELECT count(*) FILTER (WHERE is_json) AS total_processed, count(*) FILTER (WHERE reason = 'invalid_json') AS invalid_json,
+      count(*) FILTER (WHERE reason <> 'invalid_json') AS filtered_out, count(*) FILTER (WHERE reason IS NULL) AS messages_sent,
+      count(*) FILTER (WHERE reason IS NULL) AS written FROM checked"""
+
+
 @query("kept_vs_total", f"""WITH {_LINES_CTE}, {_PARSED} SELECT count(*) FILTER (WHERE is_json) AS total,
     count(*) FILTER (WHERE has_fields AND created_utc BETWEEN {MIN_UTC} AND {MAX_UTC}
       AND lower({_STRIPPED}) NOT IN ('[deleted]', '[removed]') AND length({_STRIPPED}) >= 5) AS kept FROM parsed""")

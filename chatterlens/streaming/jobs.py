@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from chatterlens import schemas as S
 from chatterlens.functions.wordlists import EMOJI, SLANG
+from chatterlens.operators import analytics as A
 from chatterlens.operators import keywords as K
 from chatterlens.operators import records as R
 from chatterlens.operators import sessions as U
@@ -48,6 +49,38 @@ def clean_stream(
     return sink(clean_values(source(spark, raw, per_trigger)), cleaned, checkpoint, available_now=available_now)
 
 
+INGEST = "ingest"
+
+
+def ingest_values(lines: DataFrame, **bounds) -> DataFrame:
+    """Raw lines to valid comments as JSON values; the run counts are observed on the way, in the same pass."""
+    tagged = V.validate_comment(parsed(lines, S.RAW_COMMENT), from_json_lines=True, **bounds)
+    counted = tagged.observe(INGEST, *A.ingest_counts())
+    return R.json_values(V.keep_fields(counted.filter("is_valid")))
+
+
+def ingest_stream(
+    spark: SparkSession, dump: Topic, raw: Topic, checkpoint: str, available_now: bool = False,
+    per_trigger: int | None = None, **bounds,
+) -> StreamingQuery:
+    """Lines of a dump to raw comments; ``ingest_progress`` tells the counts of each micro-batch."""
+    return sink(ingest_values(source(spark, dump, per_trigger), **bounds), raw, checkpoint, available_now=available_now)
+
+
+def ingest_progress(query: StreamingQuery) -> list[dict]:
+    """Run counts of the micro-batches that the query remembers, with ``batch_id``.
+
+    Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates`` of them; poll more often than that.
+    """
+    found = {}
+    for progress in query.recentProgress:
+        counts = (progress.get("observedMetrics") or {}).get(INGEST)
+        if counts:
+            counts = counts.asDict() if hasattr(counts, "asDict") else counts
+            found[progress["batchId"]] = {"batch_id": progress["batchId"], **counts}
+    return [found[k] for k in sorted(found)]
+
+
 def label_values(lines: DataFrame, model) -> DataFrame:
     """Cleaned JSON values to labelled JSON values with one model, one for one.
 

@@ -15,11 +15,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from chatterlens import schemas as S
 from chatterlens.functions.labels import epoch_to_iso
+from chatterlens.functions.text import clean_text
 from chatterlens.operators import keywords as K
+from chatterlens.operators import training as M
 from chatterlens.operators import validate as V
 from chatterlens.operators.records import json_values
 from chatterlens.operators.sequence import COMMENT_ORDER, index_and_count, whole_part
 from chatterlens.session import durable
+from chatterlens.sources.models import ModelStore, ReloadingModel
 from chatterlens.sources.results import BatchTable
 from chatterlens.sources.streams import Topic, source, write_values
 from chatterlens.streaming.jobs import _each_batch
@@ -27,6 +30,11 @@ from chatterlens.streaming.jobs import _each_batch
 COUNTS = "positive bigint, neutral bigint, total bigint"
 
 
+def named_rows(batch: DataFrame) -> DataFrame:
+    """Add ``_at``: a row's place in its micro-batch, which stays the same however often the batch is read."""
+    return batch.withColumn("_at", F.monotonically_increasing_id())
+
+
 class KeywordWindows:
     """State and step of the keyword job; ``process`` takes labelled JSON values.
 
@@ -83,6 +91,12 @@ class KeywordWindows:
         return self.requests.read_batch(upto).select("user_id", "keyword1", "keyword2", at.alias("at"))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        """A micro-batch of labelled JSON values."""
+        comments = V.route_by_type(V.valid_labeled_comment(named_rows(batch)), "comment").drop("value")
+        self.process_comments(comments, batch_id)
+
+    def process_comments(self, comments: DataFrame, batch_id: int) -> None:
+        """A micro-batch of labelled comments, typed, with the row names of ``named_rows``."""
         before = self.progress.read_batch(batch_id - 1).first()
         if before is None and batch_id > 0:
             raise RuntimeError(f"the progress of batch {batch_id - 1} is gone; counting from 0 again would be wrong")
@@ -93,10 +107,7 @@ class KeywordWindows:
         seen_at = [at for _, at in marks[1:]] + [total]
         active = self._active(upto, [(m[0], at) for m, at in zip(marks, seen_at)])
 
-        # a row's place in the batch stays the same however often the batch is read, and names the row
-        named = batch.withColumn("_at", F.monotonically_increasing_id())
-        comments = V.route_by_type(V.valid_labeled_comment(named), "comment").drop("value")
-        by_offset = ["timestamp", "partition", "offset"] if "offset" in batch.columns else COMMENT_ORDER
+        by_offset = ["timestamp", "partition", "offset"] if "offset" in comments.columns else COMMENT_ORDER
         keys = comments.select(*dict.fromkeys(["_at", "created_utc", *by_offset]))
         numbered, arrived = index_and_count(keys, [*by_offset, "_at"], "_local")
         placed = numbered.withColumn("seq", F.col("_local") + F.lit(total))
@@ -174,3 +185,26 @@ def keyword_stream(
         write_values(json_values(job.responses.read_batch(batch_id).drop("window_no")), responses, batch_id)
 
     return _each_batch(source(spark, labeled, per_trigger), step, checkpoint, available_now)
+
+
+def fused_stream(
+    spark: SparkSession, raw: Topic, job: KeywordWindows, store: ModelStore, checkpoint: str,
+    responses: Topic | None = None, available_now: bool = False, reload_seconds: float = S.RELOAD_SECONDS,
+    per_trigger: int | None = None, **bounds,
+) -> StreamingQuery:
+    """Raw lines to responses in one query: one plan, one checkpoint and one commit per micro-batch, no hops.
+
+    Validation, cleaning and labelling are columns of the batch that the windows count; the model is picked up per batch.
+    """
+    model = ReloadingModel(store, reload_seconds)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        current = model.get()
+        lines = V.parse_json_lines(named_rows(batch), S.RAW_COMMENT).filter("is_json AND has_fields")
+        valid = V.valid_comments(lines, **bounds).drop("value", "is_json", "has_fields")
+        cleaned = valid.withColumn("cleaned_body", clean_text(F.col("body"))).drop("body")
+        job.process_comments(M.predict_label(cleaned, current.vectorizer, current.classifier), batch_id)
+        if responses is not None:
+            write_values(json_values(job.responses.read_batch(batch_id).drop("window_no")), responses, batch_id)
+
+    return _each_batch(source(spark, raw, per_trigger), step, checkpoint, available_now)

@@ -8,11 +8,14 @@ from datetime import datetime, timezone
 import pytest
 from conftest import SF_DIR
 
+from chatterlens.operators import analytics as A
 from chatterlens.operators import keywords as K
 from chatterlens.operators import sequence as Q
+from chatterlens.operators import validate as V
 from chatterlens.plans import keyword_queries as KQ
 from chatterlens.plans import tables as D
 from chatterlens.sources.streams import Topic
+from chatterlens.streaming import jobs
 from chatterlens.streaming.windows import KeywordWindows, keyword_stream, request_stream
 
 WORDS = ["red", "blue", "green", "sky"]
@@ -134,6 +137,33 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert once == replay(comments, [("u", "red", "sky", 0)], True)
 
 
+def test_repeated_comments_count_once_each(spark, folder):
+    """Two deliveries of one comment are two comments, as the state machine counts them."""
+    comments, _ = conversation(3)
+    doubled = sorted([*comments, *comments[:5]], key=lambda c: (c["created_utc"], c["id"]))
+    job = KeywordWindows(spark, folder("state"), N)
+    ask = [json.dumps({"user_id": "u", "keyword1": "red", "keyword2": "sky", "request_time": iso(0)})]
+    job.add_requests(spark.createDataFrame([(a,) for a in ask], "value string"), 0)
+    job.process(spark.createDataFrame([(json.dumps(c),) for c in doubled], "value string").repartition(3), 0)
+    assert as_rows(job.responses.read()) == replay(doubled, [("u", "red", "sky", 0)], True)
+
+
+def test_observed_counts_equal_the_batch_query(spark, folder):
+    """Counts of each micro-batch, observed in the pass that writes it, against the batch query on its lines."""
+    lines = [f'{{"id":"{i}","author":"a","created_utc":{i},"body":"{"long enough text" if i % 3 else "x"}","score":1,"subreddit":"s","controversiality":0}}' for i in range(40)]
+    lines[5], lines[17], lines[33] = "broken", '{"id":"1"}', "[1]"
+    for n in range(4):
+        spark.createDataFrame([(v,) for v in lines[n * 10: n * 10 + 10]], "value string").coalesce(1).write.mode("append").text(folder("dump"))
+        query = jobs.ingest_stream(spark, Topic(folder("dump")), Topic(folder("raw")), folder("check"), available_now=True)
+        query.awaitTermination()
+        found = jobs.ingest_progress(query)
+        part = spark.createDataFrame([(i, v) for i, v in enumerate(lines[n * 10: n * 10 + 10])], "n int, value string")
+        wanted = A.ingest_metrics(V.parse_json_lines(part), "n").first().asDict()
+        assert len(found) == 1 and found[0]["batch_id"] == n
+        assert {k: found[0][k] for k in found[0] if k != "batch_id"} == {k: wanted[k] for k in wanted if k != "success_rate"}
+    assert spark.read.text(folder("raw")).count() == sum(1 for i, v in enumerate(lines) if i % 3 and i not in (5, 17, 33))
+
+
 def test_matching_plan_has_no_nested_loop(spark):
     comments, requests = conversation(2)
     asked = spark.createDataFrame(requests, "user_id string, keyword1 string, keyword2 string, req_seq bigint")
