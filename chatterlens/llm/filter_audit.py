@@ -11,7 +11,8 @@ Repeats are found without moving texts: the smallest id of each text digest is a
 it by digest and id together, so thousands of copies of one text are never gathered in a task. One part's diagram has
 at most 32 masks, whatever the part's size.
 
-Defined results: a null text is empty; a null part is the part ``''``; a null id is never a repeat and makes none; rows that repeat
+Defined results: a null text is empty; a null part is the part ``''``; a null id is never a repeat, makes none and has
+no labels; rows that repeat
 an id and its text are not repeats of each other; of several label rows of one id any positive one counts; an empty
 table gives no rows. Other columns are ignored.
 """
