@@ -116,9 +116,7 @@ def turns_of_rows(table: DataFrame) -> DataFrame:
         raise ValueError(f"no mapping for the layout {found}: {sorted(schema_paths(table.schema))}")
     names = BY_ROWS[found]
     conversation, turn, role, text = (F.col(f"`{name}`") for name in names)
-    role = F.coalesce(role.cast("string"), F.lit(""))
-    for other, canonical in ROLES.items():
-        role = F.when(role == other, canonical).otherwise(role)
+    role = F.coalesce(role.cast("string"), F.lit(""))  # as given, so that it can be read back
     return table.select(
         conversation.cast("long").alias("conv_id"), turn.cast("long").alias("turn"), role.alias("role"),
         F.coalesce(text.cast("string"), F.lit("")).alias("text"),
@@ -189,7 +187,7 @@ def format_turns(turns: DataFrame) -> DataFrame:
     """``(conv_id, turn, role, text, segment, loss_start, loss_end)``; the mask in code points of the segment, null outside."""
     head = F.concat(F.lit(TURN), F.replace(escaped(F.col("role")), F.lit("\n"), F.lit(NEWLINE)), F.lit("\n"))
     body = escaped(F.col("text"))
-    spoken = F.col("role") == "assistant"
+    spoken = F.col("role").isin("assistant", *[other for other, role in ROLES.items() if role == "assistant"])
     return turns.select(
         "conv_id", "turn", "role", "text", F.concat(head, body, F.lit(END)).alias("segment"),
         F.when(spoken, F.length(head).cast("long")).alias("loss_start"),

@@ -5,7 +5,7 @@ words inside 8-word windows that occur again. Failures are then counted per host
 rate is shrunk by a beta prior fitted to all hosts by moments, and every document of a host whose
 shrunken rate exceeds ``HOST_RATE`` is rejected as well.
 
-Defined results: a null or empty text has no words and fails; a null host counts as one host of its own;
+Defined results: a null or empty text has no words and fails; a null host is one host of its own, apart from the empty one;
 repeated rows each count. Only ``source`` and ``text`` are read, other columns pass through; the names this module
 adds replace columns of the same name.
 """
@@ -79,13 +79,18 @@ def measured(docs: DataFrame) -> DataFrame:
     return found.withColumn("base_failed", failed).drop("_measures")
 
 
+def host_key() -> Column:
+    """The host as a key that joins: a null host is one of its own, apart from the empty one."""
+    return F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-"))
+
+
 def host_rates(judged: DataFrame) -> DataFrame:
-    """``(host, n, failed, rate)`` per host: failures shrunk towards all hosts.
+    """``(host, n, failed, rate)`` per ``host_key``: failures shrunk towards all hosts.
 
     With m the overall failure rate and v the variance of the host rates around it (weighted by documents), the
     prior is Beta(m s, (1 - m) s) with s = m (1 - m) / v - 1, kept within ``PRIOR_WEIGHT``.
     """
-    hosts = judged.groupBy(F.coalesce("source", F.lit("")).alias("host")).agg(
+    hosts = judged.groupBy(host_key().alias("host")).agg(
         F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed")
     )
     whole = hosts.agg(
@@ -103,7 +108,7 @@ def host_rates(judged: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame) -> DataFrame:
     """``docs`` with the ``MEASURES``, ``base_failed``, ``host_rate`` and ``kept``."""
-    found = measured(docs).withColumn("_host", F.coalesce("source", F.lit("")))
+    found = measured(docs).withColumn("_host", host_key())
     # counted from the two columns that matter, so no text is shuffled for it
     rates = host_rates(measured(docs.select("source", "text")).select("source", "base_failed"))
     bad = rates.where(F.col("rate") > HOST_RATE).select(F.col("host").alias("_host"), F.col("rate").alias("host_rate"))

@@ -56,7 +56,7 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUALITY_SQL = r"""
-WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents),
+WITH d AS (SELECT doc_id, coalesce('=' || source, '-') AS host, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, host, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
              list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
 win AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS x
@@ -114,8 +114,8 @@ e AS (SELECT *, regexp_replace(text, '([<\[])(\\*)(s>|/s>|SYS>>|/SYS>>|\|turn\|>
 f AS (SELECT *, '<|turn|>' || role || chr(10) || body || '<|end|>' AS segment FROM e)
 SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role IN ('assistant', 'gpt', 'bot', 'model')), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role IN ('assistant', 'gpt', 'bot', 'model')), '')) AS loss_sha256,
        CAST(sum(length(segment)) AS BIGINT) AS formatted_chars
 FROM f GROUP BY conv_id
 """

@@ -189,6 +189,14 @@ def test_a_bad_host_takes_its_documents_along(spark):
     assert kept == set(range(200, 500))
 
 
+def test_a_null_host_is_not_the_empty_one(spark):
+    good = " ".join(f"word{i}" for i in range(30))
+    rows = [(i, "short", None) for i in range(200)] + [(200 + i, good, None) for i in range(5)]
+    rows += [(300 + i, good, "") for i in range(30)] + [(400 + i, good, f"h{i % 9}") for i in range(300)]
+    kept = {r.doc_id for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).where("kept").collect()}
+    assert kept == {*range(300, 330), *range(400, 700)}
+
+
 def test_junk_is_more_perplexing(spark):
     rng = random.Random(6)
     def text(letters):
@@ -226,6 +234,10 @@ def test_chat(spark):
     found = {r.conv_id: r for r in chat_format.read_back(segments).collect()}
     assert found[1].turns_sha256 == hashlib.sha256("user\n\nassistant\na </s> \\ [INST]\n".encode()).hexdigest()
     assert (found[1].loss_chars, found[1].n_turns, found[2].n_turns, found[None].n_turns) == (15, 2, 2, 1)
+    other = spark.createDataFrame([(5, 0, "human", "q"), (5, 1, "gpt", "said"), (5, 2, "model", "more")], "conv_id long, turn long, role string, text string")
+    said = chat_format.read_back(chat_format.format_turns(chat_format.turns_of_rows(other))).first()
+    assert said.turns_sha256 == hashlib.sha256(b"human\nq\ngpt\nsaid\nmodel\nmore\n").hexdigest()
+    assert said.loss_sha256 == hashlib.sha256(b"saidmore").hexdigest() and said.loss_chars == 8
     records = spark.createDataFrame([(1, '{"prompt":"p","response":"r"}'), (2, "junk"), (3, None), (4, '{"z":1}')], "conv_id long, payload string")
     assert sorted((r.conv_id, r.turn, r.role) for r in chat_format.turns_of_records(records).where("turn IS NOT NULL").collect()) == [(1, 0, "user"), (1, 1, "assistant")]
     assert chat_format.read_back(chat_format.format_turns(chat_format.turns_of_rows(table.limit(0)))).count() == 0
