@@ -24,7 +24,7 @@ from chatterlens.sources import files
 from chatterlens.sources.models import ModelStore, ReloadingModel
 from chatterlens.sources.results import ResultTable
 from chatterlens.sources.streams import Topic, console_sink, source
-from chatterlens.streaming import jobs
+from chatterlens.streaming import jobs, keyed
 from chatterlens.streaming.windows import KeywordWindows, fused_stream, keyword_stream, request_stream
 
 _WITH = f"WITH {D.COMMENTS_CTE}"
@@ -255,6 +255,24 @@ def _chain(spark, sf_dir):
     return KQ._rounded(job.responses.read().drop("batch_id"))
 
 
+@query("keyword_state_stream", f"""{KQ.BASE_CTE} SELECT window_no, keyword, count(*) FILTER (WHERE label = 'positive') AS positive,
+    count(*) FILTER (WHERE label = 'neutral') AS neutral, count(*) AS total FROM matches GROUP BY ALL""")
+def _keyword_state(spark, sf_dir):
+    """Counts per window and keyword from the state store; two runs over two parts of the input, the second from the checkpoint."""
+    said, out, check = (_folder(spark, n) for n in ("labeled", "counts", "check"))
+    valid = V.valid_comments(D.comments(spark, sf_dir)).withColumn("cleaned_body", D.clean_text(F.col("body")))
+    numbers, total = Q.index_and_count(valid.select(*KQ.KEY), KQ.arrival_order())
+    lines = durable(R.json_values(valid.join(numbers, KQ.KEY).select("seq", "subreddit", "label", "cleaned_body")))
+    number = F.get_json_object("value", "$.seq").cast("bigint")
+    for part in (number < total // 2, number >= total // 2):
+        lines.filter(part).coalesce(3).write.mode("append").text(said)
+        read = source(spark, Topic(said)).select(F.from_json("value", "seq long, subreddit string, label string, cleaned_body string").alias("c"))
+        counts = keyed.window_counts(read.select("c.*"), D.requests(spark, sf_dir), KQ.N)
+        writer = counts.writeStream.outputMode("append").option("checkpointLocation", check).option("path", out)
+        _finish(writer.trigger(availableNow=True).format("parquet").start())
+    return spark.read.schema(keyed.PARTIAL).parquet(out)
+
+
 @query("one_stream_fused", _ASKED_FIRST.replace(f"WITH {D.CLEANED_CTE},", _JUDGED, 1).replace("FROM cleaned WHERE", "FROM judged WHERE"))
 def _fused(spark, sf_dir):
     """The same dump to the same responses in one streaming query, several micro-batches."""
