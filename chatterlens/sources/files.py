@@ -86,7 +86,7 @@ def meta_chunks(chunked: DataFrame) -> DataFrame:
     return chunked.select(*S.META_CHUNK.fieldNames(), "chunk_id")
 
 
-MAX_DICTIONARY_ROWS = 200_000
+MAX_DICTIONARY_ROWS, MAX_DICTIONARY_CHARS = 200_000, 32 << 20
 
 
 def read_dictionary(spark: SparkSession, path: str) -> dict:
@@ -95,7 +95,13 @@ def read_dictionary(spark: SparkSession, path: str) -> dict:
     Dictionaries are word lists of bounded size; a larger table is refused.
     """
     if path.endswith(".json"):
-        return json.loads("\n".join(r.value for r in spark.read.text(path, wholetext=True).collect()))
+        lines = spark.read.text(path)
+        if (lines.agg(F.sum(F.length("value"))).first()[0] or 0) > MAX_DICTIONARY_CHARS:
+            raise ValueError(f"{path} has more than {MAX_DICTIONARY_CHARS} characters")
+        found = json.loads("\n".join(r.value for r in spark.read.text(path, wholetext=True).collect()))
+        if len(found) > MAX_DICTIONARY_ROWS:
+            raise ValueError(f"{path} has more than {MAX_DICTIONARY_ROWS} entries")
+        return found
     if path.endswith(".csv"):
         table = spark.read.option("header", True).option("escape", '"').csv(path)
     else:

@@ -6,7 +6,7 @@ import time
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatterlens import schemas as S
@@ -30,23 +30,32 @@ class ModelStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def current_version(self) -> int | None:
+    def _published(self) -> DataFrame | None:
+        """The log of published versions; ``origin`` says what a version was made from, where that was given."""
         jvm, log = self.spark._jvm, f"{self.path}/published"
         location = jvm.org.apache.hadoop.fs.Path(log)
         files = location.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not files.exists(location):
             return None
-        schema = "version int, published_at timestamp"
-        return self.spark.read.schema(schema).parquet(log).agg(F.max("version")).first()[0]
+        return self.spark.read.schema("version int, published_at timestamp, origin string").parquet(log)
+
+    def current_version(self) -> int | None:
+        log = self._published()
+        return None if log is None else log.agg(F.max("version")).first()[0]
+
+    def version_of(self, origin: str) -> int | None:
+        """The version that was published for ``origin``."""
+        log = self._published()
+        return None if log is None else log.filter(F.col("origin") == origin).agg(F.max("version")).first()[0]
 
-    def publish(self, vectorizer: Vectorizer, classifier) -> int:
+    def publish(self, vectorizer: Vectorizer, classifier, origin: str | None = None) -> int:
         version = (self.current_version() or 0) + 1
         folder = f"{self.path}/versions/{version}"
         staged = classifier if isinstance(classifier, PipelineModel) else PipelineModel([classifier])
         staged.write().overwrite().save(f"{folder}/classifier")
         vectorizer.save(self.spark, f"{folder}/vectorizer")
         row = self.spark.range(1).select(
-            F.lit(version).alias("version"), F.current_timestamp().alias("published_at")
+            F.lit(version).alias("version"), F.current_timestamp().alias("published_at"), F.lit(origin).cast("string").alias("origin")
         )
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/published")
         return version

@@ -164,9 +164,12 @@ class Retrainer:
         n = waiting.count()
         if n < self.at_least:
             return
-        vectorizer = self.store.load().vectorizer
-        model = M.train_logreg(M.with_class(vectorizer.transform(waiting)))
-        version = self.store.publish(vectorizer, model)
+        # a replay after a failure between the two writes finds what it published before
+        version = self.store.version_of(f"batch {batch_id}")
+        if version is None:
+            vectorizer = self.store.load().vectorizer
+            model = M.train_logreg(M.with_class(vectorizer.transform(waiting)))
+            version = self.store.publish(vectorizer, model, f"batch {batch_id}")
         mark = self.spark.createDataFrame([(batch_id, version, n)], self.trained.schema)
         self.trained.write(mark, batch_id)
 

@@ -152,6 +152,11 @@ def test_retraining_gathers_until_full(spark, store, folder):
     retrainer.process(halves[0], 0)
     retrainer.process(halves[0], 0)
     assert store.current_version() == 1 and retrainer.pending().count() == 30
+    mark, retrainer.trained.write = retrainer.trained.write, lambda *_: (_ for _ in ()).throw(OSError("lost"))
+    with pytest.raises(OSError):
+        retrainer.process(halves[1], 1)
+    assert store.current_version() == 2
+    retrainer.trained.write = mark  # the replay finds the version that it had published
     retrainer.process(halves[1], 1)
     assert store.current_version() == 2
     assert retrainer.trained.read().first().n == 60
