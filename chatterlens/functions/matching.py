@@ -19,7 +19,7 @@ def runs(text: Column) -> Column:
     """Distinct runs of word characters and of other characters, lower-cased."""
     def found(lowered: Column) -> Column:
         """Cleaned text, words with one space between, needs no pattern to be cut."""
-        cleaned = lowered.rlike("^[a-z0-9]++(?: [a-z0-9]++)*+$")
+        cleaned = lowered.rlike(r"^[a-z0-9]++(?: [a-z0-9]++)*+\z")
         return F.when(cleaned, F.split(lowered, " ")).otherwise(F.regexp_extract_all(lowered, F.lit(RUNS), F.lit(0)))
 
     return F.array_distinct(let(F.lower(F.coalesce(text, F.lit(""))), found))

@@ -145,10 +145,8 @@ def _term_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     held, size = [], 0
     for batch in batches:
-        entries = batch.column(0).flatten()
-        terms_, counts = entries.field(0), entries.field(1)
-        held.append(pa.table({"term": terms_, "cf": counts, "df": pa.array(np.ones(len(entries), np.int64))}))
-        size += len(entries)
+        held.append(pa.table({"term": batch.column(0), "cf": batch.column(1), "df": pa.array(np.ones(len(batch), np.int64))}))
+        size += len(batch)
         if size > 2 * RUN_TERMS:
             held = [merged(held)]
             size = len(held[0])
@@ -162,7 +160,7 @@ def _term_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def term_runs(documents: DataFrame, text: str = "cleaned_body") -> DataFrame:
     """``run, place, term, cf, df``: counts combined where the texts lie; nothing is shuffled. Stored: the one pass over the texts."""
     path = staging_path(documents.sparkSession, "term-runs")
-    counted = documents.select(term_counts(terms(F.col(text))).alias("_t"))
+    counted = documents.select(F.explode(term_counts(terms(F.col(text)))).alias("_t")).select("_t.term", "_t.tf")
     counted.mapInArrow(_term_runs, _RUN_SCHEMA).write.parquet(path)
     return documents.sparkSession.read.schema(_RUN_SCHEMA).parquet(path)
 

@@ -136,7 +136,7 @@ def test_heavy_terms_are_exact(spark, monkeypatch, summary, k):
 
 
 def test_runs_of_bounded_size(spark):
-    batch = pa.RecordBatch.from_pydict({"_t": [[{"term": f"t{i % 9}", "tf": 2}] for i in range(50)]})
+    batch = pa.RecordBatch.from_pydict({"term": [f"t{i % 9}" for i in range(50)], "tf": [2] * 50})
     old, E.RUN_TERMS = E.RUN_TERMS, 4
     try:
         E.TaskContext, context = type("C", (), {"get": staticmethod(lambda: type("P", (), {"partitionId": lambda self: 1})())}), E.TaskContext
