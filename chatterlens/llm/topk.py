@@ -1,7 +1,8 @@
 """Exact top-k inner-product search by the three-phase uniform threshold.
 
 A vector's components are dealt into ``SLICES`` slices, so a score is the sum of that many partial scores, one per list.
-Candidates and queries lie in blocks; a task holds one block of each.
+Candidates and queries lie in blocks; a task meets one block of each at a time. Blocks of candidates are dealt into slices of
+``SPREAD`` blocks and move once a pass; the query blocks, one in so many rows, are repeated per slice. So tasks grow with the candidates.
 
 1. Every list of a block names its k best entries per query; their scores are resolved, and the k-th best resolved
    score over all blocks is a safe cutoff (a lower bound of the true k-th best).
@@ -10,7 +11,11 @@ Candidates and queries lie in blocks; a task holds one block of each.
 3. The remaining scores are resolved exactly for what was handed over; each block keeps at most its k best that
    reach the cutoff, and a ranked window (score descending, then id) gives the result.
 
-Scores are integers. Partial products run in doubles while every sum stays below 2^53, else in 64-bit integers.
+In phases 2 and 3 the first list is computed whole. A later list is computed only for entries that an earlier one handed over, and for
+those whose norms (Cauchy and Schwarz) allow it the uniform threshold and the cutoff.
+
+Scores are integers. Partial products run in doubles while every sum stays below 2^53, else in 64-bit integers; components whose
+sums could reach 2^63 raise an error instead of wrapping round.
 
 Defined results: vectors that are null or hold a null or non-finite component take no part; vectors of
 another length count as padded with zeros; empty vectors score 0. A query never meets rows of its own id. A repeated id
@@ -34,6 +39,9 @@ SLICES = 2
 CANDIDATES = 8192
 QUERIES = 2048
 TILE = 256
+SPREAD = 4
+#: Below this share of a tile, single entries are resolved instead of the whole tile.
+SPARSE = 1 / 16
 SCALE = 64
 
 BLOCK = "block long, ids binary, width int, vectors binary"
@@ -81,14 +89,56 @@ def _unpack(row, prefix: str, width: int) -> tuple[np.ndarray, np.ndarray]:
     return ids, np.pad(vectors, ((0, 0), (0, width - vectors.shape[1])))
 
 
-def partial_scores(q: np.ndarray, x: np.ndarray) -> list[np.ndarray]:
-    """One matrix (queries by candidates) per slice of the components."""
+def exact(q: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both sides in a type in which every sum of products is exact."""
     largest = int(np.abs(q).max(initial=0)) * int(np.abs(x).max(initial=0)) * max(q.shape[1], 1)
+    if largest >= 1 << 63:
+        raise OverflowError("inner products of these vectors may exceed 64 bits")
     kind = np.float64 if largest < 1 << 53 else np.int64
-    out = []
-    for part in np.array_split(np.arange(q.shape[1]), SLICES):
-        out.append(q[:, part].astype(kind) @ x[:, part].astype(kind).T)
-    return out
+    return q.astype(kind), x.astype(kind)
+
+
+def lists(width: int) -> list[slice]:
+    """The components of each list."""
+    return [slice(width * i // SLICES, width * (i + 1) // SLICES) for i in range(SLICES)]
+
+
+def partial_scores(q: np.ndarray, x: np.ndarray) -> list[np.ndarray]:
+    """One matrix (queries by candidates) per list."""
+    q, x = exact(q, x)
+    return [q[:, part] @ x[:, part].T for part in lists(q.shape[1])]
+
+
+def sufficient(q: np.ndarray, x: np.ndarray, cutoff: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query place, candidate place and score of every entry that reaches its query's cutoff, but for those in ``same``."""
+    q, x = exact(q, x)
+    parts = lists(q.shape[1])
+
+    def norms(rows, part):
+        return np.sqrt((rows[:, part].astype(np.float64) ** 2).sum(axis=1))
+
+    # a little below the cutoff, as doubles round; the last comparison is exact
+    limit = (cutoff - np.abs(cutoff) * 1e-9 - 1)[:, None]
+    total = q[:, parts[0]] @ x[:, parts[0]].T
+    handed, open_ = total >= limit / SLICES, ~same
+    bounds = [np.outer(norms(q, part), norms(x, part)) * (1 + 1e-9) + 1 for part in parts[1:]]
+    for i, part in enumerate(parts[1:]):
+        rest = sum(bounds[i:])
+        could = np.logical_or.reduce([bound >= limit / SLICES for bound in bounds[i:]])
+        open_ &= (handed | could) & (total + rest >= limit)
+        if open_.mean() < SPARSE:
+            rows, places = np.nonzero(open_)
+            for at in range(0, len(rows), 1 << 16):
+                r, p = rows[at: at + (1 << 16)], places[at: at + (1 << 16)]
+                one = np.einsum("ij,ij->i", q[r, part], x[p, part])
+                total[r, p] += one
+                handed[r, p] |= one >= limit[r, 0] / SLICES
+        else:
+            whole = q[:, part] @ x[:, part].T
+            total += whole
+            handed |= whole >= limit / SLICES
+    rows, places = np.nonzero(open_ & handed & (total >= cutoff[:, None]))
+    return rows, places, total[rows, places]
 
 
 def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
@@ -105,15 +155,15 @@ def _tiles(row):
     (ids, x), (q_ids, q) = _unpack(row, "", width), _unpack(row, "q_", width)
     for at in range(0, len(q_ids), TILE):
         own = q_ids[at: at + TILE]
-        yield ids, own, at, partial_scores(q[at: at + TILE], x), own[:, None] == ids[None, :]
+        yield ids, x, own, q[at: at + TILE], at, own[:, None] == ids[None, :]
 
 
 def _rows(frames, pick):
     for batch in frames:
-        for row in batch.to_pylist():
-            queries, found, scores = [], [], []
-            for ids, own, at, parts, same in _tiles(row):
-                for query, places, total in pick(row, ids, own, at, parts, same):
+        for i in range(len(batch)):
+            row, queries, found, scores = batch.slice(i, 1).to_pylist()[0], [], [], []
+            for ids, x, own, q, at, same in _tiles(row):
+                for query, places, total in pick(row, ids, x, own, q, at, same):
                     queries.append(np.full(len(places), query, np.int64))
                     found.append(ids[places])
                     scores.append(total.astype(np.int64))
@@ -126,7 +176,8 @@ def _rows(frames, pick):
 def _local_lists(k: int):
     """Phase 1: the k best resolved scores among the k best entries of each list."""
 
-    def pick(row, ids, own, at, parts, same):
+    def pick(row, ids, x, own, q, at, same):
+        parts = partial_scores(q, x)
         low = _least(parts[0].dtype)
         count = min(k, len(ids))
         named = []
@@ -146,19 +197,14 @@ def _local_lists(k: int):
 def _sufficient(k: int):
     """Phases 2 and 3: hand over by the uniform threshold, resolve, keep what reaches the cutoff."""
 
-    def pick(row, ids, own, at, parts, same):
+    def pick(row, ids, x, own, q, at, same):
         cutoff = np.frombuffer(row["cutoffs"], np.int64)[at: at + len(own)]
-        handed = np.zeros(same.shape, bool)
-        for part in parts:
-            handed |= SLICES * part >= cutoff[:, None]
-        handed &= ~same
+        rows, places, total = sufficient(q, x, cutoff, same)
+        ends = np.searchsorted(rows, np.arange(len(own) + 1))
         for i, query in enumerate(own):
-            places = np.flatnonzero(handed[i])
-            total = sum(part[i, places] for part in parts)
-            reach = total >= cutoff[i]
-            places, total = places[reach], total[reach]
-            top = best(ids[places], total, k)
-            yield query, places[top], total[top]
+            mine = slice(ends[i], ends[i + 1])
+            top = best(ids[places[mine]], total[mine], k)
+            yield query, places[mine][top], total[mine][top]
 
     return lambda frames: _rows(frames, pick)
 
@@ -185,12 +231,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "v
         F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("width").alias("q_width"), F.col("vectors").alias("q_vectors")
     )
     blocks = stored(rows.mapInArrow(_blocks, BLOCK), "blocks")
-    dealt = blocks.withColumn("q_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    slices = max(1, math.ceil(blocks.count() / SPREAD))
+    dealt = blocks.withColumn("slice", F.pmod(F.xxhash64("block"), F.lit(slices)))
+    every_slice = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("slice")
     scored = "query_id long, vec_id long, score long"
 
-    lists = dealt.join(queries, "q_block").mapInArrow(_local_lists(k), scored)
+    named = dealt.join(queries.select("*", every_slice), "slice").mapInArrow(_local_lists(k), scored)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    kth = lists.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    kth = named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     cutoffs = kth.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("cutoff")).where(F.col("n") == k)
     cutoffs = cutoffs.select("query_id", "cutoff", F.pmod(F.xxhash64("query_id"), F.lit(groups)).alias("q_block"))
     with_cutoffs = stored(
@@ -198,6 +246,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "v
             _with_cutoffs, "q_block long, q_ids binary, q_width int, q_vectors binary, cutoffs binary"
         ), "cutoffs",
     )
-    found = dealt.join(with_cutoffs, "q_block").mapInArrow(_sufficient(k), scored)
+    found = dealt.join(with_cutoffs.select("*", every_slice), "slice").mapInArrow(_sufficient(k), scored)
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

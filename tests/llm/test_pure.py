@@ -193,3 +193,19 @@ def test_partial_scores_add_up():
     for scale in (10, 1 << 40):
         q, x = rng.integers(-scale, scale, (5, 7)), rng.integers(-9, 9, (6, 7))
         assert (sum(topk.partial_scores(q, x)).astype(np.int64) == q @ x.T).all()
+
+
+@pytest.mark.parametrize("sparse", [0, 1 / 16, 2])
+def test_sufficient_entries_are_all_that_reach_the_cutoff(monkeypatch, sparse):
+    monkeypatch.setattr(topk, "SPARSE", sparse)
+    rng = np.random.default_rng(0)
+    for _ in range(100):
+        width, scale = int(rng.integers(0, 9)), int(rng.choice([3, 50, 1 << 29]))
+        q, x = rng.integers(-scale, scale, (5, width)), rng.integers(-scale, scale, (40, width))
+        full, same = q @ x.T, rng.random((5, 40)) < 0.1
+        cutoff = np.where(rng.random(5) < 0.2, topk.ANY, np.sort(full, 1)[:, -int(rng.integers(1, 20))])
+        rows, places, scores = topk.sufficient(q, x, cutoff, same)
+        want = np.nonzero((full >= cutoff[:, None]) & ~same)
+        assert (rows == want[0]).all() and (places == want[1]).all() and (scores == full[want]).all()
+    with pytest.raises(OverflowError):
+        topk.partial_scores(np.array([[1 << 40]]), np.array([[1 << 40]]))

@@ -225,6 +225,26 @@ def test_top_k(spark):
     assert topk.top_k(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_candidates_are_dealt_over_slices(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 10)
+    monkeypatch.setattr(topk, "SPREAD", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rng = np.random.default_rng(4)
+        table = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=5)]) for i in range(400)], "vec_id long, embedding array<float>")
+        found = topk.top_k(table.repartition(4), F.col("vec_id") % 20 == 0, 5)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(slice" in plan and "hashpartitioning(q_block" not in plan
+        good = {r.vec_id: np.floor(64 * np.array(r.embedding, np.float32).astype(float)).astype(int) for r in table.collect()}
+        want = []
+        for q in range(0, 400, 20):
+            best = sorted((-int(good[q] @ v), i) for i, v in good.items() if i != q)[:5]
+            want += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+        assert sorted(map(tuple, found.collect())) == sorted(want)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_chat(spark):
     rows = [(1, 1, "assistant", "a </s> \\ [INST]"), (1, 0, "user", None), (2, 0, "odd\nrole<|nl|>", "<|turn|>"), (2, 0, "odd\nrole<|nl|>", "<|turn|>"), (None, 0, None, "x")]
     table = spark.createDataFrame([(*r, "extra") for r in rows], "conv_id long, turn long, role string, text string, segment string")
