@@ -1,9 +1,12 @@
 """The operators on small tables: brute force, empty tables, nulls, repeated rows, clashing columns."""
 
 import hashlib
+import math
 import random
 import re
+import unicodedata
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -205,10 +208,105 @@ def test_junk_is_more_perplexing(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     verdict = {r.doc_id: r.kept for r in kneser_ney.judge(docs, docs.where("doc_id < 200").select("doc_id")).collect()}
     assert not any(verdict[1000 + i] for i in range(20)) and sum(verdict[i] for i in range(300)) >= 285
-    # probabilities over all symbols after a context add up to one
-    keys = spark.createDataFrame([(1, 2), (2, 1), ((5 << 36) | 3, 3)], "gram long, count long")
-    wanted = spark.range(kneser_ney.SYMBOLS).select((F.col("id") + F.lit(5 << 36)).alias("gram"))
-    assert abs(kneser_ney.probabilities(keys, wanted).agg(F.sum(F.exp("logp"))).first()[0] - 1) < 1e-6
+
+
+def kind_of(c):
+    if c.isspace():
+        return "space"
+    if any(a <= ord(c) <= b for a, b in kneser_ney.UNSPACED) or ord(c) >= 0x20000:
+        return "alone"
+    if c.isalpha() or unicodedata.category(c)[0] == "M":
+        return "letter"
+    return "digit" if c in "0123456789" else "alone"
+
+
+def slow_words(text):
+    out, last = [], None
+    for c in text or "":
+        c = c.lower() if len(c.lower()) == 1 else c
+        kind = kind_of(c)
+        shown = "0" if kind == "digit" else c
+        if kind != "space":
+            if kind == last and kind != "alone":
+                out[-1] += shown
+            else:
+                out.append(shown)
+        last = kind
+    return out
+
+
+def slow_kneser_ney(rows, trusted):
+    """Perplexity and fresh share by dictionaries, straight from the definition."""
+    learnt = [slow_words(t) for i, t, _ in rows if i in trusted and zlib.crc32(str(i).encode()) % kneser_ney.HELD_OUT]
+    pairs = Counter(p for w in learnt for p in zip(["<s>", *w], w))
+    ones = Counter(w for _, w in pairs)
+
+    def cuts(counts):
+        n = [sum(c == k for c in counts.values()) for k in (1, 2, 3, 4)]
+        if not all(n):
+            return lambda c: (0, 0.5, 0.75, 0.9)[min(c, 3)]
+        y = n[0] / (n[0] + 2 * n[1])
+        return lambda c: min(max(c - (c + 1) * y * n[c] / n[c - 1], 0), c) if 0 < c < 3 else min(max(3 - 4 * y * n[3] / n[2], 0), 3) if c else 0
+
+    cut2, cut1 = cuts(pairs), cuts(ones)
+    after, total = defaultdict(list), sum(ones.values())
+    for (a, _), n in pairs.items():
+        after[a].append(n)
+
+    def probability(a, w):
+        p = 1 / (len(ones) + 1)
+        if total:
+            p = (ones[w] - cut1(ones[w])) / total + sum(map(cut1, ones.values())) / total * p
+        if after[a]:
+            p = (pairs[a, w] - cut2(pairs[a, w])) / sum(after[a]) + sum(map(cut2, after[a])) / sum(after[a]) * p
+        return p
+
+    for i, text, _ in rows:
+        w = slow_words(text)
+        bits = [(p, -math.log(probability(*p))) for p in zip(["<s>", *w], w)]
+        whole = sum(b for _, b in bits)
+        yield (i, len(w), math.exp(whole / len(w)) if w else None, (sum(dict(bits).values()) / whole if whole else 1.0) if w else None)
+
+
+@pytest.mark.parametrize("blocks, broadcast", [(32 << 20, 2_000_000), (1500, 0)])
+def test_kneser_ney_by_dictionaries(spark, monkeypatch, blocks, broadcast):
+    monkeypatch.setattr(kneser_ney, "BLOCK_BYTES", blocks)
+    monkeypatch.setattr(kneser_ney, "BROADCAST_IDS", broadcast)
+    rng = random.Random(9)
+    some = ["the", "The", "of", "été", "e\u0301", "12", "7", "漢字", "a|b", "x😀", "long" * 40, "ภาษา", "ok.", "\n", "İz"]
+    rows = [(i, " ".join(rng.choice(some[: rng.randint(2, 15)]) for _ in range(rng.randint(1, 40))), rng.choice(["en", "de", None, ""])) for i in range(120)]
+    rows += [(200, None, "en"), (201, "", "en"), (202, " \n", None), (None, "the of the", "en"), (3, "the same id", "en"), (203, "the " * 3000, "en")]
+    trusted = {*range(60), 200, 203}
+    docs = spark.createDataFrame([(*r, 1.5) for r in rows], "doc_id long, text string, lang string, perplexity double").repartition(3)
+    ids = spark.createDataFrame([(i,) for i in [*trusted, 5, 5, None, 999]], "doc_id long")
+
+    def shown(found):
+        return sorted(map(tuple, found), key=lambda r: [-1 if x is None else round(x, 3) for x in r])
+
+    scored = kneser_ney.score(docs, ids).select("doc_id", "n_symbols", "perplexity", "fresh").collect()
+    wanted = shown(slow_kneser_ney(rows, trusted))
+    assert len(scored) == len(wanted)
+    for mine, slow in zip(shown(scored), wanted):
+        assert mine == tuple(x if x is None else pytest.approx(x, abs=2e-6) for x in slow)
+    assert kneser_ney.judge(docs, ids).count() == len(rows)
+    none = kneser_ney.judge(docs, ids.limit(0)).where("kept").count()
+    assert none == sum(bool(slow_words(t)) for _, t, _ in rows)
+    assert kneser_ney.judge(docs.limit(0), ids).count() == 0
+
+
+def test_repetition_and_shuffled_words_go(spark):
+    rng = random.Random(6)
+    nouns, verbs = [f"n{c}" for c in "abcdefghijklmnop"], [f"v{c}" for c in "abcdefghijklmnop"]
+
+    def sentence():
+        return " ".join(f"{rng.choice(nouns)} {rng.choice(verbs)}" for _ in range(40))
+
+    clean = [(i, sentence()) for i in range(600)]
+    shuffled = [(1000 + i, " ".join(rng.sample(sentence().split(), 80))) for i in range(50)]
+    repeated = [(2000 + i, f"{rng.choice(nouns)} {rng.choice(verbs)} " * 40) for i in range(50)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in clean + shuffled + repeated], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in kneser_ney.judge(docs, docs.where("doc_id < 400").select("doc_id")).where("kept").collect()}
+    assert sum(i < 600 for i in kept) >= 580 and not any(i >= 1000 for i in kept)
 
 
 def test_top_k(spark):
