@@ -1,22 +1,22 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney model of words.
+"""Quality by perplexity under an interpolated modified Kneser-Ney model of characters.
 
-Words are runs of letters and marks, lower-cased, or of digits, each digit as ``0``; every other character is one of its own, and so is
-every letter of a script without spaces. The model is one of word pairs over continuation counts of words over a uniform base;
-both orders have their three discounts. Words are 48-bit hashes, pairs are looked up by 40 bits within their shard.
-
-Documents travel as blocks of word numbers. A block sends the pairs of its training documents and asks for all its distinct pairs, in
-one packed message per shard. A shard adds the counts up, answers, and passes on what each word has gained: its count as a context, its
-followers seen once, twice and more often, and how many words it follows. The shards of the words add these up and answer the blocks, which
-put the probabilities together. So the messages grow with the blocks' distinct pairs, shards with the blocks, and no model is broadcast.
+Counts of ``ORDER``-grams come from all trusted texts. Lower orders use continuation counts; each order has its
+three discounts. Documents travel in compressed blocks: a block asks for its distinct n-grams, the requests are
+joined with the count tables (hash-sharded on n-gram, context and suffix) from order 1 up, and the
+log-probabilities return to the block, which sums them per document. So the shuffled n-grams grow with the blocks' distinct
+n-grams, not with the characters, and no model is broadcast.
 
 A fifth of the trusted documents, by a checksum of the id, is held out of the counts. A document is rejected when its perplexity exceeds the
 ``QUANTILE`` of its language's held-out documents. Repetition makes a text predictable, so it is also rejected when ``fresh``, the
-share of its information left when each of its pairs counts once, is below the same quantile, from below, of its language's trusted
-documents. A language without such documents takes the quantiles of all.
-
-Defined results: texts without words, null and empty ones among them, have perplexity and ``fresh`` null and are rejected; a null
-language is a language of its own; repeated rows each give a row, and a trusted id trains with all its rows; a null id is never
-trusted; without trusted text the model is uniform and nothing but texts without words is rejected. Only ``doc_id``, ``text`` and ``lang`` are read.
+share of its information left when every pair of neighbouring words counts once, is below the same quantile, from below, of its
+language's trusted documents. A language without such documents takes the quantiles of all.
+
+Symbols are whole code points, lower-cased, digits as ``0`` and white space as one symbol. Words are runs of letters and marks, or of
+digits; every other character is a word, and so is every letter of a script without spaces.
+Defined results: null and empty texts have perplexity and ``fresh`` null and are rejected; a text without words is all fresh; a null
+language is a language of its own; repeated rows each give a row, and a trusted id trains with all its rows; a null id is never trusted;
+without trusted text the model is uniform and nothing but empty texts is rejected. Only
+``doc_id``, ``text`` and ``lang`` are read.
 """
 
 from __future__ import annotations
@@ -26,26 +26,25 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatterlens.llm import textnum
 from chatterlens.llm.storage import stored
 from chatterlens.operators.joins import sized_join
 
+ORDER = 3
+BITS = 21
+SYMBOLS = 1 << BITS
 BLOCK_BYTES = 32 << 20
 LEVEL = 6
-HELD_OUT = 5
+CHUNK_BYTES = 1 << 20
+MERGE = 16
 QUANTILE = 0.995
-#: Trusted ids are broadcast up to this number (8 bytes each); beyond it the blocks are joined with their flags.
-BROADCAST_IDS = 2_000_000
-LEAST_SHARDS = 16
-
-WORD_BITS, PAIR_BITS = 48, 40
-#: What precedes a text's first word; no word has this number.
-START = np.uint64(0)
+HELD_OUT = 5
 
 #: First and last code point of scripts that set no spaces between words.
 UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF)]
@@ -69,9 +68,8 @@ def _kinds() -> np.ndarray:
 KINDS = _kinds()
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all words in order, and the number of words of each text."""
-    points, bounds = textnum.code_points(data, offsets)
+def words(points: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and first place of each word, and the number of words before each text (one more entry than texts)."""
     low, _ = textnum.letters(points)
     kinds = KINDS[np.minimum(low, textnum.TABLE)]
     edge = np.zeros(len(low) + 1, bool)
@@ -79,65 +77,64 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     begins = kinds != SPACE
     begins[1:] &= edge[1:-1] | (kinds[1:] != kinds[:-1]) | (kinds[1:] == ALONE)
     starts = np.flatnonzero(begins)
-    counts = np.diff(np.searchsorted(starts, bounds))
+    first = np.searchsorted(starts, bounds)
     if not len(starts):
-        return np.zeros(0, np.uint64), counts
+        return np.zeros(0, np.uint64), starts, first
     inside = kinds != SPACE
     place = np.arange(len(low)) - starts[np.maximum(np.cumsum(begins) - 1, 0)]
     symbol = np.where(kinds == DIGIT, 48, low).astype(np.uint64)
     each = textnum.mix(symbol * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64))
     sums = np.add.reduceat(each[inside], np.cumsum(inside)[starts] - 1)
-    return np.maximum(textnum.mix(sums) >> np.uint64(64 - WORD_BITS), np.uint64(1)), counts
-
-
-def pair_keys(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return textnum.mix(textnum.mix(context + np.uint64(0x9E3779B97F4A7C15)) ^ word)
-
-
-def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    return ((keys >> np.uint64(PAIR_BITS)) % np.uint64(shards)).astype(np.int64)
-
-
-def pack(values: np.ndarray, ordered: bool = False) -> bytes:
-    """Unsigned numbers as compressed byte planes; ``ordered`` ones as differences."""
-    values = values.astype(np.uint64)
-    values = np.diff(values, prepend=np.uint64(0)) if ordered else values
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
-    return len(values).to_bytes(8, "little") + pa.Codec("zstd", LEVEL).compress(planes.tobytes(), asbytes=True)
-
-
-def unpack(data: bytes, ordered: bool = False) -> np.ndarray:
-    size = int.from_bytes(data[:8], "little")
-    if not size:
-        return np.zeros(0, np.uint64)
-    planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], 8 * size, asbytes=True), np.uint8).reshape(8, size)
-    values = np.ascontiguousarray(planes.T).view(np.uint64).ravel()
-    return np.cumsum(values, dtype=np.uint64) if ordered else values
-
-
-BLOCK = pa.schema([
-    ("block", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("lang", pa.list_(pa.string())), ("flag", pa.list_(pa.int32())),
-    ("sizes", pa.binary()), ("vocabulary", pa.binary()), ("words", pa.binary()),
-])
-BLOCK_DDL = "block long, doc_id array<long>, lang array<string>, flag array<int>, sizes binary, vocabulary binary, words binary"
+    return textnum.mix(sums), starts, first
+
+
+def fresh_share(points: np.ndarray, bounds: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Per text the share of its words' ``bits`` (one number per character) left when each pair of neighbours counts once."""
+    hashes, starts, first = words(points, bounds)
+    counts = np.diff(first)
+    text = np.repeat(np.arange(len(counts)), counts)
+    total = np.concatenate([[0.0], np.cumsum(bits)])
+    own = total[np.minimum(np.append(starts[1:], len(points)), bounds[text + 1])] - total[starts] if len(starts) else np.zeros(0)
+    before = np.concatenate([np.zeros(1, np.uint64), hashes[:-1]]) if len(hashes) else hashes
+    before[first[:-1][counts > 0]] = 0
+    pair = textnum.mix(textnum.mix(before + np.uint64(0x9E3779B97F4A7C15)) ^ hashes) ^ textnum.mix(text.astype(np.uint64))
+    _, once = np.unique(pair, return_index=True)
+    whole = np.bincount(text, own, len(counts))
+    return np.where(whole > 0, np.bincount(text[once], own[once], len(counts)) / np.where(whole > 0, whole, 1), 1.0)
+
+
+def grams(points: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram that ends at each character (texts begin with ``ORDER - 1`` zeros), and the characters per text."""
+    low, _ = textnum.letters(points)
+    kinds = KINDS[np.minimum(low, textnum.TABLE)]
+    symbols = 1 + np.where(kinds == DIGIT, 48, np.where(kinds == SPACE, 32, low)).astype(np.int64)
+    sizes, pad = np.diff(bounds), ORDER - 1
+    padded = np.zeros(len(symbols) + pad * len(sizes), np.int64)
+    padded[np.arange(len(symbols)) + pad * (1 + np.repeat(np.arange(len(sizes)), sizes))] = symbols
+    keys = np.zeros(max(len(padded) - pad, 0), np.int64)
+    for step in range(ORDER):
+        keys = (keys << BITS) | padded[step: step + len(keys)]
+    return keys[padded[pad:] != 0], sizes
 
 
 def make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a partition in blocks of about ``BLOCK_BYTES`` of text: words by their place in the block's vocabulary, frequent ones first."""
+    """Rows of a partition in compressed blocks of about ``BLOCK_BYTES`` of text."""
     number, held, size = TaskContext.get().partitionId() << 32, [], 0
 
     def out():
-        vocabulary, places, counts = np.unique(np.concatenate([h for h, _, _ in held]), return_inverse=True, return_counts=True)
-        order = np.lexsort((vocabulary, -np.frexp(counts)[1]))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        rows = [[x for _, _, b in held for x in b.column(c).to_pylist()] for c in ("doc_id", "lang", "flag")]
-        packed = [pack(np.concatenate([s for _, s, _ in held])), pack(vocabulary[order], True), pack(rank[places])]
-        return pa.RecordBatch.from_pylist([dict(zip(BLOCK.names, [number, *rows, *packed]))], BLOCK)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as writer:
+            for batch in held:
+                writer.write_batch(batch)
+        ids = pa.concat_arrays([b.column("doc_id") for b in held])
+        lists = pa.array([ids.to_pylist()], pa.list_(pa.int64()))
+        payload = pa.array([sink.getvalue().to_pybytes()], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), lists, payload], ["block", "ids", "payload"])
 
     for batch in batches:
-        for at, end, data, offsets in textnum.text_chunks(batch, "text"):
-            held.append((*words(data, offsets), batch.slice(at, end - at)))
+        batch = batch.set_column(batch.schema.get_field_index("text"), "text", textnum.binary_column(batch, "text"))
+        for at, end, data, _ in textnum.text_chunks(batch, "text"):
+            held.append(batch.slice(at, end - at))
             size += len(data) + 64 * (end - at)
             if size >= BLOCK_BYTES:
                 yield out()
@@ -146,253 +143,137 @@ def make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-class Block:
-    """A block's distinct pairs, in an order that every reading of the block repeats."""
-
-    def __init__(self, row: dict):
-        self.row = row
-        sizes, ranks = unpack(row["sizes"]).astype(np.int64), unpack(row["words"]).astype(np.int64)
-        self.vocabulary = np.concatenate([[START], unpack(row["vocabulary"], True)]).astype(np.uint64)
-        self.sizes, self.text = sizes, np.repeat(np.arange(len(sizes)), sizes)
-        word = ranks + 1
-        context = np.concatenate([[0], word[:-1]]) if len(word) else word
-        context[(np.cumsum(sizes) - sizes)[sizes > 0]] = 0
-        codes, self.pair, = np.unique(context * len(self.vocabulary) + word, return_inverse=True)
-        self.context, self.word = np.divmod(codes, len(self.vocabulary))
-
-    def trained(self) -> np.ndarray:
-        """How often the training documents have each pair."""
-        learnt = np.array([f == 2 for f in self.row["flag"]], bool)
-        return np.bincount(self.pair[learnt[self.text]], minlength=len(self.word))
-
-    def asked(self, shards: int, pairs: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys, shards and the order of sending of the distinct pairs, or of the vocabulary."""
-        if pairs:
-            keys = pair_keys(self.vocabulary[self.context], self.vocabulary[self.word])
-            key, shard = keys & np.uint64((1 << PAIR_BITS) - 1), shard_of(keys, shards)
-        else:
-            key, shard = self.vocabulary, shard_of(textnum.mix(self.vocabulary), shards)
-        return key, shard, np.lexsort((key, shard))
+def _batches(payload) -> Iterator[pa.RecordBatch]:
+    with pa.ipc.open_stream(payload) as reader:
+        yield from reader
 
 
-#: Messages: to a shard (asked, counted) or to a block (answers). ``kind`` and what ``a``, ``b``, ``c`` hold:
-#: 0 keys asked by ``sender``; 1 contexts, words, counts of pairs; 2 words, 5 rows of gains; 3 answers to ``target`` in its order of sending;
-#: 4 five sums for the discounts, in ``c``.
-MESSAGE = pa.schema([
-    ("target", pa.int64()), ("sender", pa.int64()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()),
-])
-MESSAGE_DDL = "target long, sender long, kind int, a binary, b binary, c binary"
-ASKED, PAIRS, GAINS, ANSWERS, SUMS = range(5)
-
-
-def _message(*values) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist([dict(zip(MESSAGE.names, values))], MESSAGE)
-
-
-def _cut(shard: np.ndarray, shards: int) -> Iterator[tuple[int, slice]]:
-    """Each shard with entries, and its place in entries sorted by shard."""
-    ends = np.searchsorted(shard, np.arange(shards + 1))
-    for s in np.flatnonzero(np.diff(ends)).tolist():
-        yield s, slice(ends[s], ends[s + 1])
-
-
-def ask(shards: int, pairs: bool):
-    """Blocks to messages: the keys of their pairs, with the training counts, or the keys of their words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(len(batch)):
-                block = Block(batch.slice(i, 1).to_pylist()[0])
-                key, shard, order = block.asked(shards, pairs)
-                key, shard = key[order], shard[order]
-                for s, part in _cut(shard, shards):
-                    yield _message(s, block.row["block"], ASKED, pack(key[part], True), None, None)
-                if not pairs:
-                    continue
-                counts = block.trained()
-                context, word, counts = block.vocabulary[block.context][order], block.vocabulary[block.word][order], counts[order]
-                seen = counts > 0
-                context, word, counts, shard = context[seen], word[seen], counts[seen], shard[seen]
-                order = np.lexsort((word, context, shard))
-                context, word, counts, shard = context[order], word[order], counts[order], shard[order]
-                for s, part in _cut(shard, shards):
-                    yield _message(s, block.row["block"], PAIRS, pack(context[part], True), pack(word[part]), pack(counts[part]))
-
-    return run
-
-
-def _joined(table: pa.Table, kind: int, column: str, ordered: bool) -> np.ndarray:
-    rows = [unpack(r, ordered) for k, r in zip(table.column("kind").to_pylist(), table.column(column).to_pylist()) if k == kind]
-    return np.concatenate(rows) if rows else np.zeros(0, np.uint64)
-
-
-def _answers(table: pa.Table, keys: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """For each asking block the rows of ``values`` at its keys (0 where unknown); ``keys`` are sorted."""
-    shard = table.column("target")[0].as_py()
-    for kind, sender, asked in zip(*[table.column(c).to_pylist() for c in ("kind", "sender", "a")]):
-        if kind == ASKED:
-            wanted = unpack(asked, True)
-            place = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
-            found = np.where(keys[place] == wanted, values[:, place], 0) if len(keys) else np.zeros((len(values), len(wanted)), np.uint64)
-            yield _message(sender, shard, ANSWERS, None, None, pack(found.ravel()))
-
-
-def _sums(values: np.ndarray, total: int) -> bytes:
-    """How many values are 1, 2, 3 and 4, the sum of ``total`` and the number of values."""
-    return np.array([*[(values == k).sum() for k in (1, 2, 3, 4)], total, len(values)], np.int64).tobytes()
-
-
-def count_pairs(shards: int):
-    """A shard of pairs: answers to the blocks, gains of the words, and sums for the discounts."""
-
-    def run(table: pa.Table) -> pa.Table:
-        context, word = _joined(table, PAIRS, "a", True), _joined(table, PAIRS, "b", False)
-        counts = _joined(table, PAIRS, "c", False).astype(np.int64)
-        order = np.lexsort((word, context))
-        context, word, counts = context[order], word[order], counts[order]
-        new = np.ones(len(word), bool)
-        new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
-        counts = np.add.reduceat(counts, np.flatnonzero(new)) if len(word) else counts
-        context, word = context[new], word[new]
-        keys = pair_keys(context, word) & np.uint64((1 << PAIR_BITS) - 1)
-        order = np.argsort(keys, kind="stable")
-        out = list(_answers(table, keys[order], counts[order].astype(np.uint64)[None, :]))
-        own, place = np.unique(np.concatenate([context, word]), return_inverse=True)
-        at, follows = place[: len(context)], place[len(context):]
-        gains = np.stack([
-            np.bincount(follows, minlength=len(own)), np.bincount(at, counts, len(own)).astype(np.int64),
-            *[np.bincount(at[pick], minlength=len(own)) for pick in (counts == 1, counts == 2, counts > 2)],
-        ]).astype(np.uint64) if len(own) else np.zeros((5, 0), np.uint64)
-        shard = shard_of(textnum.mix(own), shards)
-        order = np.lexsort((own, shard))
-        own, gains, shard = own[order], gains[:, order], shard[order]
-        sender = table.column("target")[0].as_py()
-        out += [_message(s, sender, GAINS, pack(own[part], True), pack(gains[:, part].ravel()), None) for s, part in _cut(shard, shards)]
-        out.append(_message(-1, sender, SUMS, None, None, _sums(counts, int(counts.sum()))))
-        return pa.Table.from_batches(out, MESSAGE)
-
-    return run
-
-
-def count_words(table: pa.Table) -> pa.Table:
-    """A shard of words: answers to the blocks, and sums for the discounts."""
-    word = _joined(table, GAINS, "a", True)
-    rows = [unpack(b).reshape(5, -1) for k, b in zip(table.column("kind").to_pylist(), table.column("b").to_pylist()) if k == GAINS]
-    gains = np.concatenate(rows, axis=1) if rows else np.zeros((5, 0), np.uint64)
-    keys, place = np.unique(word, return_inverse=True)
-    summed = np.stack([np.bincount(place, g, len(keys)) for g in gains]).astype(np.uint64) if len(keys) else gains
-    followers = summed[0][summed[0] > 0].astype(np.int64)
-    out = [*_answers(table, keys, summed), _message(-1, table.column("target")[0].as_py(), SUMS, None, None, _sums(followers, int(followers.sum())))]
-    return pa.Table.from_batches(out, MESSAGE)
-
-
-def discounts(sums: np.ndarray) -> np.ndarray:
-    """Chen and Goodman's discounts of the counts 0, 1, 2 and 3 or more, from the counts of counts."""
-    n = sums[:4].astype(float)
-    if not n.all():
-        return np.array([0.0, 0.5, 0.75, 0.9])
-    y = n[0] / (n[0] + 2 * n[1])
-    return np.array([0.0, *[min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.0), float(k)) for k in (1, 2, 3)]])
+def merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams and summed counts of several such pairs."""
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    codes, distinct = pd.factorize(np.concatenate([keys for keys, _ in found]))
+    counts = np.concatenate([counts for _, counts in found])
+    return distinct, np.bincount(codes, counts, minlength=len(distinct)).astype(np.int64)
 
 
-def probabilities(count, context, word, pair_sums: np.ndarray, word_sums: np.ndarray) -> np.ndarray:
-    """The probability of each pair from its count and the gains of its context and of its word."""
-    d1, d2 = discounts(word_sums), discounts(pair_sums)
-    base = 1.0 / (word_sums[5] + 1)  # every word that training has, and one for all others
-    if not word_sums[4]:
-        return np.full(len(count), base)
-    n1, n2 = word_sums[0], word_sums[1]
-    freed = (d1[1] * n1 + d1[2] * n2 + d1[3] * (word_sums[5] - n1 - n2)) / word_sums[4]
-    one = (word[0] - d1[np.minimum(word[0], 3)]) / word_sums[4] + freed * base
-    total = np.maximum(context[1], 1)
-    back = np.where(context[1] > 0, (d2[1] * context[2] + d2[2] * context[3] + d2[3] * context[4]) / total, 1.0)
-    return (count - d2[np.minimum(count, 3)]) / total + back * one
+def count_block(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The distinct n-grams of a block and how often its trusted documents have each."""
+    trusted = right.column("doc_id").to_numpy()[right.column("flag").to_numpy() == 2]
+    found = []
+    for payload, block in zip(left.column("payload"), left.column("block")):
+        for batch in _batches(payload.as_buffer()):
+            own = pd.Series(batch.column("doc_id").to_pylist(), dtype="Int64").isin(trusted).to_numpy(bool)
+            for at, end, data, offsets in textnum.text_chunks(batch, "text", CHUNK_BYTES):
+                keys, sizes = grams(*textnum.code_points(data, offsets))
+                codes, distinct = pd.factorize(keys)
+                weight = np.repeat(own[at:end], sizes)
+                found.append((distinct, np.bincount(codes[weight], minlength=len(distinct))))
+                if len(found) == MERGE:
+                    found = [merged(found)]
+    distinct, sums = merged(found)
+    number = left.column("block")[0].as_py() if len(left) else 0
+    return pa.table({"block": np.full(len(distinct), number, np.int64), "gram": distinct, "count": sums})
 
 
 SCORED = pa.schema([
-    ("doc_id", pa.int64()), ("lang", pa.string()), ("flag", pa.int32()), ("n_symbols", pa.int64()), ("perplexity", pa.float64()), ("fresh", pa.float64()),
+    ("doc_id", pa.int64()), ("lang", pa.string()), ("flag", pa.int32()), ("n_symbols", pa.int64()), ("logp", pa.float64()), ("share", pa.float64()),
 ])
 
 
-def score_block(shards: int, pair_sums: np.ndarray, word_sums: np.ndarray):
-    """Perplexity and share of fresh information of each document of a block, from the answers of the shards."""
-
-    def answered(block: Block, right: pa.Table, order: int, pairs: bool, width: int) -> np.ndarray:
-        _, shard, sending = block.asked(shards, pairs)
-        found = {s: c for o, s, c in zip(*[right.column(x).to_pylist() for x in ("step", "sender", "c")]) if o == order}
-        out = np.zeros((width, len(sending)), np.int64)
-        for s, part in _cut(shard[sending], shards):
-            out[:, sending[part]] = unpack(found[s]).reshape(width, -1)
-        return out
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        for row in left.to_pylist():
-            block = Block(row)
-            count, gains = answered(block, right, 0, True, 1)[0], answered(block, right, 1, False, 5)
-            p = probabilities(count, gains[:, block.context], gains[:, block.word], pair_sums, word_sums)
-            bits, texts = -np.log(p), len(block.sizes)
-            every = np.bincount(block.text, bits[block.pair], texts)
-            once = np.unique(block.text * max(len(p), 1) + block.pair)
-            fresh = np.bincount(once // max(len(p), 1), bits[once % max(len(p), 1)], texts)
-            full = block.sizes > 0
-            perplexity = np.round(np.exp(every / np.maximum(block.sizes, 1)), 6)
-            share = np.where(every > 0, fresh / np.where(every > 0, every, 1), 1.0)
-            out.append(pa.Table.from_arrays([
-                pa.array(row["doc_id"], pa.int64()), pa.array(row["lang"], pa.string()), pa.array(row["flag"], pa.int32()), pa.array(block.sizes, pa.int64()),
-                pa.array(perplexity, pa.float64(), mask=~full), pa.array(np.round(share, 9), pa.float64(), mask=~full),
-            ], schema=SCORED))
-        return pa.concat_tables(out) if out else SCORED.empty_table()
-
-    return run
-
-
-def _total(messages: DataFrame) -> np.ndarray:
-    """The sums of all shards: one short row each, added up in the driver."""
-    total = np.zeros(6, np.int64)
-    for row in messages.where(F.col("kind") == SUMS).select("c").toLocalIterator():
-        total += np.frombuffer(row.c, np.int64)
-    return total
-
-
-def _with_flags(left: pa.Table, right: pa.Table) -> pa.Table:
-    flags = dict(zip(right.column("doc_id").to_pylist(), right.column("flag").to_pylist()))
-    rows = [[flags.get(i, 0) for i in ids] for ids in left.column("doc_id").to_pylist()]
-    return left.set_column(left.schema.get_field_index("flag"), "flag", pa.array(rows, pa.list_(pa.int32())))
-
-
-def blocks_of(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """The documents' blocks; ``flag`` is 2 for training documents, 1 for held-out trusted ones and 0 for others."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % HELD_OUT == 0
-    ids = stored(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct(), "trusted")
-    flags = ids.select("doc_id", F.when(held, 1).otherwise(2).cast("int").alias("flag"))
-    if ids.count() <= BROADCAST_IDS:
-        marked = docs.join(F.broadcast(flags), "doc_id", "left")
-        marked = marked.select("doc_id", "lang", "text", F.coalesce("flag", F.lit(0)).alias("flag"))
-        return stored(marked.mapInArrow(make_blocks, BLOCK_DDL), "blocks")
-    blocks = stored(docs.withColumn("flag", F.lit(0)).mapInArrow(make_blocks, BLOCK_DDL), "unmarked")
-    own = blocks.select("block", F.explode("doc_id").alias("doc_id")).distinct().join(flags, "doc_id")
-    own = stored(own.select("block", "doc_id", "flag"), "flags")
-    return stored(blocks.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(_with_flags, BLOCK_DDL), "blocks")
+def score_block(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Per document of a block: symbols, total log-probability, fresh share. ``right`` holds n-grams (kind 0) and ids, by their flag."""
+    kind = right.column("kind").to_numpy()
+    value, logp = right.column("value").to_numpy(), right.column("logp").to_numpy()
+    order = np.argsort(value[kind == 0])
+    keys, logs, held, learnt = value[kind == 0][order], logp[kind == 0][order], value[kind == 1], value[kind == 2]
+    out = []
+    for payload in left.column("payload"):
+        for batch in _batches(payload.as_buffer()):
+            ids = pd.Series(batch.column("doc_id").to_pylist(), dtype="Int64")
+            own = ids.isin(held).to_numpy(np.int32) + 2 * ids.isin(learnt).to_numpy(np.int32)
+            for at, end, data, offsets in textnum.text_chunks(batch, "text", CHUNK_BYTES):
+                points, bounds = textnum.code_points(data, offsets)
+                found, sizes = grams(points, bounds)
+                codes, distinct = pd.factorize(found)
+                each = logs[np.searchsorted(keys, distinct)][codes] if len(distinct) else np.zeros(0)
+                sums = np.bincount(np.repeat(np.arange(len(sizes)), sizes), each, minlength=len(sizes))
+                out.append(pa.Table.from_arrays([
+                    batch.column("doc_id").slice(at, end - at), batch.column("lang").slice(at, end - at).cast(pa.string()),
+                    pa.array(own[at:end]), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()),
+                    pa.array(fresh_share(points, bounds, -each), pa.float64()),
+                ], schema=SCORED))
+    return pa.concat_tables(out) if out else SCORED.empty_table()
+
+
+def discounts(table: DataFrame) -> tuple[float, float, float]:
+    """Chen and Goodman's three discounts from the counts of counts."""
+    row = table.agg(*[F.count_if(F.col("count") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
+    n = [row[f"n{k}"] for k in (1, 2, 3, 4)]
+    if not all(n):
+        return 0.5, 0.75, 0.9
+    y = n[0] / (n[0] + 2 * n[1])
+    raw = [k - (k + 1) * y * n[k] / n[k - 1] for k in (1, 2, 3)]
+    return tuple(min(max(d, 0.0), float(k)) for k, d in enumerate(raw, 1))
+
+
+def discount(count: Column, d: tuple[float, float, float]) -> Column:
+    return F.when(count == 1, d[0]).when(count == 2, d[1]).when(count >= 3, d[2]).otherwise(0.0)
+
+
+def probabilities(counts: DataFrame, requests: DataFrame) -> DataFrame:
+    """``(gram, logp)`` for the distinct ``requests(gram)``, from ``counts(gram, count)`` of the highest order."""
+    def suffix(order):
+        return F.col("gram").bitwiseAND(F.lit((1 << (BITS * order)) - 1))
+
+    tables, wanted = {ORDER: counts}, {ORDER: requests}
+    for n in range(ORDER - 1, 0, -1):
+        tables[n] = stored(tables[n + 1].groupBy(suffix(n).alias("gram")).agg(F.count("*").alias("count")), f"counts{n}")
+        wanted[n] = wanted[n + 1].select(suffix(n).alias("gram")).distinct()
+    lower = None
+    for n in range(1, ORDER + 1):
+        d = discounts(tables[n])
+        context = F.shiftright(F.col("gram"), BITS)
+        contexts = tables[n].groupBy(context.alias("context")).agg(
+            F.sum("count").alias("total"), F.sum(discount(F.col("count"), d)).alias("freed")
+        )
+        rows = wanted[n].join(tables[n], "gram", "left").withColumn("context", context).join(contexts, "context", "left")
+        if n == 1:
+            rows = rows.withColumn("base", F.lit(1.0 / SYMBOLS))
+        else:
+            rows = rows.withColumn("tail", suffix(n - 1)).join(lower.select(F.col("gram").alias("tail"), F.col("p").alias("base")), "tail")
+        own = F.coalesce((F.col("count") - discount(F.col("count"), d)) / F.col("total"), F.lit(0.0))
+        p = own + F.coalesce(F.col("freed") / F.col("total"), F.lit(1.0)) * F.col("base")
+        lower = stored(rows.select("gram", p.alias("p")), f"probabilities{n}")
+    return lower.select("gram", F.log("p").alias("logp"))
 
 
 def score(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """``(doc_id, lang, flag, n_symbols, perplexity, fresh)`` per row of ``docs``; ``trusted`` holds the ids of trusted documents."""
-    blocks = blocks_of(docs, trusted)
-    shards = max(LEAST_SHARDS, blocks.count())
-    pairs = stored(
-        blocks.mapInArrow(ask(shards, True), MESSAGE_DDL).repartition(shards, "target").groupBy("target").applyInArrow(count_pairs(shards), MESSAGE_DDL), "pairs"
+    """``(doc_id, lang, flag, n_symbols, perplexity, fresh)`` per row of ``docs``; ``trusted`` holds ids.
+
+    ``flag`` is 2 for training documents, 1 for held-out trusted ones and 0 for others.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+    blocks = stored(docs.mapInArrow(make_blocks, "block long, ids array<long>, payload binary"), "blocks")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % HELD_OUT == 0
+    flags = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("flag", F.when(held, 1).otherwise(2))
+    ids = blocks.select("block", F.explode("ids").alias("doc_id")).distinct().join(flags, "doc_id").select("block", "doc_id", "flag")
+    ids = stored(ids, "trusted")
+    payload = blocks.select("block", "payload")
+    requests = stored(
+        payload.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(count_block, "block long, gram long, count long"), "requests"
+    )
+    summed = stored(requests.groupBy("gram").agg(F.sum("count").alias("count")), "counts")
+    answers = requests.select("block", "gram").join(probabilities(summed.where("count > 0"), summed.select("gram")), "gram")
+    answers = answers.select("block", F.lit(0).alias("kind"), F.col("gram").alias("value"), "logp").unionByName(
+        ids.select("block", F.col("flag").alias("kind"), F.col("doc_id").alias("value"), F.lit(0.0).alias("logp"))
     )
-    asked = blocks.mapInArrow(ask(shards, False), MESSAGE_DDL).unionByName(pairs.where(F.col("kind") == GAINS))
-    of_words = stored(asked.repartition(shards, "target").groupBy("target").applyInArrow(count_words, MESSAGE_DDL), "words")
-    answers = [
-        m.where(F.col("kind") == ANSWERS).select(F.col("target").alias("block"), F.lit(step).alias("step"), "sender", "c")
-        for step, m in enumerate((pairs, of_words))
-    ]
-    return blocks.groupBy("block").cogroup(answers[0].unionByName(answers[1]).groupBy("block")).applyInArrow(
-        score_block(shards, _total(pairs), _total(of_words)), "doc_id long, lang string, flag int, n_symbols long, perplexity double, fresh double"
+    scored = payload.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        score_block, "doc_id long, lang string, flag int, n_symbols long, logp double, share double"
     )
+    full = F.col("n_symbols") > 0
+    perplexity = F.when(full, F.round(F.exp(-F.col("logp") / F.col("n_symbols")), 6))
+    return scored.select("doc_id", "lang", "flag", "n_symbols", perplexity.alias("perplexity"), F.when(full, F.round("share", 9)).alias("fresh"))
 
 
 def judge(docs: DataFrame, trusted: DataFrame) -> DataFrame:

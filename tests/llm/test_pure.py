@@ -128,36 +128,22 @@ def test_pruning_keeps_what_is_similar():
     assert not near_dedup.alive(left, np.where(rng.random(left.shape) < 0.3, left, left + 1), bounds).any()
 
 
+def test_kneser_ney_windows():
+    keys, sizes = kneser_ney.grams(*textnum.code_points(*columns(["ab", "", "é1", "漢\t😀"])))
+    assert sizes.tolist() == [2, 0, 2, 3] and len(keys) == 7 and keys[0] == ord("a") + 1
+    assert keys[-1] == ((ord("漢") + 1) << 42) | (33 << 21) | (ord("😀") + 1)
+
+
 def test_kneser_ney_words():
     values = ["Ab ab, AB12 345", "", " \n", "naïve ÉTÉ", "e\u0301t e\u0301t", "漢字漢", "a|b|", "ภาษา x", "x😀😀"]
-    found, sizes = kneser_ney.words(*columns(values))
-    assert sizes.tolist() == [6, 0, 0, 2, 2, 3, 4, 5, 3]
-    first = dict(enumerate(np.split(found, np.cumsum(sizes)[:-1])))
-    assert first[0][0] == first[0][1] == first[0][3] != first[0][4] and first[4][0] == first[4][1] and first[5][0] == first[5][2] != first[5][1]
-    assert first[6][1] == first[6][3] and first[8][1] == first[8][2] and len(set(found.tolist())) == 17
-    same, _ = kneser_ney.words(*columns(["7 12", "3 98"]))
-    assert same[0] == same[2] and same[1] == same[3] and same[0] != same[1]
-    rng = np.random.default_rng(0)
-    for size in (0, 1, 1000):
-        numbers = rng.integers(0, 1 << 63, size).astype(np.uint64)
-        assert (kneser_ney.unpack(kneser_ney.pack(numbers)) == numbers).all()
-        assert (kneser_ney.unpack(kneser_ney.pack(numbers, True), True) == numbers).all()
-
-
-def test_kneser_ney_probabilities_add_up():
-    rng = np.random.default_rng(2)
-    table = rng.integers(0, 6, (40, 40)) * (rng.random((40, 40)) < 0.3)  # counts, context by word
-    table[7] = 0
-    follows = (table > 0).sum(axis=0)
-    sums = [np.array([*[(v == k).sum() for k in (1, 2, 3, 4)], v.sum(), len(v)]) for v in (table[table > 0], follows[follows > 0])]
-    for context in (0, 7, 39):
-        own = table[context]
-        gains = np.array([0, own.sum(), *[(own == k).sum() for k in (1, 2)], (own > 2).sum()])
-        words = np.zeros((5, 41), np.int64)
-        words[0, :40] = follows  # the last stands for all words that training lacks
-        p = kneser_ney.probabilities(np.append(own, 0), np.repeat(gains[:, None], 41, axis=1), words, *sums)
-        known = np.append(follows > 0, True)
-        assert abs(p[known].sum() - 1) < 1e-9 and (p > 0).all()
+    found, _, first = kneser_ney.words(*textnum.code_points(*columns(values)))
+    assert np.diff(first).tolist() == [6, 0, 0, 2, 2, 3, 4, 5, 3]
+    of = dict(enumerate(np.split(found, first[1:-1])))
+    assert of[0][0] == of[0][1] == of[0][3] != of[0][4] and of[4][0] == of[4][1] and of[5][0] == of[5][2] != of[5][1]
+    assert of[6][1] == of[6][3] and of[8][1] == of[8][2] and len(set(found.tolist())) == 17
+    points, bounds = textnum.code_points(*columns(["a b a b a b", "a b", "", " ", "x", "a b c d"]))
+    share = kneser_ney.fresh_share(points, bounds, np.ones(len(points)))
+    assert np.allclose(share, [6 / 11, 1, 1, 1, 1, 1])  # the pairs "- a", "a b" and "b a"
 
 
 def test_language_model_is_sparse_and_calibrated():
