@@ -24,34 +24,56 @@ from chatterlens.session import durable, staging_path
 FULL_VOCABULARY = {"min_df": 5, "max_features": 50_000, "sublinear": False}
 SAMPLE_VOCABULARY = {"min_df": 10, "max_features": 25_000, "sublinear": True}
 WORD = r"(?U)\b\w\w+\b"
+ASCII_WORD = r"\w\w+"
 # Distinct terms of a run of counts, rows of it that are written at once, and places in its summary.
 RUN_TERMS, RUN_BATCH, SUMMARY_TERMS = 1 << 20, 1 << 16, 1 << 17
+# Words that are looked up inside the row, from the plan.
+MARKED_WORDS = 2_000
 
 
 def word_tokens(text: Column) -> Column:
-    """Lower-case tokens of two or more word characters."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    """Lower-case tokens of two or more word characters; in plain ASCII the short pattern finds the same ones."""
 
+    def found(whole: Column) -> Column:
+        plain = F.octet_length(whole) == F.length(whole)
+        short, full = (F.regexp_extract_all(whole, F.lit(p), F.lit(0)) for p in (ASCII_WORD, WORD))
+        return F.when(plain, short).otherwise(full)
 
-def ngrams_1_2(tokens: Column) -> Column:
-    """The tokens, then each pair of neighbours joined by a space."""
+    return let(F.lower(F.coalesce(text, F.lit(""))), found)
 
-    def both(words: Column) -> Column:
-        pairs = F.greatest(F.size(words) - 1, F.lit(0))
-        joined = F.zip_with(
-            F.slice(words, F.lit(1), pairs),
-            F.slice(words, F.lit(2), pairs),
-            lambda a, b: F.concat(a, F.lit(" "), b),
-        )
-        return F.concat(words, joined)
 
-    return let(tokens, both)
+def _pairs(words: Column) -> Column:
+    """Each pair of neighbours joined by a space; NULL where one of the two is."""
+    pairs = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(
+        F.slice(words, F.lit(1), pairs), F.slice(words, F.lit(2), pairs), lambda a, b: F.concat(a, F.lit(" "), b)
+    )
+
+
+def ngrams_1_2(tokens: Column) -> Column:
+    """The tokens, then each pair of neighbours joined by a space."""
+    return let(tokens, lambda words: F.concat(words, _pairs(words)))
 
 
 def terms(text: Column) -> Column:
     return ngrams_1_2(word_tokens(text))
 
 
+def _marked(tokens: Column, words: list[str]) -> Column:
+    """The tokens with NULL in the place of all but some ``words``."""
+    return F.transform(tokens, lambda w: F.when(w.isin(words), w))
+
+
+def pairs_of(tokens: Column, words: list[str]) -> Column:
+    """The pairs of neighbours that are both among ``words``."""
+    return F.array_compact(let(_marked(tokens, words), _pairs))
+
+
+def terms_of(tokens: Column, words: list[str]) -> Column:
+    """The terms of the tokens that are made of ``words`` only."""
+    return F.array_compact(ngrams_1_2(_marked(tokens, words)))
+
+
 def term_counts(found: Column) -> Column:
     """Distinct terms of one document with their counts, from the runs of the sorted list.
 
@@ -159,8 +181,12 @@ def _term_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def term_runs(documents: DataFrame, text: str = "cleaned_body") -> DataFrame:
     """``run, place, term, cf, df``: counts combined where the texts lie; nothing is shuffled. Stored: the one pass over the texts."""
+    return _runs_of(documents, terms(F.col(text)))
+
+
+def _runs_of(documents: DataFrame, found: Column) -> DataFrame:
     path = staging_path(documents.sparkSession, "term-runs")
-    counted = documents.select(F.explode(term_counts(terms(F.col(text)))).alias("_t")).select("_t.term", "_t.tf")
+    counted = documents.select(F.explode(term_counts(found)).alias("_t")).select("_t.term", "_t.tf")
     counted.mapInArrow(_term_runs, _RUN_SCHEMA).write.parquet(path)
     return documents.sparkSession.read.schema(_RUN_SCHEMA).parquet(path)
 
@@ -187,9 +213,32 @@ def heavy_terms(runs: DataFrame, k: int, min_df: int = 1, summary: int | None =
     return counted.filter(F.col("df") >= min_df)
 
 
+def _list_counts(lists: DataFrame, found: Column) -> DataFrame:
+    """``term, cf, df`` over lists of terms: a term is new to its document where its neighbour in the sorted list is another."""
+    ordered = lists.select(F.sort_array(found).alias("_s"))
+    placed = ordered.select("_s", F.posexplode_outer("_s").alias("_i", "term")).filter("term IS NOT NULL")
+    fresh = (F.col("_i") == 0) | (F.get("_s", F.col("_i") - 1) != F.col("term"))
+    return placed.groupBy("term").agg(F.count("*").alias("cf"), F.count_if(fresh).alias("df"))
+
+
 def most_frequent_terms(documents: DataFrame, k: int, min_df: int = 1, text: str = "cleaned_body") -> DataFrame:
-    """``term, cf, df`` of the ``k`` most frequent terms in at least ``min_df`` documents, ties by term."""
-    return top_terms(durable(heavy_terms(term_runs(documents, text), k, min_df)), k)
+    """``term, cf, df`` of the ``k`` most frequent terms in at least ``min_df`` documents, ties by term.
+
+    The texts are cut into words once and the words are counted first. The k-th count among them is a floor of the k-th
+    count of all terms, and a pair is never more frequent than either of its words, so only pairs of words that reach
+    the floor are counted. When too many words reach it, or there are fewer than ``k``, all terms are counted in runs.
+    """
+    path = staging_path(documents.sparkSession, "words")
+    documents.select(word_tokens(F.col(text)).alias("_words")).write.parquet(path)
+    lists, words = documents.sparkSession.read.schema("_words array<string>").parquet(path), F.col("_words")
+    counted = durable(_list_counts(lists, words))
+    floor = kth_largest(counted.filter(F.col("df") >= min_df), "cf", k)
+    reached = counted.filter(F.col("cf") >= floor[0]) if floor else counted.limit(0)
+    marked = [r.term for r in reached.select("term").limit(MARKED_WORDS + 1).collect()]
+    if not 0 < len(marked) <= MARKED_WORDS:
+        return top_terms(durable(heavy_terms(_runs_of(lists, ngrams_1_2(words)), k, min_df)), k)
+    pairs = _list_counts(lists, pairs_of(words, marked))
+    return top_terms(durable(reached.unionByName(pairs).filter(F.col("df") >= min_df)), k)
 
 
 def fit_vocabulary(
@@ -254,11 +303,16 @@ class Vectorizer:
         counter = CountVectorizerModel.from_vocabulary(self.vocabulary, "_terms", "_counts")
         weigher = ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol="_counts", outputCol="_weighted")
         scaler = Normalizer(p=2.0, inputCol="_weighted", outputCol=output)
-        counted = counter.transform(documents.withColumn("_terms", terms(F.col(text))))
+        counted = counter.transform(documents.withColumn("_terms", self._known_terms(text)))
         if self.sublinear:
             counted = counted.withColumn("_counts", damped(F.col("_counts")))
         return scaler.transform(weigher.transform(counted)).drop("_terms", "_counts", "_weighted")
 
+    def _known_terms(self, text: str) -> Column:
+        """The terms of a text, without those that hold a word of no term of the vocabulary, where its words are few."""
+        words = sorted({w for term in self.vocabulary for w in term.split(" ")})
+        return terms_of(word_tokens(F.col(text)), words) if 0 < len(words) <= MARKED_WORDS else terms(F.col(text))
+
     def save(self, spark: SparkSession, path: str) -> None:
         rows = list(zip(range(len(self.idf)), self.vocabulary, self.idf))
         table = spark.createDataFrame(rows, "idx int, term string, idf double")

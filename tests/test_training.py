@@ -162,3 +162,31 @@ def test_term_counts(spark):
     row = spark.createDataFrame([("b a b",), ("",)], "t string")
     got = [r.c for r in row.select(E.term_counts(F.split("t", " ")).alias("c")).collect()]
     assert [(e.term, e.tf) for e in got[0]] == [("a", 1), ("b", 2)]
+
+
+def _texts_with_ties(spark):
+    words = [f"w{int(i ** 0.5)}x" for i in range(60)]
+    rows = [(" ".join(words[(i * 7 + j * j) % (i % 50 + 10)] for j in range(12)),) for i in range(300)]
+    return spark.createDataFrame([*rows, (None,), ("",), ("ÉTÉ été a İx éa",)], "cleaned_body string").repartition(6).persist()
+
+
+@pytest.mark.parametrize("k, marked", [(1, 2000), (5, 2000), (7, 2000), (7, 3), (60, 2000)])
+def test_most_frequent_terms_by_pairs_of_frequent_words(spark, monkeypatch, k, marked):
+    """The plain answer; pairs are counted in the row and no run of terms is gathered in Python unless too many words are frequent."""
+    docs = _texts_with_ties(spark)
+    plain = E.term_stats(docs).filter("df >= 3").orderBy(F.desc("cf"), "term").limit(k).collect()
+    monkeypatch.setattr(E, "MARKED_WORDS", marked)
+    if k < 60 and marked > 3:
+        monkeypatch.setattr(E, "heavy_terms", None)
+    found = E.most_frequent_terms(docs, k, 3).select("term", "cf", "df").collect()
+    assert sorted(map(tuple, found)) == sorted((r.term, r.cf, r.df) for r in plain)
+
+
+def test_vector_of_few_words_equals_vector_of_all_terms(spark, monkeypatch):
+    docs = _texts_with_ties(spark)
+    vectorizer = E.Vectorizer(["w1x", "w3x", "w2x w5x", "été", "éa"], [1.0, 2.0, 0.5, 1.5, 1.0])
+    few = docs.select("cleaned_body", E.terms_of(E.word_tokens(F.col("cleaned_body")), ["été"]).alias("t"))
+    assert {tuple(r.t) for r in few.collect()} == {(), ("été", "été", "été été")}
+    short = vectorizer.transform(docs).orderBy("cleaned_body").collect()
+    monkeypatch.setattr(E, "MARKED_WORDS", 0)
+    assert short == vectorizer.transform(docs).orderBy("cleaned_body").collect()
