@@ -136,6 +136,18 @@ def alive(left: np.ndarray, right: np.ndarray, bounds: list[tuple[int, int]]) ->
     return out
 
 
+def survivors(sig: np.ndarray, i: int, other: np.ndarray, bounds: list[tuple[int, int]]) -> np.ndarray:
+    """Which of the rows ``other`` survive all batches against row ``i``; only the values of a batch are gathered."""
+    equal, done = np.zeros(len(other), np.int64), 0
+    for n, least in bounds:
+        if not len(other):
+            break
+        equal = equal + (sig[other, done:n] == sig[i, done:n]).sum(axis=1)
+        keep = equal >= least
+        other, equal, done = other[keep], equal[keep], n
+    return other
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """100 * intersection >= percent * union, on sorted distinct sets."""
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
@@ -177,7 +189,7 @@ def _candidates_in_block(bounds):
         hit = np.zeros(len(pdf), bool)
         for i in left:
             other = right[comp[right] != comp[i]]
-            good = other[alive(sig[np.full(len(other), i)], sig[other], bounds)]
+            good = survivors(sig, i, other, bounds)
             hit[good] = True
             hit[i] |= len(good) > 0
         return pdf.loc[hit, ["key", "bi", "bj", "side", "node", "component", "signature"]]
@@ -197,7 +209,7 @@ def _links_in_block(bounds, percent):
         found = []
         for i in left:
             other = right[comp[right] != comp[i]]
-            for j in other[alive(sig[np.full(len(other), i)], sig[other], bounds)]:
+            for j in survivors(sig, i, other, bounds):
                 if comp[i] != comp[j] and linked(sets[i], sets[j], percent):
                     found.append((node[i], node[j]))
                     comp[comp == comp[j]] = comp[i]

@@ -222,3 +222,14 @@ def test_sufficient_entries_are_all_that_reach_the_cutoff(monkeypatch, sparse):
         assert (rows == want[0]).all() and (places == want[1]).all() and (scores == full[want]).all()
     with pytest.raises(OverflowError):
         topk.partial_scores(np.array([[1 << 40]]), np.array([[1 << 40]]))
+
+
+def test_survivors_equal_rowwise_batches():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 256, near_dedup.HASHES, dtype=np.uint8)
+    sig = np.where(rng.random((60, near_dedup.HASHES)) < np.linspace(0, 0.5, 60)[:, None], rng.integers(0, 256, (60, near_dedup.HASHES)), base).astype(np.uint8)
+    bounds = near_dedup.least_matches(0.8)
+    for i, other in ((0, np.arange(1, 60)), (30, np.arange(0, 60, 3)), (5, np.zeros(0, np.int64))):
+        wanted = other[near_dedup.alive(sig[np.full(len(other), i)], sig[other], bounds)]
+        assert near_dedup.survivors(sig, i, other, bounds).tolist() == wanted.tolist()
+    assert 0 < len(near_dedup.survivors(sig, 0, np.arange(1, 60), bounds)) < 59
