@@ -317,7 +317,7 @@ def _train_on_chunks(spark, sf_dir):
 
     Terms and controversiality are the features; only the chunks asked for are read back.
     """
-    comments = D.cleaned(spark, sf_dir).select("id", "created_utc", "cleaned_body", "label", "controversiality")
+    comments = durable(D.cleaned(spark, sf_dir).select("id", "created_utc", "cleaned_body", "label", "controversiality"))
     chunked = Q.row_chunks(comments, KQ.arrival_order(), PART_ROWS)
     vectors = E.Vectorizer.fit(chunked, MIN_DF, MAX_FEATURES).transform(chunked)
     whole = E.assemble_features(vectors, ["features", "controversiality"], "all_features")

@@ -94,7 +94,7 @@ def _meta_chunks(spark, sf_dir):
     SELECT id, chunk_id, idx, round(weight, 6) AS weight FROM tfidf JOIN numbered USING (id)""")
 def _feature_chunks(spark, sf_dir):
     path = _folder(spark, "features")
-    texts = D.cleaned(spark, sf_dir).select("id", "created_utc", "cleaned_body")
+    texts = durable(D.cleaned(spark, sf_dir).select("id", "created_utc", "cleaned_body"))  # read by the fit and by the transform
     chunked = Q.row_chunks(texts, KQ.arrival_order(), 250)
     vectors = E.Vectorizer.fit(texts, FQ.MIN_DF, FQ.MAX_FEATURES).transform(chunked)
     files.write_chunks(vectors.select("id", "features", "chunk_id"), path)

@@ -73,8 +73,12 @@ def read_text_lines(spark: SparkSession, path: str, column: str = "cleaned_body"
 
 
 def write_chunks(chunked: DataFrame, path: str) -> None:
-    """One folder per chunk, so that choosing chunks prunes the read."""
-    chunked.write.partitionBy("chunk_id").parquet(path)
+    """One folder per chunk, so that choosing chunks prunes the read.
+
+    Rows of a chunk are brought together first, large chunks in several parts, so there are about as many files as chunks and not
+    one for each chunk in every task.
+    """
+    chunked.hint("rebalance", "chunk_id").write.partitionBy("chunk_id").parquet(path)
 
 
 def read_chunks(spark: SparkSession, path: str, chunk_ids: list[int] | None = None) -> DataFrame:

@@ -177,3 +177,11 @@ def test_session_state_stream(spark, tmp_path):
 
         live = latest_session_per_user(state.read()).count()
         assert live == (0 if actions == "stop" else 1)
+
+
+def test_chunks_lie_in_few_files(spark, folder):
+    """Rows of every chunk in every task end in about one file a chunk."""
+    rows = spark.range(4000).selectExpr("id", "id % 40 AS chunk_id").repartition(8)
+    files.write_chunks(rows, folder("chunks"))
+    read = files.read_chunks(spark, folder("chunks"))
+    assert len(read.inputFiles()) <= 48 and sorted(r.id for r in read.select("id").collect()) == list(range(4000))
