@@ -25,6 +25,8 @@ FORUM_MENTION = r"(?U)/?r/\w+"
 URL = r"(?U)http[^\s\x1c-\x1f]+|www.[^\s\x1c-\x1f]+"
 NOT_ALNUM = r"(?U)[^a-zA-Z0-9\s\x1c-\x1f]"
 SPACES = r"(?U)[\s\x1c-\x1f]+"
+# Runs of white space other than a lone space.
+OTHER_SPACES = r"(?U)[\s\x1c-\x1f&&[^ ]][\s\x1c-\x1f]*| [\s\x1c-\x1f]+"
 # The word tokenizer parts these six words in two.
 CONTRACTIONS = r"\b(?:(can)(not)|(gim|lem)(me)|(gon|wan)(na)|(got)(ta))\b"
 PARTED = "$1$3$5$7 $2$4$6$8"
@@ -79,7 +81,7 @@ def strip_space(text: Column) -> Column:
 
 def split_words(text: Column) -> Column:
     """Words between white space; no empty entries."""
-    return F.filter(F.split(text, SPACES), lambda w: w != "")
+    return F.array_remove(F.split(text, SPACES), "")
 
 
 def lowercase(text: Column) -> Column:
@@ -224,7 +226,7 @@ def strip_non_alnum(text: Column) -> Column:
 
 
 def collapse_whitespace(text: Column) -> Column:
-    return strip_space(F.regexp_replace(text, SPACES, " "))
+    return strip_space(F.regexp_replace(text, OTHER_SPACES, " "))
 
 
 def tokenize_words(text: Column) -> Column:
