@@ -8,9 +8,10 @@
    prior, P(similarity >= t | m, n) = P(Binomial(n + 1, t) <= m); the pair is pruned once that falls
    below ``MISS``. Survivors are confirmed on the full shingle sets.
 4. What is still in several components within one bucket is compared in blocks of ``BLOCK`` members
-   (only block pairs that hold more than one component), by the same signature test. Members with a
-   surviving partner get their full sets, and each block confirms a link only while the two sides are not
-   yet connected. A block thus returns a spanning forest, never its pairs.
+   (only block pairs that hold more than one component), by the same signature test. A pair counts only in
+   the first bucket both share: near copies meet in many of the ``BANDS``. Members with a surviving partner
+   get their full sets, and a link is confirmed only while its two sides are not yet connected. Block pairs
+   are dealt over tasks by counted rows, pairs and shingles; a task returns a spanning forest, never its pairs.
 
 Two texts that meet the similarity share no bucket with probability (1 - t^ROWS)^BANDS, 5e-7 at t = 0.8.
 
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from chatterlens.llm import textnum
@@ -40,6 +41,9 @@ HASHES = BANDS * ROWS
 BATCH = 48
 MISS = 1e-7
 BLOCK = 256
+BLOCK_PAIR = ["key", "bi", "bj"]
+PAIRS = 1 << 15
+BIN_ROWS, BIN_PAIRS, BIN_VALUES = 1 << 12, 1 << 21, 1 << 20
 
 _random = np.random.Generator(np.random.PCG64(20240607))
 MULTIPLY = _random.integers(1, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -136,16 +140,63 @@ def alive(left: np.ndarray, right: np.ndarray, bounds: list[tuple[int, int]]) ->
     return out
 
 
-def survivors(sig: np.ndarray, i: int, other: np.ndarray, bounds: list[tuple[int, int]]) -> np.ndarray:
-    """Which of the rows ``other`` survive all batches against row ``i``; only the values of a batch are gathered."""
-    equal, done = np.zeros(len(other), np.int64), 0
+def surviving(sig: np.ndarray, i: np.ndarray, j: np.ndarray, bounds: list[tuple[int, int]]) -> np.ndarray:
+    """Places of the pairs of rows ``(i, j)`` that survive all batches; only the values of a batch are gathered."""
+    at, equal, done = np.arange(len(i)), np.zeros(len(i), np.int64), 0
     for n, least in bounds:
-        if not len(other):
+        if not len(at):
             break
-        equal = equal + (sig[other, done:n] == sig[i, done:n]).sum(axis=1)
+        equal = equal + (sig[i[at], done:n] == sig[j[at], done:n]).sum(axis=1)
         keep = equal >= least
-        other, equal, done = other[keep], equal[keep], n
-    return other
+        at, equal, done = at[keep], equal[keep], n
+    return at
+
+
+def survivors(sig: np.ndarray, i: int, other: np.ndarray, bounds: list[tuple[int, int]]) -> np.ndarray:
+    """Which of the rows ``other`` survive all batches against row ``i``."""
+    return other[surviving(sig, np.full(len(other), i), other, bounds)]
+
+
+def block_pairs(begins: np.ndarray, side: np.ndarray, limit: int = PAIRS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of a block, about ``limit`` at a time: both sides of a block with two, else each two of its rows.
+
+    Rows lie block by block, side 0 first; ``begins`` holds the first row of each block.
+    """
+    n = len(side)
+    sizes = np.diff(np.append(begins, n))
+    ones = np.add.reduceat(side, begins)
+    row, end = np.arange(n), np.repeat(begins + sizes, sizes)
+    start = np.where(np.repeat(ones, sizes) > 0, end - np.repeat(ones, sizes), row + 1)
+    total = np.cumsum(np.where(side == 0, end - start, 0))
+    at = done = 0
+    while at < n:
+        stop = max(at + 1, int(np.searchsorted(total, done + limit, "right")))
+        count = np.diff(total[at:stop], prepend=done)
+        i = np.repeat(row[at:stop], count)
+        j = np.arange(done, total[stop - 1]) - np.repeat(total[at:stop] - count - start[at:stop], count)
+        yield i, j
+        at, done = stop, total[stop - 1]
+
+
+def pairs_to_confirm(pdf, bounds: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of different components that survive the signature test, in the first bucket both share.
+
+    ``pdf`` holds whole block pairs, in order of ``BLOCK_PAIR`` and side.
+    """
+    if not len(pdf):
+        return
+    sig, bands = matrix(pdf["signature"]), np.concatenate(pdf["bands"].to_numpy()).reshape(-1, BANDS)
+    comp, side = pdf["component"].to_numpy(), pdf["side"].to_numpy(np.int64)
+    at = pdf[BLOCK_PAIR].to_numpy()
+    begins = np.flatnonzero(np.append(True, (at[1:] != at[:-1]).any(axis=1)))
+    for i, j in block_pairs(begins, side):
+        other = comp[i] != comp[j]
+        i, j = i[other], j[other]
+        good = surviving(sig, i, j, bounds)
+        i, j = i[good], j[good]
+        first = (bands[i] == bands[j]).argmax(axis=1)
+        here = bands[i, first] == at[i, 0]
+        yield i[here], j[here]
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -179,45 +230,51 @@ def _confirm(percent):
     return run
 
 
-def _candidates_in_block(bounds):
-    """Rows of a block pair that have a partner of another component which survives the signature test."""
+def _candidates(bounds):
+    """Rows that have a pair to confirm in their block pair."""
 
     def run(pdf):
-        sig, comp = matrix(pdf["signature"]), pdf["component"].to_numpy()
-        left = np.flatnonzero((pdf["side"] == 0).to_numpy())
-        right = np.flatnonzero((pdf["side"] == 1).to_numpy()) if (pdf["side"] == 1).any() else left
+        pdf = pdf.sort_values([*BLOCK_PAIR, "side"])
         hit = np.zeros(len(pdf), bool)
-        for i in left:
-            other = right[comp[right] != comp[i]]
-            good = survivors(sig, i, other, bounds)
-            hit[good] = True
-            hit[i] |= len(good) > 0
-        return pdf.loc[hit, ["key", "bi", "bj", "side", "node", "component", "signature"]]
+        for i, j in pairs_to_confirm(pdf, bounds):
+            hit[i] = hit[j] = True
+        return pdf.loc[hit].drop(columns="bin")
 
     return run
 
 
-def _links_in_block(bounds, percent):
-    """A spanning forest of the confirmed links between the components of a block pair."""
+def _links(bounds, percent):
+    """A spanning forest of the confirmed links between the components of some block pairs."""
 
     def run(pdf):
-        sig = matrix(pdf["signature"])
-        comp, node = pdf["component"].to_numpy().copy(), pdf["node"].to_numpy()
+        pdf = pdf.sort_values([*BLOCK_PAIR, "side"])
         sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
-        left = np.flatnonzero((pdf["side"] == 0).to_numpy())
-        right = np.flatnonzero((pdf["side"] == 1).to_numpy()) if (pdf["side"] == 1).any() else left
-        found = []
-        for i in left:
-            other = right[comp[right] != comp[i]]
-            for j in survivors(sig, i, other, bounds):
-                if comp[i] != comp[j] and linked(sets[i], sets[j], percent):
+        node, comp = pdf["node"].to_numpy(), pdf["component"].tolist()
+        joined, found = {}, []
+
+        def root(c):
+            while c != (up := joined.get(c, c)):
+                joined[c] = joined.get(up, up)
+                c = up
+            return c
+
+        for left, right in pairs_to_confirm(pdf, bounds):
+            for i, j in zip(left.tolist(), right.tolist()):
+                a, b = root(comp[i]), root(comp[j])
+                if a != b and linked(sets[i], sets[j], percent):
                     found.append((node[i], node[j]))
-                    comp[comp == comp[j]] = comp[i]
+                    joined[max(a, b)] = min(a, b)
         return type(pdf)(found, columns=["a", "b"]).astype("int64")
 
     return run
 
 
+def _dealt(blocks: DataFrame, bins: float | None) -> GroupedData:
+    """Whole block pairs dealt over so many groups, each a task's share, since most are too small for a call of their own."""
+    count = max(1, math.ceil(bins or 0))
+    return blocks.withColumn("bin", F.pmod(F.xxhash64(*BLOCK_PAIR), F.lit(count))).repartition(count, "bin").groupBy("bin")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs(doc_id, text)``.
 
@@ -231,7 +288,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     classes = stored(classes, "classes")
 
     firsts = signed.join(classes.hint("shuffle_hash"), (signed.digest == classes.digest) & (signed.doc_id == classes.node), "left_semi")
-    firsts = stored(firsts.select(F.col("doc_id").alias("node"), "bands", "signature"), "firsts")
+    firsts = stored(firsts.select(F.col("doc_id").alias("node"), "n_shingles", "bands", "signature"), "firsts")
     banded = firsts.select("node", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     members = stored(banded.join(buckets, "key"), "members")
@@ -296,15 +353,20 @@ def _sweep(open_members: DataFrame, firsts: DataFrame, sets: DataFrame, bounds,
     own = F.xxhash64("component", F.pmod(F.xxhash64("node"), F.ceil(F.col("_n") / BLOCK)))
     shared = F.pmod(F.xxhash64("component"), F.greatest("_groups", F.lit(1)))
     ranked = stored(placed.select("key", "node", "component", F.when(F.col("_n") > BLOCK, own).otherwise(shared).alias("block")), "ranked")
-    blocks = ranked.groupBy("key", "block").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-    left = blocks.select("key", F.col("block").alias("bi"), F.col("c0").alias("l0"), F.col("c1").alias("l1"))
-    right = blocks.select("key", F.col("block").alias("bj"), F.col("c0").alias("r0"), F.col("c1").alias("r1"))
-    mixed = left.join(right, "key").where("bi <= bj AND NOT (l0 = l1 AND r0 = r1 AND l0 = r0)").select("key", "bi", "bj")
+    blocks = ranked.groupBy("key", "block").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("_n"))
+    left = blocks.select("key", F.col("block").alias("bi"), F.col("c0").alias("l0"), F.col("c1").alias("l1"), F.col("_n").alias("ln"))
+    right = blocks.select("key", F.col("block").alias("bj"), F.col("c0").alias("r0"), F.col("c1").alias("r1"), F.col("_n").alias("rn"))
+    mixed = left.join(right, "key").where("bi <= bj AND NOT (l0 = l1 AND r0 = r1 AND l0 = r0)")
+    mixed = stored(mixed.select(*BLOCK_PAIR, "ln", "rn"), "mixed")
+    work = F.sum(F.greatest((F.col("ln") + F.col("rn")) / BIN_ROWS, F.col("ln") * F.col("rn") / BIN_PAIRS))
+    bins = mixed.agg(work).first()[0]
+    mixed = mixed.select(*BLOCK_PAIR)
     sides = ranked.join(mixed.withColumn("block", F.col("bi")), ["key", "block"]).withColumn("side", F.lit(0)).unionByName(
         ranked.join(mixed.where("bi < bj").withColumn("block", F.col("bj")), ["key", "block"]).withColumn("side", F.lit(1))
     )
-    group = ["key", "bi", "bj"]
-    fields = "key long, bi long, bj long, side int, node long, component long, signature binary"
-    sides = sides.join(firsts.select("node", "signature"), "node")
-    hits = stored(sides.groupBy(*group).applyInPandas(_candidates_in_block(bounds), fields), "hits")
-    return hits.join(sets, "node").groupBy(*group).applyInPandas(_links_in_block(bounds, percent), "a long, b long")
+    sides = sides.drop("block").join(firsts, "node")
+    fields = [*BLOCK_PAIR, "side", "node", "component", "n_shingles", "signature", "bands"]
+    sides = sides.select(*fields)
+    hits = stored(_dealt(sides, bins).applyInPandas(_candidates(bounds), sides.schema), "hits")
+    bins = hits.agg(F.sum(1 / F.lit(BIN_ROWS) + F.col("n_shingles") / BIN_VALUES)).first()[0]
+    return _dealt(hits.join(sets, "node"), bins).applyInPandas(_links(bounds, percent), "a long, b long")

@@ -233,3 +233,18 @@ def test_survivors_equal_rowwise_batches():
         wanted = other[near_dedup.alive(sig[np.full(len(other), i)], sig[other], bounds)]
         assert near_dedup.survivors(sig, i, other, bounds).tolist() == wanted.tolist()
     assert 0 < len(near_dedup.survivors(sig, 0, np.arange(1, 60), bounds)) < 59
+
+
+@pytest.mark.parametrize("limit", [1, 7, 1 << 15])
+def test_block_pairs_gives_each_pair_once(limit):
+    rng = np.random.default_rng(9)
+    sides = [np.sort(rng.integers(0, rng.integers(1, 3), n)) for n in rng.integers(1, 9, 40)]
+    sides = [np.zeros_like(s) if s.all() else s for s in sides]
+    begins = np.cumsum([0, *map(len, sides)])[:-1]
+    wanted = []
+    for at, s in zip(begins.tolist(), sides):
+        pairs = [(a, b) for a in range(len(s)) for b in range(a + 1, len(s)) if not s.any() or s[a] < s[b]]
+        wanted += [(at + a, at + b) for a, b in pairs]
+    found = [list(zip(i.tolist(), j.tolist())) for i, j in near_dedup.block_pairs(begins, np.concatenate(sides), limit)]
+    assert sum(found, []) == wanted
+    assert max(map(len, found)) <= max(limit, 8)

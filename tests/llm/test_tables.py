@@ -68,6 +68,31 @@ def test_near_duplicates(spark, odd, none, monkeypatch, block):
     assert near_dedup.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_test_a_pair_in_one_bucket_only(spark, monkeypatch):
+    """Texts that share many buckets but are below the similarity: no pair is taken to its full sets twice."""
+    kept, rows = {}, []
+
+    def stored(df, name, store=near_dedup.stored):
+        kept.setdefault(name, []).append(store(df, name))
+        return kept[name][-1]
+
+    monkeypatch.setattr(near_dedup, "stored", stored)
+    for group in range(20):
+        base = [f"g{group}w{i}" for i in range(60)]
+        for copy in range(6):
+            words = base[:]
+            for i in range(2):
+                words[7 * copy + 2 * i] = f"g{group}c{copy}i{i}"
+            rows.append((6 * group + copy, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dedup.near_duplicates(docs, shingle=2, percent=80).collect()
+    assert len(found) == 120 and all(r.kept and r.component_id == r.doc_id for r in found)
+    hits = kept["hits"][0].groupBy("key", "bi", "bj").agg(F.collect_set("node").alias("nodes")).collect()
+    assert len(hits) > 1
+    pairs = 20 * 15
+    assert sum(len(h.nodes) for h in hits) <= 2 * pairs
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
