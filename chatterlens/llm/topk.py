@@ -3,6 +3,8 @@
 A vector's components are dealt into ``SLICES`` slices, so a score is the sum of that many partial scores, one per list.
 Candidates and queries lie in blocks; a task meets one block of each at a time. Blocks of candidates are dealt into slices of
 ``SPREAD`` blocks and move once a pass; the query blocks, one in so many rows, are repeated per slice. So tasks grow with the candidates.
+The repeated query blocks stream through a merge join that holds the candidates of one slice; they are never broadcast, since Spark
+sizes them by the table before it is repeated.
 
 1. Every list of a block names its k best entries per query; their scores are resolved, and the k-th best resolved
    score over all blocks is a safe cutoff (a lower bound of the true k-th best).
@@ -14,8 +16,8 @@ Candidates and queries lie in blocks; a task meets one block of each at a time.
 In phases 2 and 3 the first list is computed whole. A later list is computed only for entries that an earlier one handed over, and for
 those whose norms (Cauchy and Schwarz) allow it the uniform threshold and the cutoff.
 
-Scores are integers. Partial products run in doubles while every sum stays below 2^53, else in 64-bit integers; components whose
-sums could reach 2^63 raise an error instead of wrapping round.
+Scores are integers. Partial products run in floats while every sum stays below 2^24, in doubles below 2^53, else in 64-bit integers;
+components whose sums could reach 2^63 raise an error instead of wrapping round. Blocks are stored in the narrowest integers that hold them.
 
 Defined results: vectors that are null or hold a null or non-finite component take no part; vectors of
 another length count as padded with zeros; empty vectors score 0. A query never meets rows of its own id. A repeated id
@@ -60,7 +62,9 @@ def _pack(ids: list, vectors: list) -> tuple[bytes, int, bytes]:
     out = np.zeros((len(vectors), width), np.int64)
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
-    return np.array(ids, np.int64).tobytes(), width, out.tobytes()
+    low, high = int(out.min(initial=0)), int(out.max(initial=0))
+    kind = next(k for k in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(k).min <= low and high <= np.iinfo(k).max)
+    return np.array(ids, np.int64).tobytes(), width, out.astype(kind).tobytes()
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,8 +89,10 @@ def _query_block(table: pa.Table) -> pa.Table:
 
 def _unpack(row, prefix: str, width: int) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(row[f"{prefix}ids"], np.int64)
-    vectors = np.frombuffer(row[f"{prefix}vectors"], np.int64).reshape(len(ids), row[f"{prefix}width"])
-    return ids, np.pad(vectors, ((0, 0), (0, width - vectors.shape[1])))
+    own, packed = row[f"{prefix}width"], row[f"{prefix}vectors"]
+    kind = np.dtype(f"i{len(packed) // max(len(ids) * own, 1) or 8}")
+    vectors = np.frombuffer(packed, kind).reshape(len(ids), own).astype(np.int64)
+    return ids, np.pad(vectors, ((0, 0), (0, width - own)))
 
 
 def exact(q: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +100,7 @@ def exact(q: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     largest = int(np.abs(q).max(initial=0)) * int(np.abs(x).max(initial=0)) * max(q.shape[1], 1)
     if largest >= 1 << 63:
         raise OverflowError("inner products of these vectors may exceed 64 bits")
-    kind = np.float64 if largest < 1 << 53 else np.int64
+    kind = np.float32 if largest < 1 << 24 else np.float64 if largest < 1 << 53 else np.int64
     return q.astype(kind), x.astype(kind)
 
 
@@ -236,7 +242,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "v
     every_slice = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("slice")
     scored = "query_id long, vec_id long, score long"
 
-    named = dealt.join(queries.select("*", every_slice), "slice").mapInArrow(_local_lists(k), scored)
+    def met(asking: DataFrame) -> DataFrame:
+        return asking.select("*", every_slice).join(dealt.hint("merge"), "slice")
+
+    named = met(queries).mapInArrow(_local_lists(k), scored)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     kth = named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     cutoffs = kth.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("cutoff")).where(F.col("n") == k)
@@ -246,6 +255,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "v
             _with_cutoffs, "q_block long, q_ids binary, q_width int, q_vectors binary, cutoffs binary"
         ), "cutoffs",
     )
-    found = dealt.join(with_cutoffs.select("*", every_slice), "slice").mapInArrow(_sufficient(k), scored)
+    found = met(with_cutoffs).mapInArrow(_sufficient(k), scored)
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

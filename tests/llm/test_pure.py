@@ -224,6 +224,14 @@ def test_sufficient_entries_are_all_that_reach_the_cutoff(monkeypatch, sparse):
         topk.partial_scores(np.array([[1 << 40]]), np.array([[1 << 40]]))
 
 
+@pytest.mark.parametrize(("values", "size"), [([[1, -128], [127]], 1), ([[128]], 2), ([[-(1 << 31)], [3, 4]], 4), ([[1 << 40]], 8), ([[]], 1)])
+def test_vectors_in_narrow_integers(values, size):
+    ids, width, packed = topk._pack(list(range(len(values))), values)
+    assert len(packed) == size * width * len(values)
+    found = topk._unpack({"ids": ids, "width": width, "vectors": packed}, "", 3)[1]
+    assert found.dtype == np.int64 and found.tolist() == [v + [0] * (3 - len(v)) for v in values]
+
+
 def test_survivors_equal_rowwise_batches():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 256, near_dedup.HASHES, dtype=np.uint8)

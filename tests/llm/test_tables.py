@@ -381,6 +381,19 @@ def test_candidates_are_dealt_over_slices(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_repeated_queries_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes the query blocks by their stored table, though there is a copy for each slice."""
+    plans, store = [], topk.stored
+    for name, value in (("CANDIDATES", 10), ("SPREAD", 1)):
+        monkeypatch.setattr(topk, name, value)
+    monkeypatch.setattr(topk, "stored", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), store(df, name))[1])
+    table = spark.range(200).select(F.col("id").alias("vec_id"), F.array(F.rand(1), F.rand(2)).alias("embedding"))
+    found = topk.top_k(table, F.col("vec_id") % 20 == 0, 5)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) == 2 and not any("Broadcast" in p for p in plans)
+    assert found.count() == 50
+
+
 def test_chat(spark):
     rows = [(1, 1, "assistant", "a </s> \\ [INST]"), (1, 0, "user", None), (2, 0, "odd\nrole<|nl|>", "<|turn|>"), (2, 0, "odd\nrole<|nl|>", "<|turn|>"), (None, 0, None, "x")]
     table = spark.createDataFrame([(*r, "extra") for r in rows], "conv_id long, turn long, role string, text string, segment string")
