@@ -13,6 +13,9 @@
    get their full sets, and a link is confirmed only while its two sides are not yet connected. Block pairs
    are dealt over tasks by counted rows, pairs and shingles; a task returns a spanning forest, never its pairs.
 
+Bands, block pairs and hits are joined by merging: Spark sizes exploded bands by the unexploded table, and stored rows that repeat
+values by their compressed files, and would broadcast what exceeds the driver's memory.
+
 Two texts that meet the similarity share no bucket with probability (1 - t^ROWS)^BANDS, 5e-7 at t = 0.8.
 
 Defined results: null or empty texts and texts without words have an empty set and are linked with
@@ -44,6 +47,7 @@ BLOCK = 256
 BLOCK_PAIR = ["key", "bi", "bj"]
 PAIRS = 1 << 15
 BIN_ROWS, BIN_PAIRS, BIN_VALUES = 1 << 12, 1 << 21, 1 << 20
+HOT = 1 << 12
 
 _random = np.random.Generator(np.random.PCG64(20240607))
 MULTIPLY = _random.integers(1, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -291,7 +295,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     firsts = stored(firsts.select(F.col("doc_id").alias("node"), "n_shingles", "bands", "signature"), "firsts")
     banded = firsts.select("node", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = stored(banded.join(buckets, "key"), "members")
+    members = stored(banded.join(buckets.hint("merge"), "key"), "members")
     signatures = firsts.select("node", "signature")
     live = members.select("node").distinct()
     texts = docs.join(live.hint("shuffle_hash"), docs.doc_id == live.node, "left_semi")
@@ -349,7 +353,7 @@ def _sweep(open_members: DataFrame, firsts: DataFrame, sets: DataFrame, bounds,
     dealt = sizes.groupBy("key").agg(F.ceil(F.coalesce(F.sum(small), F.lit(0)) / BLOCK).alias("_groups"))
     sizes = sizes.join(dealt, "key").select("key", "component", "_n", "_groups")
     # a hot component of a bucket is dealt over blocks of its own, the small ones share blocks
-    placed = sized_join(open_members.select("key", "node", "component"), stored(sizes, "sizes"), ["key", "component"])
+    placed = sized_join(open_members.select("key", "node", "component"), stored(sizes, "sizes"), ["key", "component"], hot=F.col("_n") > HOT)
     own = F.xxhash64("component", F.pmod(F.xxhash64("node"), F.ceil(F.col("_n") / BLOCK)))
     shared = F.pmod(F.xxhash64("component"), F.greatest("_groups", F.lit(1)))
     ranked = stored(placed.select("key", "node", "component", F.when(F.col("_n") > BLOCK, own).otherwise(shared).alias("block")), "ranked")
@@ -361,12 +365,12 @@ def _sweep(open_members: DataFrame, firsts: DataFrame, sets: DataFrame, bounds,
     work = F.sum(F.greatest((F.col("ln") + F.col("rn")) / BIN_ROWS, F.col("ln") * F.col("rn") / BIN_PAIRS))
     bins = mixed.agg(work).first()[0]
     mixed = mixed.select(*BLOCK_PAIR)
-    sides = ranked.join(mixed.withColumn("block", F.col("bi")), ["key", "block"]).withColumn("side", F.lit(0)).unionByName(
-        ranked.join(mixed.where("bi < bj").withColumn("block", F.col("bj")), ["key", "block"]).withColumn("side", F.lit(1))
+    sides = ranked.join(mixed.withColumn("block", F.col("bi")).hint("merge"), ["key", "block"]).withColumn("side", F.lit(0)).unionByName(
+        ranked.join(mixed.where("bi < bj").withColumn("block", F.col("bj")).hint("merge"), ["key", "block"]).withColumn("side", F.lit(1))
     )
     sides = sides.drop("block").join(firsts, "node")
     fields = [*BLOCK_PAIR, "side", "node", "component", "n_shingles", "signature", "bands"]
     sides = sides.select(*fields)
     hits = stored(_dealt(sides, bins).applyInPandas(_candidates(bounds), sides.schema), "hits")
     bins = hits.agg(F.sum(1 / F.lit(BIN_ROWS) + F.col("n_shingles") / BIN_VALUES)).first()[0]
-    return _dealt(hits.join(sets, "node"), bins).applyInPandas(_links(bounds, percent), "a long, b long")
+    return _dealt(hits.join(sets.hint("merge"), "node"), bins).applyInPandas(_links(bounds, percent), "a long, b long")

@@ -24,12 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatterlens.llm.storage import stored
-from chatterlens.operators.joins import sized_join
+from chatterlens.operators.joins import fits, sized_join
 
 KINDS = ("email", "ip", "card", "phone", "term")
 SUPPORT = 3
 DISCLOSURE = 0.85
 STEM = 4
+BROADCAST_CHARS = 8 << 20
 
 # Possessive quantifiers and look-behinds give the same matches in time linear in the text.
 LOCAL = "[A-Za-z0-9._%+-]"
@@ -145,12 +146,13 @@ def revealing(docs: DataFrame) -> DataFrame:
     def disclosure(joint: Column, alone: Column) -> Column:
         return F.log(joint * n / (F.col("n_e") * alone)) / F.log(F.greatest(n / F.col("n_e"), F.lit(1.0 + 1e-9)))
 
-    judged = stored(pairs.join(counts, "term").withColumn("_strong", disclosure(F.col("n_et"), F.col("n_t")) >= DISCLOSURE), "judged")
+    # files of repeated words are far smaller than their rows in memory, so Spark must not choose a broadcast by them
+    judged = stored(pairs.join(counts.hint("merge"), "term").withColumn("_strong", disclosure(F.col("n_et"), F.col("n_t")) >= DISCLOSURE), "judged")
     is_stem = F.col("term").startswith(STEM_MARK)
     strong = judged.where(~is_stem & F.col("_strong")).select("entity", "term", F.left("term", F.lit(STEM)).alias("stem"))
     stems = judged.where(is_stem).select("entity", F.substring("term", 2, STEM).alias("stem"), F.col("_strong").alias("_stem_strong"))
     general = ~F.col("_stem_strong") & (F.length("term") > STEM)
-    out = stored(strong.join(stems, ["entity", "stem"]).select("entity", "term", F.when(general, F.col("stem")).alias("stem")), "strong")
+    out = stored(strong.join(stems.hint("merge"), ["entity", "stem"]).select("entity", "term", F.when(general, F.col("stem")).alias("stem")), "strong")
     held = sized_join(found.select("doc_id", F.explode("entities").alias("entity")).distinct(), out, ["entity"])
     return held.groupBy("doc_id", "term").agg(
         F.when(F.count("stem") == F.count("*"), F.max("stem")).alias("stem")
@@ -160,7 +162,8 @@ def revealing(docs: DataFrame) -> DataFrame:
 def find(docs: DataFrame) -> DataFrame:
     """``docs`` with ``base`` and ``spans``: base and term spans by start, then kind. A term span's value is what replaces it."""
     terms = revealing(docs).groupBy(F.col("doc_id").alias("_doc")).agg(F.map_from_entries(F.collect_list(F.struct("term", F.coalesce("stem", F.lit(""))))).alias("_terms"))
-    terms = stored(terms, "revealing")  # its stored size tells the planner whether it may be broadcast
+    terms = stored(terms, "revealing")
+    terms = F.broadcast(terms) if fits(terms, max_chars=BROADCAST_CHARS) else terms.hint("merge")
     out = with_base(docs).join(terms, F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.array_sort(F.map_keys("_terms")), "|"), F.lit(r")(?!\p{L})"))

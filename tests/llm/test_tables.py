@@ -333,6 +333,31 @@ def test_kneser_ney_by_dictionaries(spark, monkeypatch, blocks):
     assert kneser_ney.judge(docs.limit(0), ids).count() == 0
 
 
+def test_exploded_and_repetitive_tables_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes them by the table before it is exploded, or by its compressed file."""
+    plans = defaultdict(list)
+
+    def watched(module):
+        def stored(df, name, store=module.stored):
+            plans[name].append(df._jdf.queryExecution().executedPlan().toString())
+            return store(df, name)
+
+        monkeypatch.setattr(module, "stored", stored)
+
+    watched(near_dedup)
+    watched(pii)
+    monkeypatch.setattr(pii, "BROADCAST_CHARS", 0)
+    rng = random.Random(8)
+    texts = [" ".join(["write", f"jo.doe{i % 2}@example.org", *(f"jodoe{'ab'[i % 2]}" for _ in range(2)), *(rng.choice("abcdefgh") * 5 for _ in range(30))]) for i in range(12)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(20, texts[0])], "doc_id long, text string")
+    near_dedup.near_duplicates(docs)
+    found = pii.find(docs)
+    held = ["members", "judged", "strong"]
+    plans["find"].append(found._jdf.queryExecution().executedPlan().toString())
+    assert all("SortMergeJoin" in p and "BroadcastHashJoin" not in p for name in [*held, "find"] for p in plans[name])
+    assert all(plans[name] for name in held) and found.where("exists(spans, s -> s.kind = 'term')").count() == 13
+
+
 def test_repetition_goes(spark):
     rng = random.Random(6)
     nouns, verbs = [f"n{c}" for c in "abcdefghijklmnop"], [f"v{c}" for c in "abcdefghijklmnop"]

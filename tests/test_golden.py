@@ -97,6 +97,21 @@ def test_salted_join(spark, how):
     assert salted == usual
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_salted_join_is_not_broadcast(spark, hot):
+    """Spark does not count the rows that the salts repeat; only the marks of hot keys may be broadcast."""
+    from chatterlens.operators.joins import sized_join
+
+    big = spark.createDataFrame([(i % 3, i) for i in range(50)] + [(None, 50)], "k int, v int")
+    small = spark.createDataFrame([(0, "a", 17), (1, "b", 9), (2, "c", 0)], "k int, name string, n int")
+    for how in ("inner", "left", "left_semi"):
+        salted = sized_join(big, small, ["k"], how, max_rows=1, salts=5, hot=F.col("n") > 10 if hot else None)
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == hot
+        assert salted.columns == sized_join(big, small, ["k"], how).columns
+        assert sorted(map(str, salted.collect())) == sorted(map(str, sized_join(big, small, ["k"], how).collect()))
+
+
 def lines(spark, *values):
     return spark.createDataFrame([(v,) for v in values], "value string")
 
